@@ -44,3 +44,70 @@ def session_rollups_orders(spark: SparkSession, root: str) -> DataFrame:
                       first_ts_fmt="first_call_date_{gap}", group_count_fmt="Num_calls_{gap}",
                       firsts={"first_user_client_{gap}": "o_orderpriority",
                               "first_number_name_client_{gap}": "o_orderstatus"})
+
+
+def _epoch(col: str):
+    return F.unix_timestamp(F.col(col))
+
+
+def first_touch_orders(spark: SparkSession, root: str) -> DataFrame:
+    """U12 on orders: first priority per (customer, status) by (date, key).
+
+    Orders in status 'P' carry no customer (NULL), like unconverted tickets without a policy
+    number: one NULL group with about a third of all rows.
+    """
+    from caretrail.operators.first_touch import first_touch
+    orders = read_table(spark, root, "orders").select(
+        F.col("o_orderkey").alias("id"), "o_orderdate", "o_orderpriority", "o_orderstatus",
+        F.when(F.col("o_orderstatus") != "P", F.col("o_custkey")).alias("policy_key"))
+    out = first_touch(orders, ["policy_key", "o_orderstatus"], ["o_orderdate"],
+                      {"first_priority": "o_orderpriority"}, tiebreak=["id"])
+    return out.select("id", "policy_key", "o_orderstatus", "first_priority")
+
+
+def _event_calls(ev: DataFrame) -> DataFrame:
+    return ev.where(F.col("event_type") == "click").select(
+        F.col("event_id").alias("call_id"), F.col("user_id").alias("from_to_join"),
+        _epoch("ts").alias("answered_at_utc_unix"))
+
+
+def _event_tickets(ev: DataFrame) -> DataFrame:
+    return ev.where(F.col("event_type") == "error").select(
+        F.col("event_id").alias("id"), F.col("user_id").alias("zdk_phone_to_join"),
+        _epoch("ts").alias("ticket_created_at_unix"))
+
+
+def nearest_match_events(spark: SparkSession, root: str) -> DataFrame:
+    """U17 on events: clicks are calls, errors are tickets, the user id is the phone."""
+    from caretrail.operators.matching import match_calls_to_tickets
+    ev = read_table(spark, root, "events")
+    m = match_calls_to_tickets(_event_calls(ev), _event_tickets(ev), call_id="call_id", call_key="from_to_join",
+                               call_time="answered_at_utc_unix", ticket_key="zdk_phone_to_join",
+                               ticket_time="ticket_created_at_unix")
+    return m.withColumn("ranking_ticket_id", F.lit(1).cast("bigint"))
+
+
+def _event_policies(ev: DataFrame) -> DataFrame:
+    """Purchases as policies; an interruption follows ``floor(value)`` hours later when value >= 40."""
+    return ev.where(F.col("event_type") == "purchase").select(
+        F.col("user_id").alias("dni_nie"),
+        F.concat(F.lit("POL"), F.col("event_id").cast("string")).alias("policy_number"),
+        F.col("ts").alias("purchased_at"),
+        F.when(F.col("value") >= 40,
+               F.col("ts") + F.make_dt_interval(F.lit(0), F.floor("value").cast("int"))).alias("interrupted_at"))
+
+
+def attribution_events(spark: SparkSession, root: str) -> DataFrame:
+    """U4 + U5 + U10 on events: errors are tickets, purchases are policies, same user."""
+    from caretrail.operators.attribution import attribute_purchases, conversion_flags
+    ev = read_table(spark, root, "events")
+    tickets = ev.where(F.col("event_type") == "error").select(
+        F.col("event_id").alias("id"), F.col("user_id").alias("dni_nie"), F.col("ts").alias("created_at"))
+    att = attribute_purchases(tickets, _event_policies(ev))
+    # Intervals leave as whole seconds between epoch seconds (portable to the oracle).
+    att = att.join(tickets.select("id", "created_at"), "id")
+    att = att.withColumns({
+        "dif_purchase_seconds": F.abs(_epoch("purchased_at") - _epoch("created_at")),
+        "dif_interrupted_seconds": F.abs(_epoch("interrupted_at") - _epoch("created_at")),
+    }).drop("dif_between_ticket_and_purchase", "dif_between_ticket_and_interrupted", "created_at")
+    return conversion_flags(att)

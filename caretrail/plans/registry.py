@@ -12,10 +12,16 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "sessions_orders": analogs.sessions_orders,
     "sessions_events": analogs.sessions_events,
     "session_rollups_orders": analogs.session_rollups_orders,
+    "first_touch_orders": analogs.first_touch_orders,
+    "nearest_match_events": analogs.nearest_match_events,
+    "attribution_events": analogs.attribution_events,
 }
 
 ORACLES: dict[str, Callable[[], str]] = {
     "sessions_orders": oracle_sql.sessions_orders,
     "sessions_events": oracle_sql.sessions_events,
     "session_rollups_orders": oracle_sql.session_rollups_orders,
+    "first_touch_orders": oracle_sql.first_touch_orders,
+    "nearest_match_events": oracle_sql.nearest_match_events,
+    "attribution_events": oracle_sql.attribution_events,
 }
