@@ -29,7 +29,8 @@ def plus_days(ts, days: int) -> Column:
 def madrid_to_utc(ts, source_zone: str = "Europe/Madrid") -> Column:
     """Wall-clock time in ``source_zone`` to UTC wall-clock time (``convert_timezone`` then ``::timestamp``).
 
-    Returns timestamp_ntz; on DST overlap the earlier offset is taken, a gap time moves back one hour.
+    Returns timestamp_ntz. On the DST overlap the earlier offset is taken (02:30 -> 00:30 UTC); a
+    wall time inside the spring gap is read one hour later (02:30 -> 01:30 UTC).
     """
     return F.convert_timezone(F.lit(source_zone), F.lit("UTC"), _c(ts).cast("timestamp_ntz"))
 

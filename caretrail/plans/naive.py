@@ -1,0 +1,75 @@
+"""Source-shaped plans of the custom operators (P1-P4 "naive" forms).
+
+They follow the source queries literally: windows partitioned by the whole key or session label,
+all phone / customer pairs, argmin by self-join. They are kept for equivalence tests and for the
+bench's baseline column, never used by the reports: each of them puts a hot key in one task or
+forms all pairs within a key.
+"""
+
+from __future__ import annotations
+
+from collections.abc import Sequence
+
+from pyspark.sql import DataFrame, Window
+from pyspark.sql import functions as F
+
+from caretrail.functions.timeutil import whole_days
+
+
+def sessions_naive(df: DataFrame, key: str, ts: str, gaps: Sequence[int], *, tiebreak: Sequence[str] = (),
+                   count_name: str = "num_contacts", number_fmt: str = "n_contact_{gap}",
+                   label_fmt: str = "client_{gap}") -> DataFrame:
+    lag_w = Window.partitionBy(key).orderBy(F.col(ts), *[F.col(c) for c in tiebreak])
+    sum_w = Window.partitionBy(key).orderBy(F.col(ts))  # default RANGE frame: peers share
+    out = df.withColumn("lag", F.lag(ts).over(lag_w))
+    out = out.withColumn("date_diff_lag", whole_days("lag", ts))
+    for g in gaps:
+        flag = F.when(F.col("lag").isNull() | (F.col("date_diff_lag") > g), 1).otherwise(0)
+        out = out.withColumn(f"_f{g}", flag)
+    out = out.withColumn(count_name, F.count(F.lit(1)).over(Window.partitionBy(key)))
+    for g in gaps:
+        out = out.withColumn(number_fmt.format(gap=g), F.sum(f"_f{g}").over(sum_w))
+        out = out.withColumn(label_fmt.format(gap=g),
+                             F.concat(F.col(key), F.lit("-"), F.col(number_fmt.format(gap=g))))
+    return out.drop(*[f"_f{g}" for g in gaps])
+
+
+def rollups_naive(df: DataFrame, label: str, ts: str, firsts: dict[str, str], *, tiebreak: Sequence[str] = (),
+                  first_ts_name: str | None = None, count_name: str | None = None) -> DataFrame:
+    w_all = Window.partitionBy(label)
+    w = Window.partitionBy(label).orderBy(F.col(ts), *[F.col(c) for c in tiebreak])
+    out = df
+    if first_ts_name:
+        out = out.withColumn(first_ts_name, F.min(ts).over(w_all))
+    if count_name:
+        out = out.withColumn(count_name, F.count(F.lit(1)).over(w_all))
+    for name, col in firsts.items():
+        out = out.withColumn(name, F.first(col).over(w))
+    return out
+
+
+def first_touch_naive(df: DataFrame, keys: Sequence[str], order: Sequence[str], value: str, out: str) -> DataFrame:
+    w = Window.partitionBy(*keys).orderBy(*[F.col(c) for c in order])
+    return df.withColumn(out, F.first(value).over(w))
+
+
+def match_naive(calls: DataFrame, tickets: DataFrame, *, call_id: str, call_key: str, call_time: str,
+                ticket_id: str, ticket_key: str, ticket_time: str, tolerance: int = 10000) -> DataFrame:
+    pairs = (calls.join(tickets, calls[call_key] == tickets[ticket_key], "left")
+                  .select(F.col(call_id).alias("aircall_id"),
+                          F.abs(F.col(call_time) - F.col(ticket_time)).alias("dif_between_call_and_ticket"),
+                          *[tickets[c] for c in tickets.columns]))
+    best = pairs.groupBy("aircall_id").agg(F.min("dif_between_call_and_ticket").alias("dif_between_call_and_ticket"))
+    kept = pairs.join(best, ["aircall_id", "dif_between_call_and_ticket"])
+    w = Window.partitionBy(ticket_id).orderBy("dif_between_call_and_ticket", "aircall_id")
+    ranked = kept.withColumn("ranking_ticket_id", F.row_number().over(w))
+    return ranked.where((F.col("ranking_ticket_id") == 1) & (F.col("dif_between_call_and_ticket") < tolerance))
+
+
+def attribution_naive(tickets: DataFrame, policies: DataFrame, *, ticket_id: str, ticket_key: str, created: str,
+                      policy_key: str, purchased: str) -> DataFrame:
+    pairs = (tickets.join(policies, tickets[ticket_key] == policies[policy_key], "left")
+                    .where(F.col(purchased) >= F.col(created))
+                    .withColumn("_dif", F.abs(F.col(purchased) - F.col(created))))
+    best = pairs.groupBy(ticket_id).agg(F.min("_dif").alias("_dif"))
+    return pairs.join(best, [ticket_id, "_dif"]).drop("_dif")
