@@ -111,3 +111,102 @@ def attribution_events(spark: SparkSession, root: str) -> DataFrame:
         "dif_interrupted_seconds": F.abs(_epoch("interrupted_at") - _epoch("created_at")),
     }).drop("dif_between_ticket_and_purchase", "dif_between_ticket_and_interrupted", "created_at")
     return conversion_flags(att)
+
+
+# ---- operators on domain-shaped tables derived from the driver's tables -------------------------
+
+def categorize_tickets(spark: SparkSession, root: str) -> DataFrame:
+    """U8 both rulesets, U7 channel rewrite, U9 mail flag on tickets derived from events."""
+    from caretrail.functions.categories import CALL_INCIDENTS, TICKET_INCIDENTS
+    from caretrail.functions.text import mail_seen, rewrite_channel
+    from caretrail.operators.categorize import categorize
+    from caretrail.plans import analog_tables as at
+    t = at.tickets(spark, root).select("id", "tipo_de_incidencia", "channel", "description", "tags")
+    t = categorize(t, "tipo_de_incidencia", TICKET_INCIDENTS, "incidencia_grouped")
+    t = categorize(t, "tipo_de_incidencia", CALL_INCIDENTS, "incidencia_grouped_call")
+    return t.select("id", "tipo_de_incidencia", "incidencia_grouped", "incidencia_grouped_call",
+                    rewrite_channel("channel", "description").alias("channel"), mail_seen("tags").alias("mail_seen"))
+
+
+def users_customer(spark: SparkSession, root: str) -> DataFrame:
+    """U2 + U1 on users derived from customer (the call report's variant keeps organization and url)."""
+    from caretrail.operators.users import normalize_users
+    from caretrail.plans import analog_tables as at
+    return normalize_users(at.users(spark, root), ticket_report=False)
+
+
+def caller_phones_tickets(spark: SparkSession, root: str) -> DataFrame:
+    """U6: caller phone from the description, else the user's phone, for every ticket."""
+    from caretrail.functions.phones import caller_phone, phone_to_join, user_phone
+    from caretrail.plans import analog_tables as at
+    t = at.tickets(spark, root).select("id", "requester_id", "description")
+    u = at.users(spark, root).select(F.col("id").alias("requester_id"), "phone")
+    j = t.join(u, "requester_id", "left")
+    return j.select("id", caller_phone("description").alias("CallerPhoneNumber"),
+                    user_phone("phone").alias("user_phone"),
+                    phone_to_join(caller_phone("description"), user_phone("phone")).alias("zdk_phone_to_join"))
+
+
+def calls_events(spark: SparkSession, root: str) -> DataFrame:
+    """U15 + U16: normalized and filtered calls derived from click/view events."""
+    from caretrail.operators.calls import filter_calls, normalize_calls
+    from caretrail.plans import analog_tables as at
+    return filter_calls(normalize_calls(at.calls(spark, root)))
+
+
+def policy_facts_orders(spark: SparkSession, root: str) -> DataFrame:
+    """U3 on orders: customers -> policies (orders) -> interruptions (returned lines) -> offers ->
+    quotes -> payments (up to two lines per order, so payment copies) -> transactions."""
+    from caretrail.operators.policies import policy_facts
+    from caretrail.plans.analog_tables import dni_of
+    cust = read_table(spark, root, "customer")
+    orders = read_table(spark, root, "orders")
+    lines = read_table(spark, root, "lineitem")
+    customer_data = cust.select(F.col("c_custkey").alias("application_id"),
+                                F.lower(dni_of("c_custkey")).alias("policyholder_dni"))
+    number = (F.when(F.col("o_orderstatus") == "F", F.concat(F.lit("POL"), F.col("o_orderkey").cast("string")))
+               .when(F.col("o_orderstatus") == "O", F.concat(F.lit("Q"), (F.col("o_orderkey") % 1000).cast("string"))))
+    policy = orders.select(F.col("o_custkey").alias("application_id"), F.col("o_orderkey").alias("policy_id"),
+                           F.col("o_orderkey").alias("offer_id"), (F.col("o_orderkey") % 4).alias("quote_id"),
+                           number.alias("policy_number"), F.col("o_orderdate").alias("purchased_at"),
+                           (F.col("o_orderkey") % 3).cast("int").alias("renewal_order"))
+    interruption = lines.where((F.col("l_returnflag") == "R") & (F.col("l_linenumber") <= 2)).select(
+        F.col("l_orderkey").alias("policy_id"), F.col("l_shipdate").alias("occurred_on"))
+    offer = orders.select(F.col("o_orderkey").alias("offer_id"),
+                          F.concat(F.lit("OF"), F.col("o_orderkey").cast("string")).alias("customer_facing_id"))
+    quote = (orders.groupBy(F.col("o_custkey").alias("application_id"), (F.col("o_orderkey") % 4).alias("quote_id"))
+                   .agg(F.min("o_orderpriority").alias("source")))
+    payments = lines.where(F.col("l_linenumber") <= 2).select(
+        F.concat(F.lit("OF"), F.col("l_orderkey").cast("string")).alias("offer_id"),
+        (F.col("l_orderkey") * 10 + F.col("l_linenumber")).alias("order_id"))
+    transaction = lines.select((F.col("l_orderkey") * 10 + F.col("l_linenumber")).alias("order_id"),
+                               F.concat(F.col("l_linestatus"), F.col("l_returnflag")).alias("purchase_channel"))
+    return policy_facts(customer_data, policy, interruption, offer, quote, payments, transaction)
+
+
+def _seconds_instead_of_intervals(df: DataFrame, created: str = "created_at") -> DataFrame:
+    return df.withColumns({
+        "dif_purchase_seconds": F.abs(_epoch("purchased_at") - _epoch(created)),
+        "dif_interrupted_seconds": F.abs(_epoch("interrupted_at") - _epoch(created)),
+    }).drop("dif_between_ticket_and_purchase", "dif_between_ticket_and_interrupted")
+
+
+def ticket_base_events(spark: SparkSession, root: str) -> DataFrame:
+    """U11: the ticket report's base (zendesk_full) on the derived tables."""
+    from caretrail.plans import analog_tables as at
+    from caretrail.plans.reports import ticket_base
+    return _seconds_instead_of_intervals(ticket_base(at.sources(spark, root), ticket_report=True))
+
+
+def ticket_report_events(spark: SparkSession, root: str) -> DataFrame:
+    """U18: the ticket report on the derived tables."""
+    from caretrail.plans import analog_tables as at
+    from caretrail.plans.reports import ticket_report
+    return _seconds_instead_of_intervals(ticket_report(at.sources(spark, root)))
+
+
+def call_report_events(spark: SparkSession, root: str) -> DataFrame:
+    """U19: the call report on the derived tables."""
+    from caretrail.plans import analog_tables as at
+    from caretrail.plans.reports import call_report
+    return _seconds_instead_of_intervals(call_report(at.sources(spark, root)))

@@ -15,6 +15,14 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "first_touch_orders": analogs.first_touch_orders,
     "nearest_match_events": analogs.nearest_match_events,
     "attribution_events": analogs.attribution_events,
+    "categorize_tickets": analogs.categorize_tickets,
+    "users_customer": analogs.users_customer,
+    "caller_phones_tickets": analogs.caller_phones_tickets,
+    "calls_events": analogs.calls_events,
+    "policy_facts_orders": analogs.policy_facts_orders,
+    "ticket_base_events": analogs.ticket_base_events,
+    "ticket_report_events": analogs.ticket_report_events,
+    "call_report_events": analogs.call_report_events,
 }
 
 ORACLES: dict[str, Callable[[], str]] = {
@@ -24,4 +32,9 @@ ORACLES: dict[str, Callable[[], str]] = {
     "first_touch_orders": oracle_sql.first_touch_orders,
     "nearest_match_events": oracle_sql.nearest_match_events,
     "attribution_events": oracle_sql.attribution_events,
+    "categorize_tickets": oracle_sql.categorize_tickets,
+    "users_customer": oracle_sql.users_customer,
+    "caller_phones_tickets": oracle_sql.caller_phones_tickets,
+    "calls_events": oracle_sql.calls_events,
+    "policy_facts_orders": oracle_sql.policy_facts_orders,
 }

@@ -166,7 +166,7 @@ def matched_tickets(calls: DataFrame, base: DataFrame) -> DataFrame:
                                ticket_time="ticket_created_at_unix", tolerance=MATCH_TOLERANCE_SECONDS)
     m = one_row_per(m.drop("_phone"), "id", ["dif_between_call_and_ticket", "aircall_id"])
     return m.select(
-        F.lit(1).alias("ranking_ticket_id"), "aircall_id", "dif_between_call_and_ticket",
+        F.lit(1).cast("bigint").alias("ranking_ticket_id"), "aircall_id", "dif_between_call_and_ticket",
         F.timestamp_seconds("ticket_created_at_unix").cast("timestamp_ntz").alias("ticket_created_at_from_unix"),
         F.left(F.col("ticket_created_at_unix").cast("string"), F.lit(9)).alias("ticket_created_at_unix_left9"),
         *[c for c in base.columns])
