@@ -37,4 +37,7 @@ ORACLES: dict[str, Callable[[], str]] = {
     "caller_phones_tickets": oracle_sql.caller_phones_tickets,
     "calls_events": oracle_sql.calls_events,
     "policy_facts_orders": oracle_sql.policy_facts_orders,
+    "ticket_base_events": oracle_sql.ticket_base_events,
+    "ticket_report_events": oracle_sql.ticket_report_events,
+    "call_report_events": oracle_sql.call_report_events,
 }
