@@ -96,46 +96,40 @@ def sessionize(df: DataFrame, key, ts: str, gaps: Sequence[int] = (15,), *,
         aggs.append(F.min(first).alias("_first"))
     chunks = rows.groupBy("_k", "_c").agg(*aggs)
 
+    # Everything below runs on the chunk table, partitioned once by key: a hot key adds one row per
+    # chunk here, not one per event, so windows over whole keys or sessions stay small.
     wk = Window.partitionBy("_k").orderBy("_c")
     running = wk.rowsBetween(Window.unboundedPreceding, Window.currentRow)
     chunks = chunks.withColumn("_prev_max", F.lag("_tmax").over(wk))
-    for g in gaps:
-        starts = (F.when(F.col("_c") == F.lit(NULL_CHUNK), F.col("_cnt"))
+    starts = {g: (F.when(F.col("_c") == F.lit(NULL_CHUNK), F.col("_cnt"))
                   .when(F.col("_prev_max").isNull() | (whole_days("_prev_max", "_tmin") > F.lit(g)), F.lit(1))
-                  .otherwise(F.lit(0)))
-        chunks = chunks.withColumn(f"_n{g}", F.sum(starts).over(running))
-    chunks = chunks.withColumn("_num", F.sum("_cnt").over(Window.partitionBy("_k")))
+                  .otherwise(F.lit(0))) for g in gaps}
+    chunks = chunks.select("*", *[F.sum(starts[g]).over(running).alias(f"_n{g}") for g in gaps],
+                           F.sum("_cnt").over(Window.partitionBy("_k")).alias("_num"))
 
     key_is_null = F.lit(False)
     for k in keys:
         key_is_null = key_is_null | F.col("_k")[k].isNull()
-    rollup_cols: list[str] = []
+    rollup_names: list[str] = []
     if first_ts_fmt or group_count_fmt or firsts:
+        rolled = []
         for g in gaps:
             # Group of a session label: a NULL key collapses all its sessions into one group (-1).
-            chunks = chunks.withColumn(f"_g{g}", F.when(key_is_null, F.lit(-1)).otherwise(F.col(f"_n{g}")))
-            sess_aggs = []
-            if first_ts_fmt:
-                sess_aggs.append(F.min("_tmin").alias(first_ts_fmt.format(gap=g)))
-            if group_count_fmt:
-                sess_aggs.append(F.sum("_cnt").alias(group_count_fmt.format(gap=g)))
-            if firsts:
-                sess_aggs.append(F.min("_first").alias(f"_first{g}"))
-            sess = chunks.groupBy("_k", f"_g{g}").agg(*sess_aggs)
-            chunks = chunks.join(sess, ["_k", f"_g{g}"], "left")
-            for out_fmt, col in firsts.items():
-                out = out_fmt.format(gap=g)
-                chunks = chunks.withColumn(out, F.col(f"_first{g}")[f"v{value_cols.index(col)}"])
-            rollup_cols += [s for s in (first_ts_fmt, group_count_fmt) if s]
-        rollup_names = []
-        for g in gaps:
+            grp = F.when(key_is_null, F.lit(-1)).otherwise(F.col(f"_n{g}"))
+            chunks = chunks.withColumn(f"_g{g}", grp)
+            ws = Window.partitionBy("_k", f"_g{g}")
             if first_ts_fmt:
+                rolled.append(F.min("_tmin").over(ws).alias(first_ts_fmt.format(gap=g)))
                 rollup_names.append(first_ts_fmt.format(gap=g))
             if group_count_fmt:
+                rolled.append(F.sum("_cnt").over(ws).alias(group_count_fmt.format(gap=g)))
                 rollup_names.append(group_count_fmt.format(gap=g))
-            rollup_names += [f.format(gap=g) for f in firsts]
-    else:
-        rollup_names = []
+            if firsts:
+                first = F.min("_first").over(ws)
+                for out_fmt, col in firsts.items():
+                    rolled.append(first[f"v{value_cols.index(col)}"].alias(out_fmt.format(gap=g)))
+                    rollup_names.append(out_fmt.format(gap=g))
+        chunks = chunks.select("*", *rolled)
 
     chunk_cols = ["_k", "_c", "_prev_max", "_num"] + [f"_n{g}" for g in gaps] + rollup_names
     out = rows.join(chunks.select(*chunk_cols), ["_k", "_c"], "inner")

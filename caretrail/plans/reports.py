@@ -181,7 +181,8 @@ def call_report(src: Sources, *, checkpoint: bool = True) -> DataFrame:
     crit = first_touch_criteria(base)
     out = (calls.join(matched, calls["call_id"] == matched["aircall_id"], "left")
                 .join(crit, "id", "left"))
-    out = report_calls(out)
+    # Read six times below (three group aggregates and three joins back): cut it once.
+    out = materialize(report_calls(out), checkpoint)
     for g, name in ((30, "first_incidencia_30"), (15, "first_incidencia_client_15"), (60, "first_incidencia_client_60")):
         out = first_touch(out, [f"client_{g}"], ["created_time_utc"], {name: "incidencia_grouped"},
                           tiebreak=["call_id", "id"])
