@@ -3,12 +3,14 @@
 For every left row it finds, among right rows with the same key, the latest right time at or before
 the left time and the earliest right time at or after it. Equal times count on both sides.
 
-Plan shape. No pairs are formed. Left and right rows are unioned (narrow columns only) and
-shuffled once by ``(key, time chunk)``; a RANGE window inside each chunk gives the nearest right
-time within the chunk. A per-chunk table (latest / earliest right time of each key and chunk, one
-row per key and chunk) carries the answer across chunk borders with a running max / min over
-chunks, and is joined back on ``(key, chunk)``. A key that holds a third of all rows is spread
-over as many tasks as it has chunks; the chunk table grows with time span, not with row count.
+Plan shape. No pairs are formed. Each side is first reduced to its distinct (key, time) values
+(map-side, so copies and ties never travel). Those are unioned and shuffled by ``(key, time
+chunk)``; a RANGE window inside each chunk gives the nearest right time within the chunk. A
+per-chunk table (latest / earliest right time of each key and chunk, one row per key and chunk)
+carries the answer across chunk borders with a running max / min over chunks. The answers, one
+per distinct left (key, time), are joined back to the left rows. A key that holds a third of all
+rows is spread over as many tasks as it has chunks; the chunk table grows with time span, not
+with row count.
 """
 
 from __future__ import annotations
@@ -40,7 +42,7 @@ def nearest_times(left: DataFrame, right: DataFrame, left_key, right_key, left_t
     """
     lk, rk = _keys(left_key), _keys(right_key)
     ltype = left.schema[left_ts].dataType
-    row_cols = left.columns
+    key_types = [left.schema[c].dataType for c in lk]
 
     def not_null(cols):
         cond = F.lit(True)
@@ -48,17 +50,19 @@ def nearest_times(left: DataFrame, right: DataFrame, left_key, right_key, left_t
             cond = cond & F.col(c).isNotNull()
         return cond
 
-    lkey = F.struct(*[F.col(c).alias(f"k{i}") for i, c in enumerate(lk)])
-    L = left.where(not_null(lk + [left_ts])).select(
-        lkey.alias("_k"), F.col(left_ts).alias("_t"), F.lit(True).alias("_left"),
-        F.struct(*[F.col(c) for c in row_cols]).alias("_row"))
-    key_types = [left.schema[c].dataType for c in lk]
-    rkey = F.struct(*[F.col(c).cast(key_types[i]).alias(f"k{i}") for i, c in enumerate(rk)])
-    R = right.where(not_null(rk + [right_ts])).select(
-        rkey.alias("_k"), F.col(right_ts).cast(ltype).alias("_t"), F.lit(False).alias("_left"),
-        F.lit(None).cast(L.schema["_row"].dataType).alias("_row"))
+    def key_time(keys, ts, cast):
+        k = F.struct(*[(F.col(c).cast(key_types[i]) if cast else F.col(c)).alias(f"k{i}") for i, c in enumerate(keys)])
+        return F.struct(k.alias("k"), (F.col(ts).cast(ltype) if cast else F.col(ts)).alias("t")).alias("_kt")
+
+    # Distinct (key, time) on each side, combined map-side: copies and ties of a hot key or a hot
+    # instant shrink to one row each before anything is shuffled.
+    L = left.where(not_null(lk + [left_ts])).withColumn("_kt", key_time(lk, left_ts, False))
+    dl = L.select("_kt").distinct().withColumn("_left", F.lit(True))
+    dr = right.where(not_null(rk + [right_ts])).select(key_time(rk, right_ts, True)).distinct() \
+              .withColumn("_left", F.lit(False))
+    u = dl.unionByName(dr).select("_kt", F.col("_kt.k").alias("_k"), F.col("_kt.t").alias("_t"), "_left")
+    u = u.withColumn("_c", _chunk(F.col("_t"), ltype, chunk_seconds))
 
-    u = L.unionByName(R).withColumn("_c", _chunk(F.col("_t"), ltype, chunk_seconds))
     w = Window.partitionBy("_k", "_c").orderBy("_t")
     right_t = F.when(~F.col("_left"), F.col("_t"))
     u = (u.withColumn("_pin", F.max(right_t).over(w.rangeBetween(Window.unboundedPreceding, Window.currentRow)))
@@ -70,8 +74,10 @@ def nearest_times(left: DataFrame, right: DataFrame, left_key, right_key, left_t
                     .withColumn("_nch", F.min("_rmin").over(wk.rowsBetween(1, Window.unboundedFollowing)))
                     .select("_k", "_c", "_pch", "_nch"))
 
-    lefts = u.where(F.col("_left")).join(chunks, ["_k", "_c"], "inner")
-    return lefts.select(
-        *[F.col("_row")[c].alias(c) for c in row_cols],
+    answers = u.where(F.col("_left")).join(chunks, ["_k", "_c"], "inner").select(
+        "_kt",
         F.coalesce(F.col("_pin"), F.col("_pch")).alias(prev_name),
         F.coalesce(F.col("_nin"), F.col("_nch")).alias(next_name))
+    # One answer row per (key, time): a hot group of left copies is a skewed join against a single
+    # row, which AQE splits.
+    return L.join(answers, "_kt", "inner").drop("_kt")

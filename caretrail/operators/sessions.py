@@ -13,13 +13,18 @@ Semantics (per key, rows ordered by time, ties broken by ``tiebreak``):
 * ``count``          rows per key.
 
 Plan shape. A plain ``Window.partitionBy(key)`` sends a key's whole history to one task, so one key
-holding a third of the rows becomes a single third-of-the-data task. Instead rows are grouped by
-``(key, time chunk)``: a chunk is shorter than the smallest gap, so a session boundary can only
-fall on the first row of a chunk, and every chunk lies inside exactly one session. The big table is
-shuffled once, by ``(key, chunk)``; lag inside a chunk is a window over that small group, and session
-numbers, counts and rollups are computed on the chunk table (one row per key and chunk), whose
-size grows with the time span of a key, not with its row count. The results are joined back on
-``(key, chunk)``, which the big side is already partitioned by.
+holding a third of the rows becomes a single third-of-the-data task. Here:
+
+1. rows are combined map-side into tie groups, one per (key, time): copies and rows sharing an
+   instant never travel or sort together (only a group's first row, by tiebreak, can start a
+   session or see an earlier time; the others get lag = their own time);
+2. tie groups are shuffled by ``(key, time chunk)``; a chunk is shorter than the smallest gap, so a
+   session boundary can only fall on a chunk's first row and every chunk lies inside one session.
+   The previous time inside a chunk is a window over that chunk's distinct times;
+3. session numbers, per-key counts and rollups are windows over the chunk table (one row per key
+   and chunk, partitioned once by key), whose size grows with a key's time span, not its rows;
+4. answers go back to tie groups on ``(key, chunk)`` (co-partitioned) and to rows on (key, time),
+   one answer row per instant, so a hot instant is a skewed join that AQE splits.
 """
 
 from __future__ import annotations
@@ -61,6 +66,7 @@ def _label(keys: list[str], n: Column) -> Column:
 
 def sessionize(df: DataFrame, key, ts: str, gaps: Sequence[int] = (15,), *,
                tiebreak: Sequence[str] = (),
+               tiebreak_unique: bool = False,
                count_name: str = "num_contacts",
                number_fmt: str = "n_contact_{gap}",
                label_fmt: str | None = "client_{gap}",
@@ -75,26 +81,38 @@ def sessionize(df: DataFrame, key, ts: str, gaps: Sequence[int] = (15,), *,
     ``first_ts_fmt`` / ``group_count_fmt`` / ``firsts`` add the U14 rollups per session group:
     earliest time, row count, and for each ``{out_fmt: column}`` in ``firsts`` the value of that
     column on the session's first row (time, then ``tiebreak``; NULL values are kept). Format
-    strings take ``{gap}``.
+    strings take ``{gap}``. ``tiebreak_unique=True`` declares that no two rows of a key share time
+    and tiebreak values, which saves ranking such copies.
     """
     keys = _keys(key)
     gaps = list(gaps)
     firsts = dict(firsts or {})
     length = chunk_length(min(gaps), chunk_seconds)
-    order = [F.col(ts).asc()] + [F.col(c).asc() for c in tiebreak]
+    value_cols = list(dict.fromkeys(firsts.values()))
 
-    rows = df.withColumn("_k", F.struct(*[F.col(k) for k in keys])).withColumn("_c", _chunk_of(ts, length))
-    w_in = Window.partitionBy("_k", "_c").orderBy(*order)
-    rows = rows.withColumn("_lag_in", F.lag(F.col(ts)).over(w_in)).withColumn("_rn", F.row_number().over(w_in))
+    tb = F.struct(*[F.col(c).alias(f"b{i}") for i, c in enumerate(tiebreak)]) if tiebreak else F.struct(F.lit(0).alias("b0"))
+    rows = (df.withColumn("_k", F.struct(*[F.col(k) for k in keys]))
+              .withColumn("_kt", F.struct(F.col("_k").alias("k"), F.col(ts).alias("t")))
+              .withColumn("_tb", tb))
 
-    aggs = [F.count(F.lit(1)).alias("_cnt"), F.min(ts).alias("_tmin"), F.max(ts).alias("_tmax")]
-    value_cols = list(dict.fromkeys(firsts.values()))
+    # 1. Tie groups: one row per (key, time), combined map-side, so copies and rows sharing an
+    #    instant never travel or sort together. Only the first row of a group (by tiebreak) can start
+    #    a session or see the previous time; the others have lag = own time.
+    aggs = [F.count(F.lit(1)).alias("_cnt"), F.min("_tb").alias("_tb1")]
     if value_cols:
-        # First row of the chunk by (time, tiebreak); NULL times sort first inside the struct.
-        first = F.struct(F.col(ts).alias("t"), *[F.col(c).alias(f"b{i}") for i, c in enumerate(tiebreak)],
-                         *[F.col(c).alias(f"v{i}") for i, c in enumerate(value_cols)])
-        aggs.append(F.min(first).alias("_first"))
-    chunks = rows.groupBy("_k", "_c").agg(*aggs)
+        aggs.append(F.min(F.struct(F.col("_tb").alias("b"),
+                                   *[F.col(c).alias(f"v{i}") for i, c in enumerate(value_cols)])).alias("_gfirst"))
+    ties = (rows.groupBy("_kt").agg(*aggs)
+                .select("*", F.col("_kt.k").alias("_k"), F.col("_kt.t").alias("_t")))
+    ties = ties.withColumn("_c", _chunk_of("_t", length))
+    w_in = Window.partitionBy("_k", "_c").orderBy("_t")
+    ties = ties.withColumn("_prev_in", F.lag("_t").over(w_in)).withColumn("_rn", F.row_number().over(w_in))
+
+    # 2. Chunk table: one row per (key, chunk); ties is already partitioned by (key, chunk).
+    caggs = [F.sum("_cnt").alias("_cnt"), F.min("_t").alias("_tmin"), F.max("_t").alias("_tmax")]
+    if value_cols:
+        caggs.append(F.min(F.struct(F.col("_t").alias("t"), F.col("_gfirst").alias("g"))).alias("_first"))
+    chunks = ties.groupBy("_k", "_c").agg(*caggs)
 
     # Everything below runs on the chunk table, partitioned once by key: a hot key adds one row per
     # chunk here, not one per event, so windows over whole keys or sessions stay small.
@@ -127,14 +145,24 @@ def sessionize(df: DataFrame, key, ts: str, gaps: Sequence[int] = (15,), *,
             if firsts:
                 first = F.min("_first").over(ws)
                 for out_fmt, col in firsts.items():
-                    rolled.append(first[f"v{value_cols.index(col)}"].alias(out_fmt.format(gap=g)))
+                    rolled.append(first["g"][f"v{value_cols.index(col)}"].alias(out_fmt.format(gap=g)))
                     rollup_names.append(out_fmt.format(gap=g))
         chunks = chunks.select("*", *rolled)
 
+    # 3. Back to tie groups (co-partitioned on (key, chunk)), then to rows on (key, time): one answer
+    #    row per (key, time), so a hot instant is a skewed join against one row, which AQE splits.
     chunk_cols = ["_k", "_c", "_prev_max", "_num"] + [f"_n{g}" for g in gaps] + rollup_names
-    out = rows.join(chunks.select(*chunk_cols), ["_k", "_c"], "inner")
-
-    lag = F.when(F.col("_rn") == 1, F.col("_prev_max")).otherwise(F.col("_lag_in"))
+    ties = ties.join(chunks.select(*chunk_cols), ["_k", "_c"], "inner")
+    ties = ties.withColumn("_prev", F.when(F.col("_rn") == 1, F.col("_prev_max")).otherwise(F.col("_prev_in")))
+    answer_cols = ["_kt", "_tb1", "_prev", "_num"] + [f"_n{g}" for g in gaps] + rollup_names
+    out = rows.join(ties.select(*answer_cols), "_kt", "inner")
+    first_of_tie = F.col("_tb") == F.col("_tb1")
+    if not tiebreak_unique:
+        # rows equal in key, time and tiebreak: exactly one of them is the group's first
+        first_of_tie = first_of_tie & (F.row_number().over(Window.partitionBy("_kt", "_tb").orderBy(F.lit(1))) == 1)
+    out = out.withColumn("_first_of_tie", first_of_tie)
+
+    lag = F.when(F.col("_first_of_tie"), F.col("_prev")).otherwise(F.col(ts))
     new_cols: dict[str, Column] = {count_name: F.col("_num")}
     for g in gaps:
         new_cols[number_fmt.format(gap=g)] = F.col(f"_n{g}")

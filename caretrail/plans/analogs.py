@@ -18,14 +18,14 @@ EVENT_GAPS = (1, 2, 3)
 def sessions_orders(spark: SparkSession, root: str) -> DataFrame:
     """U13 on orders: repeat-contact sessions per customer at 15/30/60 days."""
     orders = read_table(spark, root, "orders").select("o_orderkey", "o_custkey", "o_orderdate")
-    return sessionize(orders, "o_custkey", "o_orderdate", ORDER_GAPS, tiebreak=["o_orderkey"],
+    return sessionize(orders, "o_custkey", "o_orderdate", ORDER_GAPS, tiebreak=["o_orderkey"], tiebreak_unique=True,
                       count_name="num_calls", number_fmt="n_call_{gap}", label_fmt="client_{gap}")
 
 
 def sessions_events(spark: SparkSession, root: str) -> DataFrame:
     """U13 on events: sessions per user at 1/2/3 days (events span one month)."""
     ev = read_table(spark, root, "events").select("event_id", "user_id", "ts")
-    return sessionize(ev, "user_id", "ts", EVENT_GAPS, tiebreak=["event_id"],
+    return sessionize(ev, "user_id", "ts", EVENT_GAPS, tiebreak=["event_id"], tiebreak_unique=True,
                       count_name="num_contacts", number_fmt="n_contact_{gap}", label_fmt="client_{gap}")
 
 
@@ -38,7 +38,7 @@ def session_rollups_orders(spark: SparkSession, root: str) -> DataFrame:
     orders = read_table(spark, root, "orders").select(
         "o_orderkey", "o_orderdate", "o_orderpriority", "o_orderstatus",
         F.when(F.col("o_orderstatus") != "P", F.col("o_custkey")).alias("client_key"))
-    return sessionize(orders, "client_key", "o_orderdate", ORDER_GAPS, tiebreak=["o_orderkey"],
+    return sessionize(orders, "client_key", "o_orderdate", ORDER_GAPS, tiebreak=["o_orderkey"], tiebreak_unique=True,
                       count_name="num_calls", number_fmt="n_call_{gap}", label_fmt="client_{gap}",
                       lag_name=None, diff_name=None,
                       first_ts_fmt="first_call_date_{gap}", group_count_fmt="Num_calls_{gap}",

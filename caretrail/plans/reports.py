@@ -150,7 +150,7 @@ def ticket_report(src: Sources, *, checkpoint: bool = True) -> DataFrame:
 def recall_sessions(calls: DataFrame) -> DataFrame:
     """Call report's recall sessions at 15/30/60 days per client number, with rollups."""
     return sessionize(calls, "client_number_calculated", "created_time_utc", RECALL_GAPS_DAYS,
-                      tiebreak=["call_id"], count_name="num_calls", number_fmt="n_call_{gap}",
+                      tiebreak=["call_id"], tiebreak_unique=True, count_name="num_calls", number_fmt="n_call_{gap}",
                       label_fmt="client_{gap}", first_ts_fmt="first_call_date_{gap}",
                       group_count_fmt="Num_calls_{gap}",
                       firsts={"first_user_client_{gap}": "full_name",

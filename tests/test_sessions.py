@@ -28,6 +28,12 @@ def edge_rows():
     ]
 
 
+def copy_rows():
+    # exact copies (same key, time and id), and a tie of distinct ids at one instant
+    return edge_rows() + [(2, "a", d("2024-01-16 23:59:59"), "y"), (2, "a", d("2024-01-16 23:59:59"), "y"),
+                          (12, "b", d("2024-01-01 00:00:00"), "t"), (13, "b", d("2024-01-01 00:00:00"), None)]
+
+
 def test_chunk_never_holds_a_boundary():
     for g in (0, 1, 15, 60):
         assert chunk_length(g) <= (g + 1) * 86400 - 3600
@@ -50,6 +56,19 @@ def test_edges_match_window_form(spark):
     assert by_id[1]["num_contacts"] == 8
 
 
+def test_copies_and_ties_match_window_form(spark):
+    df = spark.createDataFrame(copy_rows(), SCHEMA)
+    got = sessionize(df, "k", "t", (15, 30), tiebreak=["id"], first_ts_fmt="first_{gap}",
+                     group_count_fmt="cnt_{gap}", firsts={"fv_{gap}": "v"})
+    naive = sessions_naive(df, "k", "t", (15, 30), tiebreak=["id"])
+    for g in (15, 30):
+        naive = rollups_naive(naive, f"client_{g}", "t", {f"fv_{g}": "v"}, tiebreak=["id"],
+                              first_ts_name=f"first_{g}", count_name=f"cnt_{g}")
+    assert_same(got, naive)
+    lags = sorted(str(r["lag"]) for r in got.where("id = 2").collect())
+    assert lags == ["2024-01-01 00:00:00", "2024-01-16 23:59:59", "2024-01-16 23:59:59"]
+
+
 def test_rollups_match_label_windows(spark):
     df = spark.createDataFrame(edge_rows(), SCHEMA)
     got = sessionize(df, "k", "t", (15,), tiebreak=["id"], first_ts_fmt="first_{gap}",
