@@ -42,3 +42,10 @@ def floor_days_between(start, end) -> Column:
 
 def _c(x) -> Column:
     return F.col(x) if isinstance(x, str) else x
+
+
+def ntz_from_epoch(seconds) -> Column:
+    """Epoch seconds to a UTC wall-clock timestamp_ntz, independent of the session time zone
+    (``from_unixtime(n)::timestamp`` read in UTC)."""
+    return F.lit("1970-01-01 00:00:00").cast("timestamp_ntz") + F.make_dt_interval(
+        F.lit(0), F.lit(0), F.lit(0), _c(seconds).cast("decimal(18,6)"))

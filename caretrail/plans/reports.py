@@ -19,7 +19,7 @@ from pyspark.sql import functions as F
 from caretrail.functions.categories import CALL_INCIDENTS, TICKET_INCIDENTS
 from caretrail.functions.phones import caller_phone, phone_to_join, user_phone
 from caretrail.functions.text import mail_seen, rewrite_channel, satisfaction_reason, satisfaction_score
-from caretrail.functions.timeutil import epoch_seconds, plus_days
+from caretrail.functions.timeutil import epoch_seconds, ntz_from_epoch, plus_days
 from caretrail.operators.attribution import attribute_purchases, conversion_flags
 from caretrail.operators.calls import filter_calls, normalize_calls, report_calls
 from caretrail.operators.categorize import categorize
@@ -167,7 +167,7 @@ def matched_tickets(calls: DataFrame, base: DataFrame) -> DataFrame:
     m = one_row_per(m.drop("_phone"), "id", ["dif_between_call_and_ticket", "aircall_id"])
     return m.select(
         F.lit(1).cast("bigint").alias("ranking_ticket_id"), "aircall_id", "dif_between_call_and_ticket",
-        F.timestamp_seconds("ticket_created_at_unix").cast("timestamp_ntz").alias("ticket_created_at_from_unix"),
+        ntz_from_epoch("ticket_created_at_unix").alias("ticket_created_at_from_unix"),
         F.left(F.col("ticket_created_at_unix").cast("string"), F.lit(9)).alias("ticket_created_at_unix_left9"),
         *[c for c in base.columns])
 
