@@ -79,14 +79,6 @@ def ladder(value: Column, rs: Ruleset) -> Column:
     return expr.otherwise(F.lit(rs.default).cast("string"))
 
 
-def wildcard_index(v: Column, rs: Ruleset) -> Column | None:
-    """Smallest index of a wildcard line matching ``v`` (NULL when none)."""
-    hits = [F.when(rule_test(v, r), F.lit(i)) for i, r in rs.wildcards]
-    if not hits:
-        return None
-    return hits[0] if len(hits) == 1 else F.least(*hits)
-
-
 def sql_case(value_sql: str, rs: Ruleset) -> str:
     """The ruleset as a SQL CASE (for the DuckDB oracle)."""
     v = f"lower({value_sql})" if rs.lower_input else value_sql

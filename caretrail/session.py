@@ -27,6 +27,8 @@ def build_session(master: str | None = None, shuffle_partitions: int | None = No
         .config("spark.sql.adaptive.enabled", "true")
         .config("spark.sql.adaptive.coalescePartitions.enabled", "true")
         .config("spark.sql.adaptive.skewJoin.enabled", "true")
+        # split a hot join partition even when that costs one more shuffle downstream
+        .config("spark.sql.adaptive.forceOptimizeSkewedJoin", "true")
         # Broadcast only what was measured: no planning-time broadcast from (compressed-file) size
         # estimates; AQE turns a join into a broadcast when a side's shuffled size is known small.
         .config("spark.sql.autoBroadcastJoinThreshold", "-1")
