@@ -158,8 +158,11 @@ def sessionize(df: DataFrame, key, ts: str, gaps: Sequence[int] = (15,), *,
     out = rows.join(ties.select(*answer_cols), "_kt", "inner")
     first_of_tie = F.col("_tb") == F.col("_tb1")
     if not tiebreak_unique:
-        # rows equal in key, time and tiebreak: exactly one of them is the group's first
-        first_of_tie = first_of_tie & (F.row_number().over(Window.partitionBy("_kt", "_tb").orderBy(F.lit(1))) == 1)
+        # rows equal in key, time and tiebreak: exactly one of them is the group's first. Ordering by
+        # every column makes the choice repeatable when a lost task is recomputed; rows equal in all
+        # columns are interchangeable.
+        full_order = [F.col(c) for c in df.columns]
+        first_of_tie = first_of_tie & (F.row_number().over(Window.partitionBy("_kt", "_tb").orderBy(*full_order)) == 1)
     out = out.withColumn("_first_of_tie", first_of_tie)
 
     lag = F.when(F.col("_first_of_tie"), F.col("_prev")).otherwise(F.col(ts))
