@@ -8,7 +8,9 @@ Plan shape. Instead of sorting each group in one task, the first row is found wi
 group holding a third of the rows never lands in one task. The one-row-per-group result is joined
 back on a struct of the keys; struct equality treats NULL fields as equal, so a NULL key group
 (e.g. all unconverted tickets) behaves like the window's NULL partition. The join back of a hot
-group is a skewed join against a single row, which AQE's skew-join splitting handles.
+group is a skewed join against a single row, which AQE's skew-join splitting handles; the join key
+is shaped so that both join inputs are plain shuffles, the only shape that AQE splits
+(``tools/skew_report.py`` shows the hot group spread over many tasks).
 """
 
 from __future__ import annotations
@@ -39,9 +41,13 @@ def first_touch(df: DataFrame, keys, order: Sequence[str], values: dict[str, str
                 tiebreak: Sequence[str] = ()) -> DataFrame:
     """Append ``{out: value}`` columns holding the first row's value of each row's key group."""
     ks = _keys(keys)
+    # Join on a key that differs in form (not in value) from the aggregate's grouping key, so the
+    # one-row-per-group side gets its own plain exchange: with both inputs plain shuffles, AQE can
+    # split the partition of a hot group across several tasks.
     firsts = first_values(df, ks, order, values, tiebreak=tiebreak)
-    return (df.withColumn("_k", F.struct(*[F.col(k) for k in ks]))
-              .join(firsts, "_k", "left").drop("_k"))
+    firsts = firsts.withColumn("_j", F.struct(F.col("_k").alias("g"))).drop("_k")
+    rows = df.withColumn("_j", F.struct(F.struct(*[F.col(k) for k in ks]).alias("g")))
+    return rows.join(firsts, "_j", "left").drop("_j")
 
 
 def group_key(*cols: str) -> Column:

@@ -63,9 +63,13 @@ def match_calls_to_tickets(calls: DataFrame, tickets: DataFrame, *, call_id: str
                                      call_time=call_time, ticket_key=ticket_key, ticket_time=ticket_time,
                                      tolerance=tolerance, chunk_seconds=chunk_seconds)
     key_type = tickets.schema[ticket_key].dataType
-    best = best.withColumn("_key", F.col("_key").cast(key_type))
-    joined = tickets.join(best, (tickets[ticket_key] == best["_key"]) & (tickets[ticket_time] == best["_target"]))
-    return joined.select(*[tickets[c] for c in tickets.columns],
+    # Joined on a struct of (phone, time) rather than the aggregate's own grouping columns, so both
+    # inputs are plain shuffles and AQE can split the partition of a hot (phone, time) group.
+    best = best.select(F.struct(F.col("_key").cast(key_type).alias("k"), F.col("_target").alias("t")).alias("_pt"),
+                       "_call", "_diff")
+    rows = tickets.withColumn("_pt", F.struct(F.col(ticket_key).alias("k"), F.col(ticket_time).alias("t")))
+    joined = rows.join(best, "_pt")
+    return joined.select(*[F.col(c) for c in tickets.columns],
                          F.col("_call").alias(out_call), F.col("_diff").alias(out_diff))
 
 
