@@ -77,6 +77,13 @@ def main() -> None:
                                                          tiebreak=["o_orderkey"])
     plans["first_touch_naive"] = lambda: naive.first_touch_naive(orders, ["k"], ["o_orderdate", "o_orderkey"],
                                                                  "o_orderpriority", "f")
+    # a hot instant: the NULL key's rows all share one timestamp (a bulk load), a single tie group
+    instant = orders.withColumn("o_orderdate", F.when(F.col("k").isNull(), F.lit("2000-01-01").cast("timestamp_ntz"))
+                                .otherwise(F.col("o_orderdate")))
+    plans["hot_instant_rewritten"] = lambda: sessionize(instant, "k", "o_orderdate", (15,), tiebreak=["o_orderkey"],
+                                                        tiebreak_unique=True)
+    plans["hot_instant_naive"] = lambda: naive.sessions_naive(instant, "k", "o_orderdate", (15,),
+                                                              tiebreak=["o_orderkey"])
     for name, make in plans.items():
         spark.sparkContext.setJobGroup(name, name)
         make().write.format("noop").mode("overwrite").save()
