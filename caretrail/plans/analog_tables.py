@@ -8,7 +8,8 @@ The same derivations are written in SQL in :mod:`caretrail.plans.oracle_sql`.
 * users     <- customer (id = c_custkey; notes carry a DNI, a NIE or nothing; a phone)
 * tickets   <- events of type 'error' (requester = user_id)
 * metrics   <- events of type 'error' with value > 20
-* policies  <- events of type 'purchase' (customer id from user_id; every 7th purchase has a payment copy)
+* policies  <- events of type 'purchase' (customer id from user_id; purchases of value >= 100 have two
+               payment rows, i.e. a tied copy)
 * calls     <- events of type 'click' (inbound) and 'view' (outbound)
 """
 
@@ -120,9 +121,9 @@ def policy_facts(spark: SparkSession, root: str) -> DataFrame:
         F.col("ts").alias("purchased_at"), number.alias("policy_number"), stop.alias("interrupted_at"),
         F.when(F.col("value") < 100, F.lit("web")).otherwise(F.lit("phone")).alias("bo_purchase"),
         F.col("props").alias("pcw_source"), (F.col("event_id") % 2).cast("int").alias("renewal_order"),
-        F.col("event_id").alias("_eid"))
-    copies = facts.where(F.col("_eid") % 7 == 0)
-    return facts.unionByName(copies).drop("_eid")
+        # large purchases are paid in two instalments: two payment rows, hence two tied copies
+        F.explode(F.array_repeat(F.lit(1), F.when(F.col("value") >= 100, F.lit(2)).otherwise(F.lit(1)))).alias("_pay"))
+    return facts.drop("_pay")
 
 
 def calls(spark: SparkSession, root: str) -> DataFrame:

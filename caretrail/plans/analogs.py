@@ -155,8 +155,8 @@ def calls_events(spark: SparkSession, root: str) -> DataFrame:
 
 
 def policy_facts_orders(spark: SparkSession, root: str) -> DataFrame:
-    """U3 on orders: customers -> policies (orders) -> interruptions (returned lines) -> offers ->
-    quotes -> payments (up to two lines per order, so payment copies) -> transactions."""
+    """U3 on orders: customers -> policies (orders) -> interruption (an order's first returned line)
+    -> offers -> quotes -> payments (one per line of the order, so payment copies) -> transactions."""
     from caretrail.operators.policies import policy_facts
     from caretrail.plans.analog_tables import dni_of
     cust = read_table(spark, root, "customer")
@@ -170,13 +170,13 @@ def policy_facts_orders(spark: SparkSession, root: str) -> DataFrame:
                            F.col("o_orderkey").alias("offer_id"), (F.col("o_orderkey") % 4).alias("quote_id"),
                            number.alias("policy_number"), F.col("o_orderdate").alias("purchased_at"),
                            (F.col("o_orderkey") % 3).cast("int").alias("renewal_order"))
-    interruption = lines.where((F.col("l_returnflag") == "R") & (F.col("l_linenumber") <= 2)).select(
-        F.col("l_orderkey").alias("policy_id"), F.col("l_shipdate").alias("occurred_on"))
+    interruption = (lines.where(F.col("l_returnflag") == "R").groupBy(F.col("l_orderkey").alias("policy_id"))
+                         .agg(F.min("l_shipdate").alias("occurred_on")))
     offer = orders.select(F.col("o_orderkey").alias("offer_id"),
                           F.concat(F.lit("OF"), F.col("o_orderkey").cast("string")).alias("customer_facing_id"))
     quote = (orders.groupBy(F.col("o_custkey").alias("application_id"), (F.col("o_orderkey") % 4).alias("quote_id"))
                    .agg(F.min("o_orderpriority").alias("source")))
-    payments = lines.where(F.col("l_linenumber") <= 2).select(
+    payments = lines.select(
         F.concat(F.lit("OF"), F.col("l_orderkey").cast("string")).alias("offer_id"),
         (F.col("l_orderkey") * 10 + F.col("l_linenumber")).alias("order_id"))
     transaction = lines.select((F.col("l_orderkey") * 10 + F.col("l_linenumber")).alias("order_id"),
