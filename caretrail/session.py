@@ -34,6 +34,8 @@ def build_session(master: str | None = None, shuffle_partitions: int | None = No
         .config("spark.sql.autoBroadcastJoinThreshold", "-1")
         .config("spark.sql.adaptive.autoBroadcastJoinThreshold", os.environ.get("CARETRAIL_BROADCAST_MAX", "64MB"))
         .config("spark.driver.memory", os.environ.get("CARETRAIL_DRIVER_MEMORY", "8g"))
+        # checkpoint files of report stages are removed once nothing references them
+        .config("spark.cleaner.referenceTracking.cleanCheckpoints", "true")
     )
     spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
