@@ -32,3 +32,11 @@ def test_run_reports_from_folders(spark):
     assert tr.where("id = 101").count() == 2 and rows[101].policy_number == "POL000001"
     assert rows[101].interrupted_7days == "POL000001" and rows[101].pcw_source == "pcw"
     assert cr.count() == 3
+
+
+def test_conform_casts_to_declared_schema(spark):
+    df = spark.createDataFrame([("7", "1", "2024-01-01 10:00:00", "extra")],
+                               "id string, requester_id string, created_at string, other string")
+    out = domain.conform(df, "tickets")
+    types = dict(out.dtypes)
+    assert types["id"] == "bigint" and types["created_at"] == "timestamp" and out.columns[-1] == "other"
