@@ -192,7 +192,7 @@ def _seconds_instead_of_intervals(df: DataFrame, created: str = "created_at") ->
 
 
 def ticket_base_events(spark: SparkSession, root: str) -> DataFrame:
-    """U11: the ticket report's base (zendesk_full) on the derived tables."""
+    """U11: the ticket report's base on the derived tables."""
     from caretrail.plans import analog_tables as at
     from caretrail.plans.reports import ticket_base
     return _seconds_instead_of_intervals(ticket_base(at.sources(spark, root), ticket_report=True))
