@@ -57,12 +57,16 @@ def materialize(df: DataFrame, enabled: bool = True) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
-def ticket_base(src: Sources, *, ticket_report: bool = True) -> DataFrame:
+def ticket_base(src: Sources, *, ticket_report: bool = True, dedupe: str = "reference") -> DataFrame:
     """U11: tickets with caller phone, category, nearest purchase and conversion flags.
 
     ``ticket_report=True`` is the ticket report's variant (channel rewrite, its ruleset, mail flag);
-    False is the call report's (raw channel, the call ruleset).
+    False is the call report's (raw channel, the call ruleset). ``dedupe='reference'`` keeps one row
+    per tied nearest policy row, as the source does; ``'strict'`` keeps one row per ticket (the tied
+    row with the smallest policy number, then purchase time, then the other columns).
     """
+    if dedupe not in ("reference", "strict"):
+        raise ValueError("dedupe must be 'reference' or 'strict'")
     users = normalize_users(src.users, ticket_report=ticket_report).select("requester_id", "dni_nie", "phone")
     tickets = src.tickets.join(users, "requester_id", "left")
 
@@ -91,7 +95,10 @@ def ticket_base(src: Sources, *, ticket_report: bool = True) -> DataFrame:
     base = base.withColumns({f: F.coalesce(F.col(f), F.lit(0)) for f in flags})
     keep = [c for c in base.columns if c not in att_cols and c not in flags]
     base = base.select(*keep, *att_cols, *flags)
-    return base.where(F.col("ticket_form_id") != F.lit(CLAIMS_FORM_ID))
+    base = base.where(F.col("ticket_form_id") != F.lit(CLAIMS_FORM_ID))
+    if dedupe == "strict":
+        base = one_row_per(base, "id", ["policy_number", "purchased_at"])
+    return base
 
 
 def _not_claim(df: DataFrame) -> F.Column:
@@ -129,9 +136,9 @@ def recontact_sessions(base: DataFrame) -> DataFrame:
                     f"first_incidencia_grouped_client_{g}")
 
 
-def ticket_report(src: Sources, *, checkpoint: bool = True) -> DataFrame:
-    """U18: the ticket report."""
-    base = materialize(ticket_base(src, ticket_report=True), checkpoint)
+def ticket_report(src: Sources, *, checkpoint: bool = True, dedupe: str = "reference") -> DataFrame:
+    """U18: the ticket report (``dedupe`` as in :func:`ticket_base`)."""
+    base = materialize(ticket_base(src, ticket_report=True, dedupe=dedupe), checkpoint)
     rec = recontact_sessions(base)
     crit = first_touch_criteria(base)
     m = src.ticket_metrics
@@ -172,9 +179,9 @@ def matched_tickets(calls: DataFrame, base: DataFrame) -> DataFrame:
         *[c for c in base.columns])
 
 
-def call_report(src: Sources, *, checkpoint: bool = True) -> DataFrame:
-    """U19: the call report."""
-    base = materialize(ticket_base(src, ticket_report=False), checkpoint)
+def call_report(src: Sources, *, checkpoint: bool = True, dedupe: str = "reference") -> DataFrame:
+    """U19: the call report (``dedupe`` as in :func:`ticket_base`)."""
+    base = materialize(ticket_base(src, ticket_report=False, dedupe=dedupe), checkpoint)
     calls = recall_sessions(filter_calls(normalize_calls(src.calls)))
     calls = materialize(calls, checkpoint)
     matched = matched_tickets(calls, base)

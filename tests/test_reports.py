@@ -60,3 +60,11 @@ def test_call_report(spark):
     assert got[2].id is None and got[3].from_to_join is None
     assert str(got[3].created_time_utc) == "2024-03-31 01:30:00"
     assert c1.first_incidencia_30 == c1.incidencia_grouped == "purchase support"
+
+
+def test_strict_dedupe_one_row_per_ticket(spark):
+    src = fx.sources(spark)
+    base = reports.ticket_base(src, ticket_report=True, dedupe="strict")
+    assert base.count() == base.select("id").distinct().count() == 6
+    rep = reports.ticket_report(src, checkpoint=False, dedupe="strict")
+    assert rep.count() == rep.select("id").distinct().count() == 4
