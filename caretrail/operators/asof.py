@@ -57,10 +57,9 @@ def nearest_times(left: DataFrame, right: DataFrame, left_key, right_key, left_t
     # Distinct (key, time) on each side, combined map-side: copies and ties of a hot key or a hot
     # instant shrink to one row each before anything is shuffled.
     L = left.where(not_null(lk + [left_ts])).withColumn("_kt", key_time(lk, left_ts, False))
-    dl = L.select("_kt").distinct().withColumn("_left", F.lit(True))
-    dr = right.where(not_null(rk + [right_ts])).select(key_time(rk, right_ts, True)).distinct() \
-              .withColumn("_left", F.lit(False))
-    u = dl.unionByName(dr).select("_kt", F.col("_kt.k").alias("_k"), F.col("_kt.t").alias("_t"), "_left")
+    both = L.select("_kt", F.lit(True).alias("_left")).unionByName(
+        right.where(not_null(rk + [right_ts])).select(key_time(rk, right_ts, True), F.lit(False).alias("_left")))
+    u = both.distinct().select("_kt", F.col("_kt.k").alias("_k"), F.col("_kt.t").alias("_t"), "_left")
     u = u.withColumn("_c", _chunk(F.col("_t"), ltype, chunk_seconds))
 
     w = Window.partitionBy("_k", "_c").orderBy("_t")
