@@ -4,6 +4,7 @@ import os
 import tempfile
 
 import duckdb
+import pytest
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -20,9 +21,9 @@ def ntz(df):
                        else F.col(f.name) for f in df.schema.fields])
 
 
-def setup(spark):
-    tables = {"users": fx.users(spark), "tickets": fx.tickets(spark), "policies": fx.policy_facts(spark),
-              "metrics": fx.metrics(spark), "calls": fx.calls(spark)}
+def setup(spark, tables=None):
+    tables = tables or {"users": fx.users(spark), "tickets": fx.tickets(spark), "policies": fx.policy_facts(spark),
+                        "metrics": fx.metrics(spark), "calls": fx.calls(spark)}
     tables = {k: ntz(v) for k, v in tables.items()}
     root = tempfile.mkdtemp(prefix="caretrail-fixtures-")
     con = duckdb.connect()
@@ -55,3 +56,15 @@ def test_reports_match_oracle_on_fixtures(spark):
     n = check(_seconds_instead_of_intervals(call_report(src, checkpoint=False)), con,
               oracle_sql.call_report_events(sql_src))
     assert n == 3
+
+
+@pytest.mark.parametrize("seed", [1, 2])
+def test_reports_match_oracle_on_random_tables(spark, seed):
+    from tests.fuzz_fixtures import tables
+    src, sql_src, con = setup(spark, tables(spark, seed))
+    assert check(_seconds_instead_of_intervals(ticket_base(src, ticket_report=True)), con,
+                 oracle_sql.ticket_base_events(sql_src)) > 50
+    assert check(_seconds_instead_of_intervals(ticket_report(src, checkpoint=False)), con,
+                 oracle_sql.ticket_report_events(sql_src)) > 15   # claim or NULL subjects leave
+    assert check(_seconds_instead_of_intervals(call_report(src, checkpoint=False)), con,
+                 oracle_sql.call_report_events(sql_src)) > 20
