@@ -41,7 +41,7 @@ def tables(spark, seed: int):
         phone = None if rnd.random() < 0.15 else rnd.choice([ph, f"+34 {ph[:3]} {ph[3:6]} {ph[6:]}"])
         users.append((uid, notes, phone, None, None, None, None, None, None, f"U{uid}"))
 
-    tickets = []
+    tickets, ticket_keys = [], []
     for i in range(160):
         ph = rnd.choice(phones)
         desc = rnd.choice([f"Caller Phone number : +34 {ph}", f"Caller Phone number : {ph}", "sin telefono",
@@ -50,6 +50,8 @@ def tables(spark, seed: int):
         if tipo and rnd.random() < 0.3:
             tipo = tipo.upper()
         created = None if rnd.random() < 0.03 else _t(rnd)
+        if desc and desc.endswith(ph) and "336" not in desc:
+            ticket_keys.append((ph, created))   # the description carries the join phone
         tickets.append((5000 + i, rnd.choice(list(range(1, 46)) + [None]), created,
                         created and created + dt.timedelta(hours=rnd.randrange(48)), desc,
                         rnd.choice(["api", "email", "phone", None]), tipo,
@@ -82,14 +84,20 @@ def tables(spark, seed: int):
     for c in range(220):
         created = None if rnd.random() < 0.02 else _t(rnd)
         ph = rnd.choice(phones)
+        if rnd.random() < 0.4:
+            # a call near a ticket of the same phone, at the edges of the 10000 s tolerance
+            ph, near = rnd.choice(ticket_keys)
+            if near is not None:
+                offset = rnd.choice([-10001, -10000, -9999, -5000, -1, 0, 1, 3600, 9999, 10000, 10001])
+                created = near + dt.timedelta(seconds=offset)
         inbound = rnd.random() < 0.8
         client = rnd.choice(["34" + ph] * 6 + ["anonymous", WEB, BLOCKED])
         frm, to = (client, rnd.choice([NPS, OFFICE, OFFICE])) if inbound else (rnd.choice([OFFICE, NPS]), client)
-        ans = None if (created is None or rnd.random() < 0.05) else created + dt.timedelta(seconds=rnd.randrange(60))
+        ans = None if (created is None or rnd.random() < 0.05) else created + dt.timedelta(seconds=rnd.choice([0, 0, 5]))
         dur = rnd.randrange(0, 600)
         calls.append((700000 + c, created, ans, created and created + dt.timedelta(seconds=dur), frm, to,
                       "inbound" if inbound else "outbound", rnd.choice(LINE_VOCAB + [None]), dur,
-                      max(0, dur - rnd.randrange(40)), rnd.choice(["Yes", "Yes", "yes", "No", None]),
+                      max(0, dur - rnd.randrange(40)), rnd.choice(["Yes"] * 5 + ["yes", "No", None]),
                       rnd.choice(["Agent A", "Agent B", None])))
 
     return {"users": spark.createDataFrame(users, domain.USERS),
