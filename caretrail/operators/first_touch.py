@@ -48,3 +48,25 @@ def first_touch(df: DataFrame, keys, order: Sequence[str], values: dict[str, str
     firsts = firsts.withColumn("_j", F.struct(F.col("_k").alias("g"))).drop("_k")
     rows = df.withColumn("_j", F.struct(F.struct(*[F.col(k) for k in ks]).alias("g")))
     return rows.join(firsts, "_j", "left").drop("_j")
+
+
+def first_touch_nested(df: DataFrame, groups: Sequence[str], order: Sequence[str], value: str,
+                       outs: Sequence[str], *, tiebreak: Sequence[str] = ()) -> DataFrame:
+    """First-row ``value`` for several nested groupings at once, e.g. session labels at 15/30/60 days.
+
+    ``groups`` go from finest to coarsest, and every finest group must lie inside one group of each
+    coarser grouping (sessions at a larger gap are unions of sessions at a smaller gap). One map-side
+    combined aggregation over the finest groups is rolled up to the coarser ones on that small
+    table, and the result is joined back to the rows once, instead of once per grouping.
+    """
+    finest, coarser = groups[0], list(groups[1:])
+    first = F.struct(*[F.col(c).alias(f"o{i}") for i, c in enumerate(list(order) + list(tiebreak))],
+                     F.col(value).alias("v"))
+    per = df.groupBy(F.col(finest)).agg(F.min(first).alias("_m0"), *[F.max(g).alias(g) for g in coarser])
+    for i, g in enumerate(coarser, start=1):
+        up = per.groupBy(F.struct(F.col(g)).alias("_u")).agg(F.min("_m0").alias(f"_m{i}"))
+        per = per.withColumn("_u", F.struct(F.col(g))).join(up, "_u", "left").drop("_u")
+    per = per.select(F.struct(F.struct(F.col(finest)).alias("g")).alias("_j"),
+                     *[F.col(f"_m{i}.v").alias(out) for i, out in enumerate(outs)])
+    rows = df.withColumn("_j", F.struct(F.struct(F.col(finest)).alias("g")))
+    return rows.join(per, "_j", "left").drop("_j")

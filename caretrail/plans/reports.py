@@ -23,7 +23,7 @@ from caretrail.functions.timeutil import epoch_seconds, ntz_from_epoch, plus_day
 from caretrail.operators.attribution import attribute_purchases, conversion_flags
 from caretrail.operators.calls import filter_calls, normalize_calls, report_calls
 from caretrail.operators.categorize import categorize
-from caretrail.operators.first_touch import first_touch
+from caretrail.operators.first_touch import first_touch, first_touch_nested
 from caretrail.operators.matching import match_calls_to_tickets, one_row_per
 from caretrail.operators.sessions import sessionize
 from caretrail.operators.users import normalize_users
@@ -188,9 +188,11 @@ def call_report(src: Sources, *, checkpoint: bool = True, dedupe: str = "referen
     crit = first_touch_criteria(base)
     out = (calls.join(matched, calls["call_id"] == matched["aircall_id"], "left")
                 .join(crit, "id", "left"))
-    # Read six times below (three group aggregates and three joins back): cut it once.
+    # Read twice below (the group aggregate and the join back): cut it once.
     out = materialize(report_calls(out), checkpoint)
-    for g, name in ((30, "first_incidencia_30"), (15, "first_incidencia_client_15"), (60, "first_incidencia_client_60")):
-        out = first_touch(out, [f"client_{g}"], ["created_time_utc"], {name: "incidencia_grouped"},
-                          tiebreak=["call_id", "id"])
-    return out
+    # Sessions nest (a 60-day session is a union of 30-day ones, of 15-day ones): one aggregate over
+    # the 15-day labels, rolled up to 30 and 60 days on that small table, one join back.
+    return first_touch_nested(out, ["client_15", "client_30", "client_60"], ["created_time_utc"],
+                              "incidencia_grouped",
+                              ["first_incidencia_client_15", "first_incidencia_30", "first_incidencia_client_60"],
+                              tiebreak=["call_id", "id"])
