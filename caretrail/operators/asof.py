@@ -20,6 +20,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 _TIME_TYPES = (T.TimestampType, T.TimestampNTZType, T.DateType)
+# One hour of distinct times per (key, chunk) group at most; see caretrail.operators.sessions.
+DEFAULT_CHUNK_SECONDS = 3600
 
 
 def _keys(key) -> list[str]:
@@ -33,7 +35,7 @@ def _chunk(t: Column, dtype: T.DataType, length: int) -> Column:
 
 def nearest_times(left: DataFrame, right: DataFrame, left_key, right_key, left_ts: str, right_ts: str, *,
                   prev_name: str = "prev_time", next_name: str = "next_time",
-                  chunk_seconds: int = 86400) -> DataFrame:
+                  chunk_seconds: int = DEFAULT_CHUNK_SECONDS) -> DataFrame:
     """Left rows with a non-NULL key and time, plus ``prev_name`` / ``next_name``.
 
     ``prev_name``: max right time <= left time; ``next_name``: min right time >= left time; NULL when

@@ -23,7 +23,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from caretrail.functions.timeutil import floor_days_between, plus_days
-from caretrail.operators.asof import nearest_times
+from caretrail.operators.asof import DEFAULT_CHUNK_SECONDS, nearest_times
 
 # Horizons in days, in the source's column order.
 HORIZONS = (7, 14, 1, 3)
@@ -33,7 +33,7 @@ def attribute_purchases(tickets: DataFrame, policies: DataFrame, *, ticket_id: s
                         ticket_key: str = "dni_nie", created: str = "created_at",
                         policy_key: str = "dni_nie", purchased: str = "purchased_at",
                         policy_number: str = "policy_number", interrupted: str | None = "interrupted_at",
-                        horizons: Sequence[int] = HORIZONS, chunk_seconds: int = 86400) -> DataFrame:
+                        horizons: Sequence[int] = HORIZONS, chunk_seconds: int = DEFAULT_CHUNK_SECONDS) -> DataFrame:
     """Nearest policy rows per ticket with horizon columns, followed by all policy columns."""
     t = tickets.select(F.col(ticket_id).alias("_tid"), F.col(ticket_key).alias("_tkey"),
                        F.col(created).alias("_created"))

@@ -36,6 +36,9 @@ from pyspark.sql import functions as F
 
 from caretrail.functions.timeutil import SECONDS_PER_DAY, whole_days
 
+# One hour: a hot key's busiest chunk holds at most an hour of its distinct times, while a key
+# adds at most ~8,760 chunk rows per year to the chunk table.
+DEFAULT_CHUNK_SECONDS = 3600
 # Chunk index of rows with a NULL time: sorts before every real chunk, as NULLs sort first.
 NULL_CHUNK = -(2**63)
 _DST_MARGIN = 3600
@@ -75,7 +78,7 @@ def sessionize(df: DataFrame, key, ts: str, gaps: Sequence[int] = (15,), *,
                first_ts_fmt: str | None = None,
                group_count_fmt: str | None = None,
                firsts: Mapping[str, str] | None = None,
-               chunk_seconds: int = SECONDS_PER_DAY) -> DataFrame:
+               chunk_seconds: int = DEFAULT_CHUNK_SECONDS) -> DataFrame:
     """Append session columns to every row of ``df`` (no row is added or dropped).
 
     ``first_ts_fmt`` / ``group_count_fmt`` / ``firsts`` add the U14 rollups per session group:
