@@ -47,9 +47,13 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the reliable checkpoint folder, setting one only when the cluster names none.
 
     On a cluster ``spark.checkpoint.dir`` points at shared storage and is used as is. Only when it
-    is unset (a bare local test session) a fresh folder is created.
+    is unset (a bare local test session) a fresh folder is created. On a Spark Connect session the
+    server's setting applies and is returned as configured.
     """
-    sc = spark.sparkContext
+    try:
+        sc = spark.sparkContext
+    except Exception:  # Spark Connect: no driver-side context; the server owns the setting
+        return spark.conf.get("spark.checkpoint.dir", "") or ""
     current = sc.getCheckpointDir()
     if current:
         return current
