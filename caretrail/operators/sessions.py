@@ -101,21 +101,20 @@ def sessionize(df: DataFrame, key, ts: str, gaps: Sequence[int] = (15,), *,
     # 1. Tie groups: one row per (key, time), combined map-side, so copies and rows sharing an
     #    instant never travel or sort together. Only the first row of a group (by tiebreak) can start
     #    a session or see the previous time; the others have lag = own time.
-    aggs = [F.count(F.lit(1)).alias("_cnt"), F.min("_tb").alias("_tb1")]
-    if value_cols:
-        aggs.append(F.min(F.struct(F.col("_tb").alias("b"),
-                                   *[F.col(c).alias(f"v{i}") for i, c in enumerate(value_cols)])).alias("_gfirst"))
-    ties = (rows.groupBy("_kt").agg(*aggs)
+    ties = (rows.groupBy("_kt").agg(F.min("_tb").alias("_tb1"))
                 .select("*", F.col("_kt.k").alias("_k"), F.col("_kt.t").alias("_t")))
     ties = ties.withColumn("_c", _chunk_of("_t", length))
     w_in = Window.partitionBy("_k", "_c").orderBy("_t")
     ties = ties.withColumn("_prev_in", F.lag("_t").over(w_in)).withColumn("_rn", F.row_number().over(w_in))
 
-    # 2. Chunk table: one row per (key, chunk); ties is already partitioned by (key, chunk).
-    caggs = [F.sum("_cnt").alias("_cnt"), F.min("_t").alias("_tmin"), F.max("_t").alias("_tmax")]
+    # 2. Chunk table: one row per (key, chunk), aggregated straight from the rows (map-side
+    #    partial aggregation, one narrow shuffle).
+    caggs = [F.count(F.lit(1)).alias("_cnt"), F.min(ts).alias("_tmin"), F.max(ts).alias("_tmax")]
     if value_cols:
-        caggs.append(F.min(F.struct(F.col("_t").alias("t"), F.col("_gfirst").alias("g"))).alias("_first"))
-    chunks = ties.groupBy("_k", "_c").agg(*caggs)
+        first_row = F.struct(F.col(ts).alias("t"), F.struct(
+            F.col("_tb").alias("b"), *[F.col(c).alias(f"v{i}") for i, c in enumerate(value_cols)]).alias("g"))
+        caggs.append(F.min(first_row).alias("_first"))
+    chunks = rows.withColumn("_c", _chunk_of(ts, length)).groupBy("_k", "_c").agg(*caggs)
 
     # Everything below runs on the chunk table, partitioned once by key: a hot key adds one row per
     # chunk here, not one per event, so windows over whole keys or sessions stay small.
