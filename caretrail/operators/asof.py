@@ -61,15 +61,17 @@ def nearest_times(left: DataFrame, right: DataFrame, left_key, right_key, left_t
     L = left.where(not_null(lk + [left_ts])).withColumn("_kt", key_time(lk, left_ts, False))
     both = L.select("_kt", F.lit(True).alias("_left")).unionByName(
         right.where(not_null(rk + [right_ts])).select(key_time(rk, right_ts, True), F.lit(False).alias("_left")))
-    u = both.distinct().select("_kt", F.col("_kt.k").alias("_k"), F.col("_kt.t").alias("_t"), "_left")
-    u = u.withColumn("_c", _chunk(F.col("_t"), ltype, chunk_seconds))
+    both = both.select("_kt", F.col("_kt.k").alias("_k"), F.col("_kt.t").alias("_t"), "_left")
+    both = both.withColumn("_c", _chunk(F.col("_t"), ltype, chunk_seconds))
+    u = both.distinct()
 
     w = Window.partitionBy("_k", "_c").orderBy("_t")
     right_t = F.when(~F.col("_left"), F.col("_t"))
     u = (u.withColumn("_pin", F.max(right_t).over(w.rangeBetween(Window.unboundedPreceding, Window.currentRow)))
           .withColumn("_nin", F.min(right_t).over(w.rangeBetween(Window.currentRow, Window.unboundedFollowing))))
 
-    chunks = u.groupBy("_k", "_c").agg(F.max(right_t).alias("_rmax"), F.min(right_t).alias("_rmin"))
+    # per (key, chunk) latest / earliest right time, straight from the raw union (map-side partial)
+    chunks = both.groupBy("_k", "_c").agg(F.max(right_t).alias("_rmax"), F.min(right_t).alias("_rmin"))
     wk = Window.partitionBy("_k").orderBy("_c")
     chunks = (chunks.withColumn("_pch", F.max("_rmax").over(wk.rowsBetween(Window.unboundedPreceding, -1)))
                     .withColumn("_nch", F.min("_rmin").over(wk.rowsBetween(1, Window.unboundedFollowing)))
