@@ -3,9 +3,9 @@
 For every left row it finds, among right rows with the same key, the latest right time at or before
 the left time and the earliest right time at or after it. Equal times count on both sides.
 
-Plan shape. No pairs are formed. Each side is first reduced to its distinct (key, time) values
-(map-side, so copies and ties never travel). Those are unioned and shuffled by ``(key, time
-chunk)``; a RANGE window inside each chunk gives the nearest right time within the chunk. A
+Plan shape. No pairs are formed. The two sides' (key, time) values are unioned and reduced to
+distinct (key, time, side) rows map-side, so copies and ties never travel, then shuffled by
+``(key, time chunk)``; a RANGE window inside each chunk gives the nearest right time within the chunk. A
 per-chunk table (latest / earliest right time of each key and chunk, one row per key and chunk)
 carries the answer across chunk borders with a running max / min over chunks. The answers, one
 per distinct left (key, time), are joined back to the left rows. A key that holds a third of all
@@ -56,8 +56,8 @@ def nearest_times(left: DataFrame, right: DataFrame, left_key, right_key, left_t
         k = F.struct(*[(F.col(c).cast(key_types[i]) if cast else F.col(c)).alias(f"k{i}") for i, c in enumerate(keys)])
         return F.struct(k.alias("k"), (F.col(ts).cast(ltype) if cast else F.col(ts)).alias("t")).alias("_kt")
 
-    # Distinct (key, time) on each side, combined map-side: copies and ties of a hot key or a hot
-    # instant shrink to one row each before anything is shuffled.
+    # Distinct (key, time, side), combined map-side: copies and ties of a hot key or a hot instant
+    # shrink to one row each before anything is shuffled.
     L = left.where(not_null(lk + [left_ts])).withColumn("_kt", key_time(lk, left_ts, False))
     both = L.select("_kt", F.lit(True).alias("_left")).unionByName(
         right.where(not_null(rk + [right_ts])).select(key_time(rk, right_ts, True), F.lit(False).alias("_left")))
