@@ -17,7 +17,9 @@ holding a third of the rows becomes a single third-of-the-data task. Here:
 
 1. rows are combined map-side into tie groups, one per (key, time): copies and rows sharing an
    instant never travel or sort together (only a group's first row, by tiebreak, can start a
-   session or see an earlier time; the others get lag = their own time);
+   session or see an earlier time; the others get lag = their own time). Without a unique
+   tiebreak, identical rows first collapse into units with a multiplicity and are re-expanded at
+   the end, in blocks spread over tasks when a unit is very large;
 2. tie groups are shuffled by ``(key, time chunk)``; a chunk is shorter than the smallest gap, so a
    session boundary can only fall on a chunk's first row and every chunk lies inside one session.
    The previous time inside a chunk is a window over that chunk's distinct times;
@@ -67,6 +69,32 @@ def _label(keys: list[str], n: Column) -> Column:
     return F.concat(*[F.col(k) for k in keys], F.lit("-"), n)
 
 
+# Largest number of rows one task re-expands from a unit of identical rows; bigger units are cut
+# into blocks that are spread over tasks first.
+EXPAND_BLOCK = 1 << 16
+
+
+def _expand_units(out: DataFrame, first_of_tie: Column, ts: str) -> DataFrame:
+    """Back from units (identical rows with a multiplicity) to rows: the group's first unit yields
+    one row with the previous time and ``_mult - 1`` with its own time, other units ``_mult`` rows
+    with their own time."""
+    out = out.withColumn("_first", first_of_tie)
+
+    def lags(n: Column, with_prev: Column) -> Column:
+        own = F.array_repeat(F.col(ts), (n - F.when(with_prev, 1).otherwise(0)).cast("int"))
+        return F.when(with_prev, F.concat(F.array(F.col("_prev")), own)).otherwise(own)
+
+    small = out.where(F.col("_mult") <= EXPAND_BLOCK).withColumn("_lag", F.explode(lags(F.col("_mult"), F.col("_first"))))
+    big = out.where(F.col("_mult") > EXPAND_BLOCK)
+    nblocks = ((F.col("_mult") + EXPAND_BLOCK - 1) / EXPAND_BLOCK).cast("bigint")
+    big = (big.withColumn("_blk", F.explode(F.sequence(F.lit(0).cast("bigint"), nblocks - 1)))
+              .repartition("_kt", "_blk")
+              .withColumn("_n", F.least(F.lit(EXPAND_BLOCK).cast("bigint"), F.col("_mult") - F.col("_blk") * EXPAND_BLOCK))
+              .withColumn("_lag", F.explode(lags(F.col("_n"), F.col("_first") & (F.col("_blk") == 0))))
+              .drop("_blk", "_n"))
+    return small.unionByName(big)
+
+
 def sessionize(df: DataFrame, key, ts: str, gaps: Sequence[int] = (15,), *,
                tiebreak: Sequence[str] = (),
                tiebreak_unique: bool = False,
@@ -100,9 +128,21 @@ def sessionize(df: DataFrame, key, ts: str, gaps: Sequence[int] = (15,), *,
 
     # 1. Tie groups: one row per (key, time), combined map-side, so copies and rows sharing an
     #    instant never travel or sort together. Only the first row of a group (by tiebreak) can start
-    #    a session or see the previous time; the others have lag = own time.
-    ties = (rows.groupBy("_kt").agg(F.min("_tb").alias("_tb1"))
-                .select("*", F.col("_kt.k").alias("_k"), F.col("_kt.t").alias("_t")))
+    #    a session or see the previous time; the others have lag = own time. Without a unique
+    #    tiebreak, identical rows first collapse into units with a multiplicity, and the first unit
+    #    is the smallest by (tiebreak, whole row): no window ever ranks a pile of copies.
+    if tiebreak_unique:
+        units = rows.withColumn("_mult", F.lit(1).cast("bigint"))
+        rank_key = F.struct(F.col("_tb").alias("b"))
+    else:
+        units = (df.groupBy(*[F.col(c) for c in df.columns]).agg(F.count(F.lit(1)).alias("_mult"))
+                   .withColumn("_k", F.struct(*[F.col(k) for k in keys]))
+                   .withColumn("_kt", F.struct(F.col("_k").alias("k"), F.col(ts).alias("t")))
+                   .withColumn("_tb", tb))
+        rank_key = F.struct(F.col("_tb").alias("b"), F.struct(*[F.col(c) for c in df.columns]).alias("r"))
+    units = units.withColumn("_rank", rank_key)
+    ties = (units.groupBy("_kt").agg(F.min("_rank").alias("_tb1"))
+                 .select("*", F.col("_kt.k").alias("_k"), F.col("_kt.t").alias("_t")))
     ties = ties.withColumn("_c", _chunk_of("_t", length))
     w_in = Window.partitionBy("_k", "_c").orderBy("_t")
     ties = ties.withColumn("_prev_in", F.lag("_t").over(w_in)).withColumn("_rn", F.row_number().over(w_in))
@@ -157,17 +197,13 @@ def sessionize(df: DataFrame, key, ts: str, gaps: Sequence[int] = (15,), *,
     ties = ties.join(chunks.select(*chunk_cols), ["_k", "_c"], "inner")
     ties = ties.withColumn("_prev", F.when(F.col("_rn") == 1, F.col("_prev_max")).otherwise(F.col("_prev_in")))
     answer_cols = ["_kt", "_tb1", "_prev", "_num"] + [f"_n{g}" for g in gaps] + rollup_names
-    out = rows.join(ties.select(*answer_cols), "_kt", "inner")
-    first_of_tie = F.col("_tb") == F.col("_tb1")
-    if not tiebreak_unique:
-        # rows equal in key, time and tiebreak: exactly one of them is the group's first. Ordering by
-        # every column makes the choice repeatable when a lost task is recomputed; rows equal in all
-        # columns are interchangeable.
-        full_order = [F.col(c) for c in df.columns]
-        first_of_tie = first_of_tie & (F.row_number().over(Window.partitionBy("_kt", "_tb").orderBy(*full_order)) == 1)
-    out = out.withColumn("_first_of_tie", first_of_tie)
-
-    lag = F.when(F.col("_first_of_tie"), F.col("_prev")).otherwise(F.col(ts))
+    out = units.join(ties.select(*answer_cols), "_kt", "inner")
+    first_of_tie = F.col("_rank") == F.col("_tb1")
+    if tiebreak_unique:
+        out = out.withColumn("_lag", F.when(first_of_tie, F.col("_prev")).otherwise(F.col(ts)))
+    else:
+        out = _expand_units(out, first_of_tie, ts)
+    lag = F.col("_lag")
     new_cols: dict[str, Column] = {count_name: F.col("_num")}
     for g in gaps:
         new_cols[number_fmt.format(gap=g)] = F.col(f"_n{g}")

@@ -100,3 +100,15 @@ def test_hot_key_is_spread(spark):
     assert_same(got, want)
     n_chunks = hot.where("k = -1").select(F.floor(F.unix_timestamp("o_orderdate") / chunk_length(15))).distinct().count()
     assert n_chunks > 100
+
+
+def test_copies_expand_in_blocks(spark, monkeypatch):
+    """Units of identical rows larger than a block are re-expanded block by block."""
+    import caretrail.operators.sessions as sessions_mod
+    monkeypatch.setattr(sessions_mod, "EXPAND_BLOCK", 2)
+    rows = copy_rows() + [(2, "a", d("2024-01-16 23:59:59"), "y")] * 3
+    df = spark.createDataFrame(rows, SCHEMA)
+    got = sessionize(df, "k", "t", (15, 30), tiebreak=["id"])
+    want = sessions_naive(df, "k", "t", (15, 30), tiebreak=["id"])
+    assert_same(got, want)
+    assert got.where("id = 2").count() == 6
