@@ -210,3 +210,12 @@ def call_report_events(spark: SparkSession, root: str) -> DataFrame:
     from caretrail.plans import analog_tables as at
     from caretrail.plans.reports import call_report
     return _seconds_instead_of_intervals(call_report(at.sources(spark, root)))
+
+
+def session_window_rollups_orders(spark: SparkSession, root: str) -> DataFrame:
+    """U14 by the streaming route (``session_window``), run as a batch on orders at 15 days: one row
+    per customer session with its bounds, first date, size and first priority."""
+    from caretrail.streaming.sessions import session_rollups
+    orders = read_table(spark, root, "orders").select("o_orderkey", "o_custkey", "o_orderdate", "o_orderpriority")
+    return session_rollups(orders, "o_custkey", "o_orderdate", 15, firsts={"first_priority": "o_orderpriority"},
+                           tiebreak=["o_orderkey"])

@@ -23,6 +23,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "ticket_base_events": analogs.ticket_base_events,
     "ticket_report_events": analogs.ticket_report_events,
     "call_report_events": analogs.call_report_events,
+    "session_window_rollups_orders": analogs.session_window_rollups_orders,
 }
 
 ORACLES: dict[str, Callable[[], str]] = {
@@ -40,4 +41,5 @@ ORACLES: dict[str, Callable[[], str]] = {
     "ticket_base_events": oracle_sql.ticket_base_events,
     "ticket_report_events": oracle_sql.ticket_report_events,
     "call_report_events": oracle_sql.call_report_events,
+    "session_window_rollups_orders": oracle_sql.session_window_rollups_orders,
 }
