@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from caretrail.llm import near_dedup
+from caretrail.llm import decontamination, near_dedup, quality_rules
 from caretrail.llm.common import ship
 
 
@@ -18,9 +18,12 @@ def _registered(fn: Callable[[SparkSession, str], DataFrame]) -> Callable[[Spark
 
 
 QUERIES = {fn.__name__: _registered(fn) for fn in (
+    quality_rules.op2_quality_rules,
     near_dedup.op3_near_dedup,
+    decontamination.op9_decontamination,
 )}
 
 ORACLES = {
     "op3_near_dedup": near_dedup.ORACLE,
+    "op9_decontamination": decontamination.ORACLE,
 }
