@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from caretrail.llm import decontamination, near_dedup, packing, quality_rules, token_files
+from caretrail.llm import decontamination, language_id, near_dedup, packing, quality_classifier, quality_rules, token_files
 from caretrail.llm.common import ship
 
 
@@ -20,9 +20,11 @@ def _registered(fn: Callable[[SparkSession, str], DataFrame]) -> Callable[[Spark
 QUERIES = {fn.__name__: _registered(fn) for fn in (
     quality_rules.op2_quality_rules,
     near_dedup.op3_near_dedup,
+    quality_classifier.op5_quality_classifier,
     packing.op7_packing,
     token_files.op8_token_files,
     decontamination.op9_decontamination,
+    language_id.op10_language_id,
 )}
 
 ORACLES = {
