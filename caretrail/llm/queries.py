@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from caretrail.llm import decontamination, language_id, near_dedup, packing, quality_classifier, quality_rules, token_files
+from caretrail.llm import chat, decontamination, language_id, near_dedup, packing, quality_classifier, quality_rules, token_files, toxicity
 from caretrail.llm.common import ship
 
 
@@ -20,7 +20,9 @@ def _registered(fn: Callable[[SparkSession, str], DataFrame]) -> Callable[[Spark
 QUERIES = {fn.__name__: _registered(fn) for fn in (
     quality_rules.op2_quality_rules,
     near_dedup.op3_near_dedup,
+    toxicity.op4_toxicity,
     quality_classifier.op5_quality_classifier,
+    chat.op6_chat_formatting,
     packing.op7_packing,
     token_files.op8_token_files,
     decontamination.op9_decontamination,
@@ -29,5 +31,6 @@ QUERIES = {fn.__name__: _registered(fn) for fn in (
 
 ORACLES = {
     "op3_near_dedup": near_dedup.ORACLE,
+    "op6_chat_formatting": chat.ORACLE,
     "op9_decontamination": decontamination.ORACLE,
 }

@@ -20,6 +20,7 @@ read. Empty tables give no rows.
 from __future__ import annotations
 
 from collections.abc import Callable, Iterator
+from itertools import groupby
 
 import numpy as np
 import pyarrow as pa
@@ -38,8 +39,8 @@ LETTERS = 64
 #: fixed values: what a character may imitate
 LEET = {"0": "o", "1": "il", "2": "z", "3": "e", "4": "a", "5": "s", "6": "g", "7": "t", "8": "b", "9": "g",
         "@": "a", "$": "s", "!": "il", "|": "il", "+": "t", "(": "c", "€": "e", "£": "l"}
-#: log costs of the channel: imitation, a blot ("*" for any letter), a separator dropped, any other sign dropped, a repeat dropped
-IMITATE, BLOT, SEPARATOR, DROP, REPEAT = -1.0, -3.0, -0.3, -3.0, -0.2
+#: log costs of the channel: imitation, a blot ("*" for any letter), a separator dropped, any other sign dropped, one that could imitate dropped, the third and later of a run dropped
+IMITATE, BLOT, SEPARATOR, DROP, UNLIKELY, REPEAT = -1.0, -3.0, -0.3, -3.0, -7.0, -0.2
 SEPARATORS = frozenset(".-_*,~'`/\\:;+=^ ")
 BEAM = 24
 
@@ -99,9 +100,8 @@ class CharModel:
     def decode(self, token: str) -> str:
         """Viterbi over the token's lattice; the state is the last two letters."""
         states = {(0, 0): (0.0, "")}
-        before = ""
         log = self.log
-        for ch in token.lower():
+        for ch, often, again in [(c, n, k > 0) for c, n in ((c, len(list(g))) for c, g in groupby(token.lower())) for k in range(n)]:
             options = []
             if code_of(ch):
                 options.append((ch, 0.0))
@@ -109,12 +109,12 @@ class CharModel:
                 options.append((x, IMITATE))
             if ch == "*":
                 options += [(chr(97 + k), BLOT) for k in range(26)]
-            drop = SEPARATOR if ch in SEPARATORS else DROP
-            if ch == before:
-                drop = max(drop, REPEAT)
-            if code_of(ch) and ch != before:
-                drop = None
-            before = ch
+            if again and often > 2:
+                drop = REPEAT
+            elif ch in SEPARATORS:
+                drop = SEPARATOR
+            else:
+                drop = None if code_of(ch) else UNLIKELY if ch in LEET else DROP
             new: dict = {}
             for (a, b), (score, text) in states.items():
                 if drop is not None and ((a, b) not in new or new[a, b][0] < score + drop):
