@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from caretrail.llm import chat, decontamination, language_id, near_dedup, packing, quality_classifier, quality_rules, token_files, toxicity
+from caretrail.llm import chat, decontamination, language_id, licenses, near_dedup, packing, quality_classifier, quality_rules, token_files, toxicity
 from caretrail.llm.common import ship
 
 
@@ -18,6 +18,7 @@ def _registered(fn: Callable[[SparkSession, str], DataFrame]) -> Callable[[Spark
 
 
 QUERIES = {fn.__name__: _registered(fn) for fn in (
+    licenses.op1_license_scan,
     quality_rules.op2_quality_rules,
     near_dedup.op3_near_dedup,
     toxicity.op4_toxicity,
