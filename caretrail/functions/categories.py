@@ -77,24 +77,3 @@ def ladder(value: Column, rs: Ruleset) -> Column:
         cond, lab = rule_test(v, r), F.lit(r.label)
         expr = F.when(cond, lab) if expr is None else expr.when(cond, lab)
     return expr.otherwise(F.lit(rs.default).cast("string"))
-
-
-def sql_case(value_sql: str, rs: Ruleset) -> str:
-    """The ruleset as a SQL CASE (for the DuckDB oracle)."""
-    v = f"lower({value_sql})" if rs.lower_input else value_sql
-
-    def lit(s: str) -> str:
-        return "'" + s.replace("'", "''") + "'"
-
-    parts = []
-    for r in rs.rules:
-        if r.test == "eq":
-            cond = f"{v} = {lit(r.patterns[0])}"
-        elif r.test == "in":
-            cond = f"{v} IN ({', '.join(lit(p) for p in r.patterns)})"
-        else:
-            op = "ILIKE" if r.test == "ilike" else "LIKE"
-            cond = " OR ".join(f"{v} {op} {lit(p)}" for p in r.patterns)
-        parts.append(f"WHEN {cond} THEN {lit(r.label)}")
-    default = "NULL" if rs.default is None else lit(rs.default)
-    return "CASE " + " ".join(parts) + f" ELSE {default} END"

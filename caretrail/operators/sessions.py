@@ -218,3 +218,28 @@ def sessionize(df: DataFrame, key, ts: str, gaps: Sequence[int] = (15,), *,
         new_cols[name] = F.col(name)
     base_cols = [c for c in df.columns if c not in new_cols]
     return out.select(*[F.col(c) for c in base_cols], *[v.alias(k) for k, v in new_cols.items()])
+
+
+def session_table(df: DataFrame, key, ts: str, gap: int, *, tiebreak: Sequence[str] = (), tiebreak_unique: bool = False,
+                  firsts: Mapping[str, str] | None = None, first_ts_name: str = "first_contact_date",
+                  count_name: str = "num_contacts") -> DataFrame:
+    """One row per (key, session): session_start, session_end (last contact plus the gap), earliest time, row
+    count and first-row values. Rows of a NULL key are one session, as in :func:`sessionize`'s rollups.
+
+    The sessions of a key are numbered on its time chunks and their rows are combined map-side, so a
+    key with any share of the rows stays spread over the tasks that read it."""
+    keys = _keys(key)
+    cols = list(dict.fromkeys((firsts or {}).values()))
+    rows = df.select(*dict.fromkeys([*keys, ts, *tiebreak, *cols]))
+    numbered = sessionize(rows, key, ts, (gap,), tiebreak=tiebreak, tiebreak_unique=tiebreak_unique, count_name="_num",
+                          number_fmt="_session", label_fmt=None, lag_name=None, diff_name=None)
+    alone = F.lit(False)
+    for k in keys:
+        alone = alone | F.col(k).isNull()
+    first = F.min(F.struct(F.col(ts).alias("t"), *[F.col(c).alias(f"b{i}") for i, c in enumerate(tiebreak)],
+                           *[F.col(c).alias(f"v{i}") for i, c in enumerate(cols)]))
+    out = numbered.groupBy(*keys, F.when(alone, F.lit(-1)).otherwise(F.col("_session")).alias("_s")).agg(
+        F.min(ts).alias("session_start"), F.max(ts).alias("_last"), F.count(F.lit(1)).alias(count_name), first.alias("_first"))
+    gap_length = F.expr(f"INTERVAL '{gap} 23:59:59.999999' DAY TO SECOND")
+    return out.select(*keys, "session_start", (F.col("_last") + gap_length).alias("session_end"), F.col("session_start").alias(first_ts_name),
+                      count_name, *[F.col("_first")[f"v{cols.index(c)}"].alias(n) for n, c in (firsts or {}).items()])

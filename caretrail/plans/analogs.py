@@ -1,6 +1,6 @@
 """Operators run on the driver's tables (see FIXTURES.md §3 for the mapping).
 
-Each function takes ``(spark, sf_dir)`` and returns a lazy DataFrame over whole tables.
+Each function takes ``(spark, sf_dir)`` and returns a DataFrame (the two reports write their shared stages while being built) over whole tables.
 """
 
 from __future__ import annotations
@@ -213,9 +213,9 @@ def call_report_events(spark: SparkSession, root: str) -> DataFrame:
 
 
 def session_window_rollups_orders(spark: SparkSession, root: str) -> DataFrame:
-    """U14 by the streaming route (``session_window``), run as a batch on orders at 15 days: one row
-    per customer session with its bounds, first date, size and first priority."""
-    from caretrail.streaming.sessions import session_rollups
+    """U14 as a table, on orders at 15 days: one row per customer session with its bounds, first date,
+    size and first priority (the streaming route gives the same rows)."""
+    from caretrail.operators.sessions import session_table
     orders = read_table(spark, root, "orders").select("o_orderkey", "o_custkey", "o_orderdate", "o_orderpriority")
-    return session_rollups(orders, "o_custkey", "o_orderdate", 15, firsts={"first_priority": "o_orderpriority"},
-                           tiebreak=["o_orderkey"])
+    return session_table(orders, "o_custkey", "o_orderdate", 15, firsts={"first_priority": "o_orderpriority"},
+                         tiebreak=["o_orderkey"], tiebreak_unique=True)

@@ -11,6 +11,8 @@ base, which every report reads several times, into the session's reliable checkp
 
 from __future__ import annotations
 
+import os
+import uuid
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame
@@ -49,12 +51,15 @@ class Sources:
 
 
 def materialize(df: DataFrame, enabled: bool = True) -> DataFrame:
-    """Cut lineage with a reliable checkpoint (survives executor loss; never a local checkpoint)."""
+    """Cut lineage with a stage table: Parquet below the reliable checkpoint folder, so a lost executor
+    costs one stage at most, and each later read takes only the columns it needs."""
     if not enabled:
         return df
     from caretrail.session import ensure_checkpoint_dir
-    ensure_checkpoint_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
+    spark = df.sparkSession
+    path = os.path.join(ensure_checkpoint_dir(spark), f"stage-{uuid.uuid4().hex[:12]}")
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
 
 
 def ticket_base(src: Sources, *, ticket_report: bool = True, dedupe: str = "reference") -> DataFrame:
@@ -185,9 +190,10 @@ def call_report(src: Sources, *, checkpoint: bool = True, dedupe: str = "referen
     calls = recall_sessions(filter_calls(normalize_calls(src.calls)))
     calls = materialize(calls, checkpoint)
     matched = matched_tickets(calls, base)
-    crit = first_touch_criteria(base)
-    out = (calls.join(matched, calls["call_id"] == matched["aircall_id"], "left")
-                .join(crit, "id", "left"))
+    # First touch joins the few matched tickets, not the calls: unmatched calls have no ticket id, and as one
+    # NULL key they would all meet in one partition.
+    matched = matched.join(first_touch_criteria(base), "id", "left")
+    out = calls.join(matched, calls["call_id"] == matched["aircall_id"], "left")
     # Read twice below (the group aggregate and the join back): cut it once.
     out = materialize(report_calls(out), checkpoint)
     # Sessions nest (a 60-day session is a union of 30-day ones, of 15-day ones): one aggregate over

@@ -1,9 +1,10 @@
 """Run the reports on domain tables stored as parquet (or any Spark format).
 
     python -m caretrail.plans.run --tables /data/care --out /data/reports [--format parquet]
+    python -m caretrail.plans.run --database care --out /data/reports
 
-``--tables`` holds one folder per domain table, named as in :mod:`caretrail.sources.domain`
-(users, tickets, ticket_metrics, customer_data, policy, policy_interruption, offer, quote, payments,
+``--tables`` holds one folder per domain table, ``--database`` is a catalog database with these tables; the
+names are those of :mod:`caretrail.sources.domain` (users, tickets, ticket_metrics, customer_data, policy, policy_interruption, offer, quote, payments,
 transaction, calls). Each report is written to ``<out>/<report>``.
 """
 
@@ -20,9 +21,10 @@ from caretrail.sources.domain import read_domain
 REPORTS = {"ticket_report": ticket_report, "call_report": call_report}
 
 
-def load_sources(spark, root: str, fmt: str = "parquet") -> Sources:
+def load_sources(spark, root: str, fmt: str | None = "parquet") -> Sources:
+    """The domain tables below a folder, or in a catalog database when ``fmt`` is None."""
     def t(name: str):
-        return read_domain(spark, name, os.path.join(root, name), fmt)
+        return read_domain(spark, name, f"{root}.{name}" if fmt is None else os.path.join(root, name), fmt)
 
     facts = policy_facts(t("customer_data"), t("policy"), t("policy_interruption"), t("offer"), t("quote"),
                          t("payments"), t("transaction"))
@@ -32,13 +34,15 @@ def load_sources(spark, root: str, fmt: str = "parquet") -> Sources:
 
 def main(argv: list[str] | None = None) -> None:
     ap = argparse.ArgumentParser(description=__doc__.split("\n\n")[0])
-    ap.add_argument("--tables", required=True)
+    where = ap.add_mutually_exclusive_group(required=True)
+    where.add_argument("--tables")
+    where.add_argument("--database")
     ap.add_argument("--out", required=True)
     ap.add_argument("--format", default="parquet")
     ap.add_argument("--reports", nargs="*", default=list(REPORTS))
     args = ap.parse_args(argv)
     spark = build_session(app_name="caretrail-reports")
-    src = load_sources(spark, args.tables, args.format)
+    src = load_sources(spark, args.tables, args.format) if args.tables else load_sources(spark, args.database, None)
     for name in args.reports:
         REPORTS[name](src).write.mode("overwrite").parquet(os.path.join(args.out, name))
 

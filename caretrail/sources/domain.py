@@ -6,7 +6,10 @@ path or an existing DataFrame, never a hard-wired catalog name.
 
 from __future__ import annotations
 
+import warnings
+
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 _L, _S, _TS, _I = T.LongType(), T.StringType(), T.TimestampType(), T.IntegerType()
@@ -53,15 +56,33 @@ SCHEMAS = {
 }
 
 
-def read_domain(spark: SparkSession, name: str, path: str, fmt: str = "parquet") -> DataFrame:
-    """Read a domain table with its declared schema (no inference)."""
-    return spark.read.schema(SCHEMAS[name]).format(fmt).load(path)
+#: columns that identify or link rows; a table without them is refused
+KEYS = {
+    "users": ("id",), "tickets": ("id", "requester_id", "created_at"), "ticket_metrics": ("ticket_id", "updated_at"),
+    "customer_data": ("application_id", "policyholder_dni"), "policy": ("application_id", "policy_id", "offer_id", "quote_id"),
+    "policy_interruption": ("policy_id", "occurred_on"), "offer": ("offer_id", "customer_facing_id"),
+    "quote": ("application_id", "quote_id"), "payments": ("offer_id", "order_id"), "transaction": ("order_id",),
+    "calls": ("call_id", "created_time", "answered_time", "from", "to"),
+}
+
+
+def read_domain(spark: SparkSession, name: str, source: str, fmt: str | None = "parquet") -> DataFrame:
+    """A domain table with all its columns, declared ones in their declared types (:func:`conform`).
+    ``source`` is a path of the given format, or a catalog table's name when ``fmt`` is None."""
+    df = spark.table(source) if fmt is None else spark.read.format(fmt).load(source)
+    return conform(df, name)
 
 
 def conform(df: DataFrame, name: str) -> DataFrame:
-    """Cast an existing DataFrame to the declared schema; extra columns are kept after them."""
+    """Cast a DataFrame to the declared schema; extra columns are kept after the declared ones. A missing
+    key column is an error; any other declared column that is missing becomes NULL, with a warning."""
     schema = SCHEMAS[name]
-    declared = [f.name for f in schema.fields]
-    cols = [df[f.name].cast(f.dataType).alias(f.name) for f in schema.fields if f.name in df.columns]
-    extra = [df[c] for c in df.columns if c not in declared]
-    return df.select(*cols, *extra)
+    lost = [k for k in KEYS[name] if k not in df.columns]
+    if lost:
+        raise ValueError(f"table {name} lacks key columns {lost}; it has {df.columns}")
+    absent = [f.name for f in schema.fields if f.name not in df.columns]
+    if absent:
+        warnings.warn(f"table {name} lacks columns {absent}: NULL in the result", stacklevel=2)
+    declared = {f.name for f in schema.fields}
+    cols = [(F.lit(None) if f.name in absent else df[f.name]).cast(f.dataType).alias(f.name) for f in schema.fields]
+    return df.select(*cols, *[df[c] for c in df.columns if c not in declared])

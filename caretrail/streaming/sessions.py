@@ -4,16 +4,22 @@
 strictly before the session's end. The reports start a new session when more than N whole days
 passed, i.e. after at least N+1 days; a gap of ``N+1 days - 1 microsecond`` gives the same sessions
 (checked against :func:`caretrail.operators.sessions.sessionize` on orders at 15/30/60 days).
-Differences, by construction of ``session_window``: rows with a NULL time are dropped, and the
-rollups come per (key, session) rather than copied onto every contact.
+Differences, by construction of ``session_window``: rows with a NULL time are dropped, the rollups come
+per (key, session) rather than copied onto every contact, and contacts with a NULL key form sessions of
+their own (the batch operator puts all of them in one group, as a window over NULL labels does).
+
+One key's open sessions are one task's state. In batch use
+:func:`caretrail.operators.sessions.session_table`, which has no such limit.
 
 Caveat (Spark's optimizer, batch and stream): do not filter the result on ``session_start`` /
 ``session_end`` in the same plan; such a predicate is pushed below the session merge and splits
 sessions. Materialize (or write) first, then filter.
 
 State is kept per key and open session by Spark's state store; the watermark bounds how long a
-session stays open for late contacts. The stream's checkpoint goes below the cluster's
-``spark.checkpoint.dir`` unless a location is given.
+session stays open for late contacts. The stream's checkpoint goes below the configured
+``spark.checkpoint.dir`` itself, which outlives the application, so a restarted stream goes on where it
+stopped; without that setting a location must be given. Later contacts than the watermark allows are
+dropped by Spark.
 """
 
 from __future__ import annotations
@@ -53,18 +59,20 @@ def session_rollups(df: DataFrame, key: str, ts: str, gap_days: int, *,
 
 
 def stream_checkpoint(spark: SparkSession, name: str) -> str:
-    """A checkpoint folder for stream ``name`` below the cluster's reliable checkpoint folder."""
-    from caretrail.session import ensure_checkpoint_dir
-    return os.path.join(ensure_checkpoint_dir(spark), "streams", name)
+    """A folder for stream ``name`` that is the same after a restart."""
+    from caretrail.session import stable_root
+    root = stable_root(spark)
+    if not root:
+        raise ValueError("give checkpoint_location, or set spark.checkpoint.dir to a shared folder")
+    return os.path.join(root, "streams", name)
 
 
 def start_session_rollups(spark: SparkSession, source: str, schema: StructType, key: str, ts: str, gap_days: int, *,
-                          watermark: str, name: str, firsts: Mapping[str, str] | None = None,
-                          tiebreak: Sequence[str] = (), sink: str | None = None, output_mode: str = "append",
+                          watermark: str, name: str, sink: str, firsts: Mapping[str, str] | None = None,
+                          tiebreak: Sequence[str] = (), output_mode: str = "append",
                           checkpoint_location: str | None = None, max_files_per_trigger: int | None = None,
                           available_now: bool = False) -> StreamingQuery:
-    """Read new parquet files from ``source`` and keep session rollups in ``sink`` (parquet) or in an
-    in-memory table named ``name`` when no sink is given."""
+    """Read new parquet files from ``source`` and append closed sessions to ``sink`` (parquet)."""
     reader = spark.readStream.schema(schema)
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
@@ -76,7 +84,7 @@ def start_session_rollups(spark: SparkSession, source: str, schema: StructType,
     out = session_rollups(stream, key, ts, gap_days, firsts=firsts, tiebreak=tiebreak)
     writer = (out.writeStream.queryName(name).outputMode(output_mode)
                  .option("checkpointLocation", checkpoint_location or stream_checkpoint(spark, name)))
-    writer = writer.format("parquet").option("path", sink) if sink else writer.format("memory")
+    writer = writer.format("parquet").option("path", sink)
     if available_now:
         writer = writer.trigger(availableNow=True)
     return writer.start()

@@ -1,6 +1,11 @@
 import os
+import subprocess
+import sys
 import tempfile
 
+import pytest
+from pyspark.sql import functions as F
+
 from caretrail.plans import run
 from caretrail.sources import domain
 from tests import domain_fixtures as fx
@@ -22,6 +27,8 @@ def test_run_reports_from_folders(spark):
         "payments": spark.createDataFrame([("OF100", 1000), ("OF100", 1001)], domain.PAYMENTS),
         "transaction": spark.createDataFrame([(1000, "web"), (1001, "web")], domain.TRANSACTION),
     }
+    tables["ticket_metrics"] = tables["ticket_metrics"].withColumn("group_name", F.lit("north"))
+    tables["calls"] = tables["calls"].withColumn("queue_name", F.lit("q1"))
     for name, df in tables.items():
         df.write.parquet(os.path.join(root, name))
     run.main(["--tables", root, "--out", out])
@@ -32,11 +39,35 @@ def test_run_reports_from_folders(spark):
     assert tr.where("id = 101").count() == 2 and rows[101].policy_number == "POL000001"
     assert rows[101].interrupted_7days == "POL000001" and rows[101].pcw_source == "pcw"
     assert cr.count() == 3
+    # columns that the schemas don't name reach the reports
+    assert tr.where("group_name = 'north'").count() > 0 and cr.where("queue_name = 'q1'").count() == 3
 
 
 def test_conform_casts_to_declared_schema(spark):
     df = spark.createDataFrame([("7", "1", "2024-01-01 10:00:00", "extra")],
                                "id string, requester_id string, created_at string, other string")
-    out = domain.conform(df, "tickets")
+    with pytest.warns(UserWarning, match="description"):
+        out = domain.conform(df, "tickets")
     types = dict(out.dtypes)
     assert types["id"] == "bigint" and types["created_at"] == "timestamp" and out.columns[-1] == "other"
+
+
+def test_missing_key_column_is_refused(spark):
+    with pytest.raises(ValueError, match="requester_id"):
+        domain.conform(spark.createDataFrame([(1,)], "id long"), "tickets")
+
+
+def test_catalog_table(spark):
+    spark.createDataFrame([(1, "a", "more")], "id long, notes string, other string").createOrReplaceTempView("users_by_name")
+    with pytest.warns(UserWarning):
+        assert domain.read_domain(spark, "users", "users_by_name", None).columns[-1] == "other"
+
+
+def test_submitted_settings_win():
+    """Master, partitions and thresholds given as submit arguments survive build_session."""
+    code = ("from caretrail.session import build_session; s = build_session(); c = s.conf.get; "
+            "print('GOT', s.sparkContext.master, c('spark.sql.shuffle.partitions'), c('spark.sql.autoBroadcastJoinThreshold'))")
+    args = "--master local[2] --conf spark.ui.enabled=false --conf spark.sql.shuffle.partitions=777 --conf spark.sql.autoBroadcastJoinThreshold=20m pyspark-shell"
+    top = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+    out = subprocess.run([sys.executable, "-c", code], cwd=top, env=os.environ | {"PYSPARK_SUBMIT_ARGS": args}, capture_output=True, text=True, timeout=120)
+    assert "GOT local[2] 777 20m" in out.stdout, out.stderr[-500:]

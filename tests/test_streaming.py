@@ -3,10 +3,11 @@ import tempfile
 import time
 from collections import Counter
 
+import pytest
 from pyspark.sql import functions as F
 
-from caretrail.operators.sessions import sessionize
-from caretrail.streaming.sessions import session_rollups, start_session_rollups
+from caretrail.operators.sessions import session_table, sessionize
+from caretrail.streaming.sessions import session_rollups, start_session_rollups, stream_checkpoint
 from tests.conftest import SF
 from tests.helpers import assert_same, bag
 
@@ -36,10 +37,11 @@ def test_streaming_rollups(spark):
     for year in range(1995, 2002):
         o.where(F.year("o_orderdate") == year).coalesce(1).write.mode("append").parquet(src)
         time.sleep(1.1)
+    sink = tempfile.mkdtemp(prefix="caretrail-sink-") + "/sessions"
     q = start_session_rollups(spark, src, o.schema, "o_custkey", "o_orderdate", 15,
                               watermark="0 seconds", name="orders_sessions_test", max_files_per_trigger=1,
                               firsts={"first_priority": "o_orderpriority"}, tiebreak=["o_orderkey"],
-                              checkpoint_location=tempfile.mkdtemp(prefix="caretrail-stream-"))
+                              sink=sink, checkpoint_location=tempfile.mkdtemp(prefix="caretrail-stream-"))
     try:
         q.processAllAvailable()
     finally:
@@ -47,7 +49,7 @@ def test_streaming_rollups(spark):
     last = o.agg(F.max("o_orderdate")).first()[0]
     every = session_rollups(o, "o_custkey", "o_orderdate", 15, firsts={"first_priority": "o_orderpriority"},
                             tiebreak=["o_orderkey"]).collect()
-    got = spark.table("orders_sessions_test")
+    got = spark.read.parquet(sink)
     cols = ["o_custkey", "first_contact_date", "num_contacts", "first_priority"]
     got_bag = bag(got, cols)
     all_bag = Counter(tuple(r[c] for c in cols) for r in every)
@@ -62,3 +64,35 @@ def test_streaming_rollups(spark):
     missing = closed - got_bag
     assert not missing, list(missing)[:5]
     assert got.count() > 10000
+
+
+def test_restarted_stream_goes_on(spark):
+    """A second start with the same settings reads only new files and emits no session twice."""
+    o = spark.read.parquet(f"{SF}/orders.parquet").where("o_custkey < 200")
+    src, sink, place = (tempfile.mkdtemp(prefix="caretrail-restart-") + x for x in ("/in", "/out", "/checkpoint"))
+    for years in ((1995, 1996, 1997), (1998, 1999, 2000, 2001)):
+        for year in years:
+            o.where(F.year("o_orderdate") == year).coalesce(1).write.mode("append").parquet(src)
+            time.sleep(1.1)
+        q = start_session_rollups(spark, src, o.schema, "o_custkey", "o_orderdate", 15, watermark="0 seconds", name="restart_test",
+                                  sink=sink, checkpoint_location=place, max_files_per_trigger=1)
+        try:
+            q.processAllAvailable()
+        finally:
+            q.stop()
+    got = bag(spark.read.parquet(sink), ["o_custkey", "first_contact_date"])
+    assert got and max(got.values()) == 1
+
+
+def test_null_keys(spark):
+    """Without a key: sessions of their own in the stream's form, one group in the batch table."""
+    rows = spark.createDataFrame([(None, "2024-01-01 00:00:00"), (None, "2024-05-01 00:00:00"), (1, "2024-01-01 00:00:00")],
+                                 "k int, ts string").withColumn("ts", F.col("ts").cast("timestamp"))
+    assert session_rollups(rows, "k", "ts", 15).where("k IS NULL").count() == 2
+    one = session_table(rows, "k", "ts", 15).where("k IS NULL").collect()
+    assert [r.num_contacts for r in one] == [2]
+
+
+def test_checkpoint_needs_a_stable_place(spark):
+    with pytest.raises(ValueError):
+        stream_checkpoint(spark, "x")
