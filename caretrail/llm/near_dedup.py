@@ -4,21 +4,22 @@ Documents with 100 * |A and B| >= 75 * |A or B| over their distinct 5-word shing
 ``component_id`` is the smallest doc_id reachable over links.
 
 1. One pass over the texts (numpy on Arrow batches): set size, a 128-bit digest of the set, the minima
-   of ``HASHES`` universal hashes (8 bits of each are kept for the signature check) and the band keys.
+   of ``HASHES`` universal hashes (one bit of each is kept for the signature check) and the band keys.
 2. Documents with one digest have one set: they form a class, and its smallest id stands for it. Only
    such representatives go on, so copies never meet in a bucket.
 3. Band keys group representatives. A bucket offers each member one partner, its smallest member
    (pivot): as many pairs as members. Each member's best pivot by signature is checked on full sets.
 4. Components of these links. A bucket whose members are still in different components can hide a link
-   between two members other than the pivot: such members are paired, but only across components. A
-   bucket of more than ``HOT`` such members is split by further bands over the signature, again and
-   again, before any pair is formed, so no group is ever expanded into all its pairs.
-5. Candidates pass the signature check (estimate at least ``ESTIMATE``), then the exact check on full
-   sets, then large-star/small-star joins everything.
+   between two members other than the pivot: its rows outside the bucket's largest component are paired
+   with the rest of it. A bucket with more than ``HOT`` such pairs a member is first split by further
+   bands over the signature, again and again, so no group is ever expanded into all its pairs.
+5. Candidates pass the signature check (sizes, and at most ``FAR`` of 256 signature bits different,
+   as part of the join), then the exact check on full sets, then large-star/small-star joins everything.
 
-A pair at the threshold itself shares none of the 50 bands of 6 rows with probability 6e-5 (0.9: 2e-17);
-the estimate's standard deviation there is 0.027, so ESTIMATE lies five deviations below. Nothing else
-is capped.
+A pair at the threshold itself shares none of the 50 bands of 6 rows with probability 6e-5 (0.8: 3e-7);
+its signatures differ in 32 bits with standard deviation 5.3, so FAR lies five deviations above. In a
+bucket that is split, a pair meets again with probability 0.78 (0.8: 0.91) for each bucket it shares,
+nine on average. Nothing is capped.
 
 Defined results: a null or empty text (or one of white space only) has n_shingles 0 and is alone, even
 beside others of its kind. Fewer than five words: one shingle, the whole sequence. Repeated rows with one
@@ -28,7 +29,8 @@ null, kept true. Extra columns are not read. An empty table gives no rows.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -40,8 +42,10 @@ from caretrail.llm.components import components
 from caretrail.llm.hashing import U, distinct, mix, shingles, word_hashes
 
 HASHES, ROWS, BANDS = 256, 6, 50
-SUB_ROWS, SUB_BANDS, HOT, DEPTH = 8, 20, 32, 6
-ESTIMATE = 0.61
+SUB_BITS, SUB_BANDS, HOT, DEPTH = 16, 12, 512, 8
+BLOOM_BITS = 1 << 25
+FAR = 58
+BITS = ("s0", "s1", "s2", "s3")
 NUM, DEN = 75, 100
 
 
@@ -70,7 +74,15 @@ def _rows_of(count: int, rows: int, seed: int) -> np.ndarray:
 
 
 BAND_ROWS = _rows_of(BANDS, ROWS, 5)
-SUB_BAND_ROWS = _rows_of(SUB_BANDS * DEPTH, SUB_ROWS, 6)
+
+
+def _masks(depth: int) -> np.ndarray:
+    """For each further band of a depth, which of the 256 signature bits it reads, as four words."""
+    rng = np.random.RandomState(100 + depth)
+    bits = np.zeros((SUB_BANDS, HASHES), np.uint8)
+    for row in bits:
+        row[rng.permutation(HASHES)[:SUB_BITS]] = 1
+    return np.packbits(bits, axis=1).view(np.int64).reshape(SUB_BANDS, 4)
 
 
 def minima(s: np.ndarray) -> np.ndarray:
@@ -93,8 +105,8 @@ def _fold_rows(values: np.ndarray, rows: np.ndarray, seed: np.ndarray) -> np.nda
     return key
 
 
-def signatures(text: pa.Array) -> Iterator[tuple[int, int, int, bytes, np.ndarray]]:
-    """(set size, digest 1, digest 2, 8-bit signature, band keys) for each text, in order."""
+def signatures(text: pa.Array) -> Iterator[tuple[int, int, int, np.ndarray, np.ndarray]]:
+    """(set size, digest 1, digest 2, signature words, band keys) for each text, in order."""
     raw, offsets = text_arrays(text)
     seeds = _numbers(BANDS, 77)
     with np.errstate(over="ignore"):
@@ -102,16 +114,17 @@ def signatures(text: pa.Array) -> Iterator[tuple[int, int, int, bytes, np.ndarra
             for i in range(b - a):
                 s = distinct(shingles(h[bounds[i]:bounds[i + 1]]))
                 if not len(s):
-                    yield 0, 0, 0, b"", np.zeros(0, np.int64)
+                    yield 0, 0, 0, np.zeros(4, np.int64), np.zeros(0, np.int64)
                     continue
                 low = minima(s) >> U(24)
                 d1 = mix(s).sum(dtype=U)
                 d2 = mix(s * U(0xC2B2AE3D27D4EB4F) + U(99)).sum(dtype=U)
                 keys = _fold_rows(low, BAND_ROWS, seeds)
-                yield len(s), int(d1.view(np.int64)), int(d2.view(np.int64)), (mix(low) & U(255)).astype(np.uint8).tobytes(), keys.view(np.int64)
+                words = np.packbits((mix(low) & U(1)).astype(np.uint8)).view(np.int64)
+                yield len(s), int(d1.view(np.int64)), int(d2.view(np.int64)), words, keys.view(np.int64)
 
 
-SIG_SCHEMA = "doc_id bigint, n_shingles bigint, d1 bigint, d2 bigint, sig binary, bands array<bigint>"
+SIG_SCHEMA = "doc_id bigint, n_shingles bigint, d1 bigint, d2 bigint, s0 bigint, s1 bigint, s2 bigint, s3 bigint, bands array<bigint>"
 
 
 def _sign(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -121,44 +134,51 @@ def _sign(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             got = list(signatures(batch.column(1)))
             if not got:
                 continue
-            n, d1, d2, sig, bands = zip(*got)
+            n, d1, d2, words, bands = zip(*got)
             bounds = np.concatenate(([0], np.cumsum([len(x) for x in bands]))).astype(np.int32)
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0).cast(pa.int64()), pa.array(n, pa.int64()), pa.array(d1, pa.int64()), pa.array(d2, pa.int64()),
-                 pa.array(sig, pa.binary()), pa.ListArray.from_arrays(pa.array(bounds), pa.array(np.concatenate(bands)))],
-                ["doc_id", "n_shingles", "d1", "d2", "sig", "bands"])
+                 *(pa.array(w) for w in np.array(words).T), pa.ListArray.from_arrays(pa.array(bounds), pa.array(np.concatenate(bands)))],
+                ["doc_id", "n_shingles", "d1", "d2", *BITS, "bands"])
 
 
-def _sets(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """(doc_id, sorted distinct shingle hashes as bytes)."""
-    for whole in it:
-        for i in range(0, whole.num_rows, 256):
-            batch = whole.slice(i, 256)
-            raw, offsets = text_arrays(batch.column(1))
-            out = []
-            for a, b, h, bounds in word_hashes(raw, offsets):
-                out += [distinct(shingles(h[bounds[j]:bounds[j + 1]])).tobytes() for j in range(b - a)]
-            yield pa.RecordBatch.from_arrays([batch.column(0).cast(pa.int64()), pa.array(out, pa.binary())], ["node", "shingles"])
+def _places(column: str) -> list:
+    """Two positions of an id in the Bloom filter."""
+    return [F.pmod(F.xxhash64(column, F.lit(seed)), F.lit(BLOOM_BITS)) for seed in (1, 2)]
 
 
-def _bytes(col: pa.Array) -> list:
-    return col.to_pylist()
+def _bloom(nodes: DataFrame) -> np.ndarray:
+    """A Bloom filter of ids, of fixed size (4 MB), gathered as its words that are not 0."""
+    at = nodes.select(F.explode(F.array(*_places("node"))).alias("p"))
+    words = at.groupBy(F.shiftright("p", 6).alias("w")).agg(F.bit_or(F.expr("shiftleft(1L, cast(p & 63 as int))")).alias("bits")).toArrow()
+    out = np.zeros(BLOOM_BITS // 64, np.int64)
+    out[words.column("w").to_numpy()] = words.column("bits").to_numpy()
+    return out.view(U)
 
 
-def _estimates(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Share of equal minima, corrected for the chance that two different ones agree in 8 bits."""
-    for batch in it:
-        if batch.num_rows:
-            x = np.frombuffer(b"".join(_bytes(batch.column("sig_a"))), np.uint8).reshape(-1, HASHES)
-            y = np.frombuffer(b"".join(_bytes(batch.column("sig_b"))), np.uint8).reshape(-1, HASHES)
-            same = (x == y).mean(axis=1)
-            yield pa.RecordBatch.from_arrays([batch.column("a"), batch.column("b"), pa.array((same - 1 / 256) / (1 - 1 / 256))], ["a", "b", "estimate"])
+def _sets(bloom: np.ndarray) -> Callable:
+    """(doc_id, sorted distinct shingle hashes as bytes) of the documents that the filter lets through."""
+    def run(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for whole in it:
+            hit = np.ones(whole.num_rows, bool)
+            for name in ("p1", "p2"):
+                p = whole.column(name).to_numpy()
+                hit &= (bloom[p >> 6] >> (p & 63).astype(U)) & U(1) == U(1)
+            picked = np.flatnonzero(hit)
+            for i in range(0, len(picked), 256):
+                batch = whole.take(pa.array(picked[i:i + 256]))
+                raw, offsets = text_arrays(batch.column("text"))
+                out = []
+                for a, b, h, bounds in word_hashes(raw, offsets):
+                    out += [distinct(shingles(h[bounds[j]:bounds[j + 1]])).tobytes() for j in range(b - a)]
+                yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(out, pa.binary())], ["node", "shingles"])
+    return run
 
 
 def _exact(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in it:
         keep = []
-        for x, y in zip(_bytes(batch.column("set_a")), _bytes(batch.column("set_b"))):
+        for x, y in zip(batch.column("set_a").to_pylist(), batch.column("set_b").to_pylist()):
             p, q = np.frombuffer(x, U), np.frombuffer(y, U)
             if NUM * max(len(p), len(q)) > DEN * min(len(p), len(q)):  # sizes too far apart for any overlap
                 keep.append(False)
@@ -171,39 +191,44 @@ def _exact(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays([batch.column("a").filter(mask), batch.column("b").filter(mask)], ["u", "v"])
 
 
-def _sub_bands(depth: int):
-    rows = SUB_BAND_ROWS[depth * SUB_BANDS:(depth + 1) * SUB_BANDS]
-    seeds = _numbers(SUB_BANDS, 1000 + depth)
+def _apart(x: str, y: str):
+    """Number of signature bits in which two rows differ; their columns have the prefixes x and y."""
+    return sum((F.bit_count(F.col(x + c).bitwiseXOR(F.col(y + c))) for c in BITS), F.lit(0))
 
-    def run(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        with np.errstate(over="ignore"):
-            for whole in it:
-                for i in range(0, whole.num_rows, 512):
-                    batch = whole.slice(i, 512)
-                    n = batch.num_rows
-                    x = np.frombuffer(b"".join(_bytes(batch.column("sig"))), np.uint8).reshape(n, HASHES).astype(U)
-                    key = np.repeat(mix(batch.column("key").to_numpy().view(U))[:, None], SUB_BANDS, 1) + seeds[None, :]
-                    for j in range(SUB_ROWS):
-                        key = mix(key * U(0x9FB21C651E98DF25) + x[:, rows[:, j]])
-                    at = np.repeat(np.arange(n), SUB_BANDS)
-                    yield pa.RecordBatch.from_arrays([pa.array(key.reshape(-1).view(np.int64)), batch.column("node").take(pa.array(at)),
-                                                      batch.column("comp").take(pa.array(at))], ["key", "node", "comp"])
-    return run
+
+def _near(x: str, y: str):
+    """The signature check: sizes that allow the threshold, and signatures near enough."""
+    n, m = F.col(x + "n"), F.col(y + "n")
+    return (NUM * n <= DEN * m) & (NUM * m <= DEN * n) & (_apart(x, y) <= FAR)
+
+
+def _renamed(sig: DataFrame, prefix: str, node: str, *more: str) -> DataFrame:
+    return sig.select(*more, F.col("node").alias(node), *(F.col(c).alias(prefix + c) for c in ("n", *BITS)))
 
 
-def _estimated(pairs: DataFrame, sig: DataFrame) -> DataFrame:
-    """pairs (a, b) with their estimated similarity."""
-    got = (pairs.join(sig.select(F.col("node").alias("a"), F.col("sig").alias("sig_a")), "a")
-           .join(sig.select(F.col("node").alias("b"), F.col("sig").alias("sig_b")), "b"))
-    return got.select("a", "b", "sig_a", "sig_b").mapInArrow(_estimates, "a bigint, b bigint, estimate double")
+def _sub_keys(rows: DataFrame, depth: int) -> DataFrame:
+    """Each row under its keys of one further depth: the old key and some of its signature's bits."""
+    keys = F.array(*(F.xxhash64(F.lit(depth), F.lit(i), "key", *(F.col(c).bitwiseAND(F.lit(int(m))) for c, m in zip(BITS, mask)))
+                     for i, mask in enumerate(_masks(depth))))
+    return rows.select(F.explode(keys).alias("key"), "node", "comp", "n", *BITS)
+
+
+def _rated(pairs: DataFrame, sig: DataFrame) -> DataFrame:
+    """pairs (a, b) that pass the signature check, with the number of bits apart."""
+    got = pairs.join(_renamed(sig, "a_", "a"), "a").join(_renamed(sig, "b_", "b"), "b")
+    return got.where(_near("a_", "b_")).select("a", "b", _apart("a_", "b_").alias("apart"))
 
 
 def _verified(pairs: DataFrame, docs: DataFrame, stages: Stages, name: str) -> DataFrame:
     """The pairs (a, b) whose full shingle sets meet the threshold, as edges (u, v)."""
     nodes = pairs.select(F.col("a").alias("node")).union(pairs.select(F.col("b").alias("node"))).distinct()
-    wanted = docs.join(nodes, docs.doc_id == nodes.node, "left_semi").select("doc_id", "text")
+    nodes = stages.keep(nodes, f"nodes-{name}")
+    # texts stay where they are read: a Bloom filter of fixed size picks the documents whose sets go on (with far
+    # more ids than it has bits it lets all through, which costs time alone), and the join makes the choice exact
+    p1, p2 = _places("doc_id")
+    named = docs.where("doc_id IS NOT NULL").select("doc_id", "text", p1.alias("p1"), p2.alias("p2"))
+    sets = named.mapInArrow(_sets(_bloom(nodes)), "node bigint, shingles binary").join(nodes, "node", "left_semi")
     # an id has one set for each different text under it
-    sets = wanted.mapInArrow(_sets, "node bigint, shingles binary")
     sets = stages.keep(sets.groupBy("node", F.xxhash64("shingles")).agg(F.first("shingles").alias("shingles"))
                        .select("node", "shingles"), f"sets-{name}")
     got = (pairs.join(sets.select(F.col("node").alias("a"), F.col("shingles").alias("set_a")), "a")
@@ -228,8 +253,9 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
         classes, ["n_shingles", "d1", "d2"], "left").select("doc_id", "n_shingles", "node"), "member")
     reps = usable.join(classes.select("node", F.col("d1").alias("r1"), F.col("d2").alias("r2")),
                        (F.col("doc_id") == F.col("node")) & (F.col("d1") == F.col("r1")) & (F.col("d2") == F.col("r2")), "inner")
-    sig = stages.keep(reps.groupBy("node", "d1", "d2").agg(F.first("sig").alias("sig"), F.first("bands").alias("bands"))
-                      .select("node", "sig", "bands"), "reps")
+    sig = stages.keep(reps.groupBy("node", "d1", "d2").agg(
+        F.first("n_shingles").alias("n"), *(F.first(c).alias(c) for c in BITS), F.first("bands").alias("bands"))
+                      .select("node", "n", *BITS, "bands"), "reps")
     stages.drop("signed")
 
     banded = sig.select("node", F.explode("bands").alias("key"))
@@ -238,8 +264,8 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     shared = stages.keep(banded.join(buckets, "key").select("key", "node", "pivot"), "shared")
 
     stars = shared.where("node <> pivot").groupBy(F.col("node").alias("a"), F.col("pivot").alias("b")).agg(F.lit(1).alias("x")).drop("x")
-    rated = stages.keep(_estimated(stars, sig).where(F.col("estimate") >= ESTIMATE), "rated")
-    best = rated.groupBy("a").agg(F.max(F.struct("estimate", (-F.col("b")).alias("b"))).alias("m")).select("a", (-F.col("m.b")).alias("b"))
+    rated = stages.keep(_rated(stars, sig), "rated")
+    best = rated.groupBy("a").agg(F.min(F.struct("apart", "b")).alias("m")).select("a", F.col("m.b").alias("b"))
     links = _verified(best, docs, stages, "first")
     # ids that stand for several texts (repeated ids) tie their classes together
     same_id = member.where("node IS NOT NULL AND doc_id <> node").groupBy("doc_id", "node").agg(F.lit(1).alias("x"))
@@ -262,37 +288,40 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
 def _across(shared: DataFrame, rated: DataFrame, comp: DataFrame, sig: DataFrame, docs: DataFrame, stages: Stages) -> DataFrame:
     """Links between members of one bucket that the stars did not connect."""
     label = comp.select("node", "component")
-    rows = shared.select("key", "node").join(label, "node", "left").select("key", "node", F.coalesce("component", "node").alias("comp"))
-    rows = stages.keep(rows, "open")
+    rows = stages.keep(shared.select("key", "node").join(label, "node", "left").select(
+        "key", "node", F.coalesce("component", "node").alias("comp")), "open")
 
     def mixed(rows: DataFrame) -> DataFrame:
-        """Rows of buckets whose members are in several components, with the bucket's size."""
-        keys = rows.groupBy("key").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi"), F.count("*").alias("n")).where("lo < hi")
-        # joined on a struct, so that both sides are shuffled anew and AQE can split a hot bucket
-        return rows.withColumn("k", F.struct("key")).join(keys.select(F.struct("key").alias("k"), "n"), "k").drop("k")
-
-    small, todo = [], rows
+        """Rows of buckets whose members are in several components, with the bucket's largest component
+        and whether it is hot: more than HOT pairs a member lie across components."""
+        sizes = rows.groupBy("key", "comp").agg(F.count("*").alias("c"))
+        keys = sizes.groupBy("key").agg(F.sum("c").alias("m"), F.sum(F.col("c") * F.col("c")).alias("sq"), F.count("*").alias("k"),
+                                        F.max(F.struct("c", "comp")).alias("top")).where("k > 1")
+        keys = keys.select(F.struct("key").alias("k"), F.col("top.comp").alias("main"), (F.expr("m * m - sq") > HOT * F.col("m")).alias("hot"))
+        # joined on a struct, so that both sides are shuffled anew and AQE can split a large bucket
+        return rows.withColumn("k", F.struct("key")).join(keys, "k").drop("k")
+
+    columns = ("key", "node", "comp", "n", *BITS, "main", "hot")
+    part = stages.keep(mixed(rows).join(sig.select("node", "n", *BITS), "node").select(*columns), "mixed-0")
+    stages.drop("open")
+    parts = []
     for depth in range(DEPTH + 1):
-        part = stages.keep(mixed(todo), f"mixed-{depth}")
-        last = depth == DEPTH
-        small.append(part if last else part.where(F.col("n") <= HOT))
-        hot = part.where(F.col("n") > HOT)
-        if last or hot.isEmpty():
+        done = depth == DEPTH or part.where("hot").isEmpty()
+        parts.append(part if done else part.where("NOT hot"))
+        if done:
             break
-        todo = hot.select("key", "node", "comp").join(sig.select("node", "sig"), "node").select("key", "node", "comp", "sig") \
-            .mapInArrow(_sub_bands(depth), "key bigint, node bigint, comp bigint")
-    pairs = None
-    for part in small:
-        x, y = part.select("key", F.col("node").alias("a"), F.col("comp").alias("ca")), part.select("key", F.col("node").alias("b"), F.col("comp").alias("cb"))
-        got = x.join(y, "key").where("a > b AND ca <> cb").select("a", "b")
-        pairs = got if pairs is None else pairs.union(got)
-    pairs = stages.keep(pairs.distinct(), "pairs")
-    good = _estimated(pairs, sig).where(F.col("estimate") >= ESTIMATE).select("a", "b")
+        part = stages.keep(mixed(_sub_keys(part.where("hot"), depth)).select(*columns), f"mixed-{depth + 1}")
+    pairs = []
+    for part in parts:
+        x = _renamed(part.where("comp <> main"), "a_", "a", "key", F.col("comp").alias("ca"))
+        y = _renamed(part, "b_", "b", "key", F.col("comp").alias("cb"))
+        got = x.join(y, (x.key == y.key) & (F.col("ca") != F.col("cb")) & _near("a_", "b_"))
+        pairs.append(got.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")))
     # star pairs whose first choice was another pivot, if still apart
     la, lb = label.select(F.col("node").alias("a"), F.col("component").alias("ca")), label.select(F.col("node").alias("b"), F.col("component").alias("cb"))
-    apart = rated.select("a", "b").join(la, "a", "left").join(lb, "b", "left").where(
-        F.coalesce("ca", "a") != F.coalesce("cb", "b")).select("a", "b")
-    return _verified(stages.keep(good.union(apart).distinct(), "rest"), docs, stages, "rest")
+    pairs.append(rated.select("a", "b").join(la, "a", "left").join(lb, "b", "left").where(
+        F.coalesce("ca", "a") != F.coalesce("cb", "b")).select("a", "b"))
+    return _verified(stages.keep(reduce(DataFrame.union, pairs).distinct(), "rest"), docs, stages, "rest")
 
 
 def op3_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
