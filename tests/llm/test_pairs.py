@@ -56,6 +56,18 @@ def test_near_duplicates_equal_brute_force(spark):
     assert all(got[i].n_shingles == len(s[i]) and got[i].kept == (low[i] == i) for i in got)
 
 
+def test_parity_sketch_never_rules_out_a_link():
+    """Sketches differ in no more bits than the sets have unshared elements, and in as many when these are few."""
+    rng = np.random.RandomState(3)
+    for n, apart in ((1, 0), (5, 2), (150, 10), (150, 60), (4000, 900), (20000, 9000)):
+        x = rng.randint(0, 1 << 62, n).astype(np.uint64)
+        y = np.unique(np.concatenate((x[apart // 2:], rng.randint(0, 1 << 62, apart - apart // 2).astype(np.uint64))))
+        x = np.unique(x)
+        bits = int(np.bitwise_count((near_dedup.parity(x) ^ near_dedup.parity(y)).view(np.uint64)).sum())
+        unshared = len(np.setxor1d(x, y))
+        assert bits <= unshared and bits % 2 == unshared % 2 and (apart > 60 or bits >= 0.75 * unshared)
+
+
 def test_links_beyond_the_pivot(spark, monkeypatch):
     """Buckets with several components are paired across them, also when they are split further."""
     monkeypatch.setattr(near_dedup, "HOT", 0)
