@@ -9,8 +9,12 @@ The same derivations are written in SQL in :mod:`caretrail.plans.oracle_sql`.
 * tickets   <- events of type 'error' (requester = user_id)
 * metrics   <- events of type 'error' with value > 20
 * policies  <- events of type 'purchase' (customer id from user_id; purchases of value >= 100 have two
-               payment rows, i.e. a tied copy)
+               payment rows, i.e. a tied copy; of every third, the second row is another policy)
 * calls     <- events of type 'click' (inbound) and 'view' (outbound)
+
+So that every rule meets rows, some customers' notes hold both kinds of identity number, some ticket phones
+are too long for a number, and some calls fall in summer, run across the change to summer time, come from
+the survey line, go from the web line to it, or have a blocked number at either end.
 """
 
 from __future__ import annotations
@@ -24,6 +28,9 @@ from caretrail.sources.tables import read_table
 CLAIMS_FORM = 19015738424477
 NPS = "34919012607"
 OFFICE = "34910000000"
+WEB = "34919017999"
+BLOCKED_FROM, BLOCKED_TO = "34910602845", "34917374762"
+CLOCK_CHANGE = "2024-03-31 01:59:30"
 
 
 def _vocabulary(*rulesets: Ruleset) -> list[str]:
@@ -64,6 +71,7 @@ def dni_of(col: str) -> Column:
 def users(spark: SparkSession, root: str) -> DataFrame:
     c = read_table(spark, root, "customer")
     notes = (F.when(F.col("c_custkey") % 5 == 0, F.col("c_name"))
+              .when(F.col("c_custkey") % 22 == 0, F.concat(F.lit("x"), _pad("c_custkey", 7), F.lit("b "), _pad("c_custkey", 8), F.lit("z")))
               .when(F.col("c_custkey") % 2 == 0, F.concat(F.col("c_name"), F.lit(" "), _pad("c_custkey", 8), F.lit("z")))
               .otherwise(F.concat(F.col("c_name"), F.lit(" x"), _pad("c_custkey", 7), F.lit("b"))))
     phone = F.when(F.col("c_custkey") % 7 != 0, F.concat(F.lit("+34 6"), _pad("c_custkey", 8)))
@@ -81,6 +89,7 @@ def tickets(spark: SparkSession, root: str) -> DataFrame:
     mod3 = F.col("event_id") % 3
     description = (F.when(mod3 == 0, F.lit("no phone given"))
                     .when(mod3 == 1, F.concat(F.lit("Caller Phone number : +34 6"), _pad("user_id", 8), F.lit(" via Aircall")))
+                    .when(F.col("event_id") % 17 == 0, F.concat(F.lit("Caller Phone number : 6"), _pad("user_id", 10)))
                     .otherwise(F.concat(F.lit("Caller Phone number : 6"), _pad("user_id", 8))))
     channel = F.when(v < 15, F.lit("api")).when(v < 20, F.lit(None).cast("string")).when(v < 60, F.lit("email")).otherwise(F.lit("phone"))
     word = _pick(INCIDENT_VOCAB, F.col("event_id"))
@@ -110,30 +119,36 @@ def metrics(spark: SparkSession, root: str) -> DataFrame:
 
 def policy_facts(spark: SparkSession, root: str) -> DataFrame:
     e = read_table(spark, root, "events").where(F.col("event_type") == "purchase")
-    number = F.when(F.col("event_id") % 10 == 0, F.concat(F.lit("P"), (F.col("event_id") % 100).cast("string"))) \
-              .otherwise(F.concat(F.lit("POL"), F.col("event_id").cast("string")))
+    # large purchases are paid in two instalments: two payment rows, hence two tied copies or two policies
+    e = e.select("*", F.explode(F.sequence(F.lit(0), F.when(F.col("value") >= 100, F.lit(1)).otherwise(F.lit(0)))).alias("_pay"))
+    initial = F.when((F.col("_pay") == 1) & (F.col("event_id") % 3 == 1), F.lit("Q")).otherwise(F.lit("P"))
+    number = F.when(F.col("event_id") % 10 == 0, F.concat(initial, (F.col("event_id") % 100).cast("string"))) \
+              .otherwise(F.concat(initial, F.lit("OL"), F.col("event_id").cast("string")))
     stop = F.when(F.col("value") >= 40, F.col("ts") + F.make_dt_interval(F.lit(0), F.floor("value").cast("int")))
     sold = F.length(number) > 5
-    facts = e.select(
+    return e.select(
         dni_of("user_id").alias("dni_nie"),
         F.when(sold, F.lit(1)).otherwise(F.lit(0)).alias("purchased_policy"),
         F.when(sold & stop.isNull(), F.lit(1)).otherwise(F.lit(0)).alias("policy_not_interrupted"),
         F.col("ts").alias("purchased_at"), number.alias("policy_number"), stop.alias("interrupted_at"),
         F.when(F.col("value") < 100, F.lit("web")).otherwise(F.lit("phone")).alias("bo_purchase"),
-        F.col("props").alias("pcw_source"), (F.col("event_id") % 2).cast("int").alias("renewal_order"),
-        # large purchases are paid in two instalments: two payment rows, hence two tied copies
-        F.explode(F.array_repeat(F.lit(1), F.when(F.col("value") >= 100, F.lit(2)).otherwise(F.lit(1)))).alias("_pay"))
-    return facts.drop("_pay")
+        F.col("props").alias("pcw_source"), (F.col("event_id") % 2).cast("int").alias("renewal_order"))
 
 
 def calls(spark: SparkSession, root: str) -> DataFrame:
     e = read_table(spark, root, "events").where(F.col("event_type").isin("click", "view"))
     v = F.col("value")
     inbound = F.col("event_type") == "click"
-    client = F.when(F.col("user_id") % 37 == 0, F.lit("anonymous")).otherwise(F.concat(F.lit("346"), _pad("user_id", 8)))
-    frm = F.when(inbound, client).otherwise(F.lit(OFFICE))
-    to = F.when(inbound, F.when(v > 300, F.lit(NPS)).otherwise(F.lit(OFFICE))).otherwise(F.concat(F.lit("346"), _pad("user_id", 8)))
+    number = F.concat(F.lit("346"), _pad("user_id", 8))
+    every = lambda n: F.col("event_id") % n == 0
+    client = (F.when(every(29), F.lit(WEB)).when(every(41), F.lit(BLOCKED_FROM))
+               .when(F.col("user_id") % 37 == 0, F.lit("anonymous")).otherwise(number))
+    frm = F.when(inbound, client).when(every(31), F.lit(NPS)).otherwise(F.lit(OFFICE))
+    to = (F.when(inbound, F.when(every(29) | (v > 300), F.lit(NPS)).otherwise(F.lit(OFFICE)))
+           .when(every(43), F.lit(BLOCKED_TO)).otherwise(number))
     secs = F.floor(v).cast("int")
+    edge = F.lit(CLOCK_CHANGE).cast("timestamp_ntz") + F.make_dt_interval(F.lit(0), F.lit(0), F.lit(0), secs)
+    e = e.withColumn("ts", F.when(every(53), edge).when(every(11), F.col("ts") + F.make_dt_interval(F.lit(180))).otherwise(F.col("ts")))
     line = F.when(v < 4, F.lit(None).cast("string")).otherwise(_pick(LINE_VOCAB, F.col("event_id")))
     answered = F.when(v >= 3, F.col("ts") + F.make_dt_interval(F.lit(0), F.lit(0), F.lit(0), secs % 40))
     return e.select(

@@ -1,7 +1,7 @@
 from pyspark.sql import functions as F
 
 from caretrail.operators.first_touch import first_touch
-from caretrail.plans.naive import first_touch_naive
+from tools.naive import first_touch_naive
 from tests.conftest import SF
 from tests.helpers import assert_same
 

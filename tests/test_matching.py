@@ -4,7 +4,7 @@ from pyspark.sql import functions as F
 
 from caretrail.operators.asof import nearest_times
 from caretrail.operators.matching import match_calls_to_tickets
-from caretrail.plans.naive import attribution_naive, match_naive
+from tools.naive import attribution_naive, match_naive
 from caretrail.operators.attribution import attribute_purchases
 from tests.conftest import SF
 from tests.helpers import assert_same

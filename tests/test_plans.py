@@ -1,16 +1,26 @@
-"""Plan properties of every registered query (planning only, nothing executed)."""
+"""Plan properties of every registered query, and of each stage that a report writes on its way."""
 
 import re
 
 import __spark_entry__ as entry
+from caretrail.plans import reports
 from tests.conftest import SMOKE
 from tools.plan_report import summary
 
 
-def test_no_python_no_cartesian_and_pushdown(spark):
+def test_no_python_no_cartesian_and_pushdown(spark, monkeypatch):
     spark.conf.set("spark.sql.maxMetadataStringLength", "100000")
+    plans, write = [], reports.materialize
+
+    def note(name, df):
+        plans.append((name, df._jdf.queryExecution().executedPlan().toString()))
+
     for name, fn in entry.queries().items():
-        plan = fn(spark, SMOKE)._jdf.queryExecution().executedPlan().toString()
+        monkeypatch.setattr(reports, "materialize", lambda df, enabled=True, name=name: (note(f"{name} (stage)", df), write(df, enabled))[1])
+        note(name, fn(spark, SMOKE))
+    stages = [name for name, _ in plans if name.endswith("(stage)")]
+    assert stages.count("ticket_report_events (stage)") == 1 and stages.count("call_report_events (stage)") == 3
+    for name, plan in plans:
         s = summary(plan)
         assert s["python"] == 0 and s["cartesian"] == 0, name
         for line in plan.splitlines():

@@ -8,7 +8,7 @@ from pyspark.sql import types as T
 
 from caretrail.operators.first_touch import first_touch
 from caretrail.operators.sessions import sessionize
-from caretrail.plans.naive import first_touch_naive, rollups_naive, sessions_naive
+from tools.naive import first_touch_naive, rollups_naive, sessions_naive
 from tests.helpers import assert_same
 
 SCHEMA = T.StructType([T.StructField("id", T.LongType()), T.StructField("k", T.StringType()),
@@ -53,7 +53,7 @@ ev_row = st.tuples(st.integers(0, 3), st.integers(0, 60000))
 @given(st.lists(ev_row, min_size=1, max_size=30), st.lists(ev_row, min_size=1, max_size=30))
 def test_match_random(spark, calls, tickets):
     from caretrail.operators.matching import match_calls_to_tickets
-    from caretrail.plans.naive import match_naive
+    from tools.naive import match_naive
     c = spark.createDataFrame([(i, k, t) for i, (k, t) in enumerate(calls)], "call_id long, ph int, a long")
     k = spark.createDataFrame([(100 + i, p, t) for i, (p, t) in enumerate(tickets)], "id long, tph int, b long")
     got = match_calls_to_tickets(c, k, call_id="call_id", call_key="ph", call_time="a",

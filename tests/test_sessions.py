@@ -4,7 +4,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from caretrail.operators.sessions import chunk_length, sessionize
-from caretrail.plans.naive import rollups_naive, sessions_naive
+from tools.naive import rollups_naive, sessions_naive
 from tests.conftest import SF
 from tests.helpers import assert_same
 

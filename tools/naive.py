@@ -73,3 +73,19 @@ def attribution_naive(tickets: DataFrame, policies: DataFrame, *, ticket_id: str
                     .withColumn("_dif", F.abs(F.col(purchased) - F.col(created))))
     best = pairs.groupBy(ticket_id).agg(F.min("_dif").alias("_dif"))
     return pairs.join(best, [ticket_id, "_dif"]).drop("_dif")
+
+
+def horizon_columns(near: DataFrame, *, created: str, purchased: str, interrupted: str, horizons: Sequence[int] = (7, 14, 1, 3)) -> DataFrame:
+    """The columns that the registered attribution query adds to its nearest purchases."""
+    out = near
+    for at, name in ((purchased, "policy_number"), (interrupted, "interrupted")):
+        for d in horizons:
+            within = F.col(at) < F.col(created) + F.make_dt_interval(F.lit(d))
+            out = out.withColumn(f"{name}_{d}days", F.when(within, F.col("policy_number")))
+    for d in horizons:
+        out = out.withColumn(f"purchased_policy_{d}days", F.col(f"policy_number_{d}days").isNotNull().cast("int"))
+    for at, days, secs in ((purchased, "days_difference", "dif_purchase_seconds"),
+                           (interrupted, "days_difference_interruption", "dif_interrupted_seconds")):
+        apart = F.unix_timestamp(at) - F.unix_timestamp(created)
+        out = out.withColumn(days, F.floor(apart / 86400)).withColumn(secs, F.abs(apart))
+    return out

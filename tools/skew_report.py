@@ -56,7 +56,7 @@ def main() -> None:
     spark.sparkContext.setLogLevel("ERROR")
     from caretrail.operators.first_touch import first_touch
     from caretrail.operators.sessions import sessionize
-    from caretrail.plans import naive
+    from tools import naive
     # Spread the (single-file) input over 16 map tasks, as a multi-file scan would be: AQE splits a
     # skewed join partition along map-task boundaries.
     orders = spark.read.parquet(f"{root}/orders.parquet").repartition(16).select(
