@@ -12,8 +12,9 @@ Documents with 100 * |A and B| >= 75 * |A or B| over their distinct 5-word shing
    (pivot): as many pairs as members. Each member's best pivot by signature is checked on full sets.
 4. Components of these links. A bucket whose members are still in different components can hide a link
    between two members other than the pivot: its rows outside the bucket's largest component are paired
-   with the rest of it. A bucket with more than ``HOT`` such pairs a member is first split by further
-   bands over the signature, again and again, so no group is ever expanded into all its pairs.
+   with the rest of it, every one with every other. A bucket with more than ``HOT`` such pairs a member is
+   dealt in blocks of about ``BLOCK`` rows on either side, and each pair of blocks is a join key of its own, so
+   no task gets a whole bucket. The comparisons are as many as the pairs; only near pairs become rows.
 5. Candidates pass the signature check (sizes, and at most ``FAR`` of 256 signature bits different,
    as part of the join), then the exact check on full sets, then large-star/small-star joins everything.
    The join also compares parity sketches. Shared shingles cancel out and each other one flips one bit at
@@ -21,9 +22,8 @@ Documents with 100 * |A and B| >= 75 * |A or B| over their distinct 5-word shing
    link. This loses nothing; it is sharp while the sets differ in fewer shingles than the sketch has bits.
 
 A pair at the threshold itself shares none of the 50 bands of 6 rows with probability 6e-5 (0.8: 3e-7);
-its signatures differ in 32 bits with standard deviation 5.3, so FAR lies five deviations above. In a
-bucket that is split, a pair meets again with probability 0.78 (0.8: 0.91) for each bucket it shares,
-nine on average. Nothing is capped.
+its signatures differ in 32 bits with standard deviation 5.3, so FAR lies five deviations above. Blocks lose
+nothing: a pair that shares a bucket, whatever its size, meets there. Nothing is capped.
 
 Defined results: a null or empty text (or one of white space only) has n_shingles 0 and is alone, even
 beside others of its kind. Fewer than five words: one shingle, the whole sequence. Repeated rows with one
@@ -46,7 +46,7 @@ from caretrail.llm.components import components
 from caretrail.llm.hashing import U, distinct, mix, shingles, word_hashes
 
 HASHES, ROWS, BANDS = 256, 6, 50
-SUB_BITS, SUB_BANDS, HOT, DEPTH = 16, 12, 512, 8
+HOT, BLOCK = 512, 1024
 BLOOM_BITS = 1 << 25
 FAR = 58
 BITS = ("s0", "s1", "s2", "s3")
@@ -82,15 +82,6 @@ def _rows_of(count: int, rows: int, seed: int) -> np.ndarray:
 BAND_ROWS = _rows_of(BANDS, ROWS, 5)
 
 
-def _masks(depth: int) -> np.ndarray:
-    """For each further band of a depth, which of the 256 signature bits it reads, as four words."""
-    rng = np.random.RandomState(100 + depth)
-    bits = np.zeros((SUB_BANDS, HASHES), np.uint8)
-    for row in bits:
-        row[rng.permutation(HASHES)[:SUB_BITS]] = 1
-    return np.packbits(bits, axis=1).view(np.int64).reshape(SUB_BANDS, 4)
-
-
 def minima(s: np.ndarray) -> np.ndarray:
     """For each universal hash (a x + b mod 2^64, high bits count) its minimum over the set."""
     out = np.full(HASHES, np.iinfo(np.uint64).max, U)
@@ -220,11 +211,10 @@ def _renamed(sig: DataFrame, prefix: str, node: str, *more: str) -> DataFrame:
     return sig.select(*more, F.col("node").alias(node), *(F.col(c).alias(prefix + c) for c in ("n", *BITS, *ODD)))
 
 
-def _sub_keys(rows: DataFrame, depth: int) -> DataFrame:
-    """Each row under its keys of one further depth: the old key and some of its signature's bits."""
-    keys = F.array(*(F.xxhash64(F.lit(depth), F.lit(i), "key", *(F.col(c).bitwiseAND(F.lit(int(m))) for c, m in zip(BITS, mask)))
-                     for i, mask in enumerate(_masks(depth))))
-    return rows.select(F.explode(keys).alias("key"), "node", "comp", "n", *BITS, *ODD)
+def _blocks(rows: DataFrame, own: str, other: str) -> DataFrame:
+    """Each row in its block of its own side of the bucket, once for each block of the other side."""
+    return (rows.withColumn(own, F.pmod(F.xxhash64("node", F.lit(own)), F.col(f"n_{own}")))
+            .withColumn(other, F.explode(F.sequence(F.lit(0).cast("bigint"), F.col(f"n_{other}") - 1))))
 
 
 def _rated(pairs: DataFrame, sig: DataFrame) -> DataFrame:
@@ -305,32 +295,23 @@ def _across(shared: DataFrame, rated: DataFrame, comp: DataFrame, sig: DataFrame
     rows = stages.keep(shared.select("key", "node").join(label, "node", "left").select(
         "key", "node", F.coalesce("component", "node").alias("comp")), "open")
 
-    def mixed(rows: DataFrame) -> DataFrame:
-        """Rows of buckets whose members are in several components, with the bucket's largest component
-        and whether it is hot: more than HOT pairs a member lie across components."""
-        sizes = rows.groupBy("key", "comp").agg(F.count("*").alias("c"))
-        keys = sizes.groupBy("key").agg(F.sum("c").alias("m"), F.sum(F.col("c") * F.col("c")).alias("sq"), F.count("*").alias("k"),
-                                        F.max(F.struct("c", "comp")).alias("top")).where("k > 1")
-        keys = keys.select(F.struct("key").alias("k"), F.col("top.comp").alias("main"), (F.expr("m * m - sq") > HOT * F.col("m")).alias("hot"))
-        # joined on a struct, so that both sides are shuffled anew and AQE can split a large bucket
-        return rows.withColumn("k", F.struct("key")).join(keys, "k").drop("k")
-
-    columns = ("key", "node", "comp", "n", *BITS, *ODD, "main", "hot")
-    part = stages.keep(mixed(rows).join(sig.select("node", "n", *BITS, *ODD), "node").select(*columns), "mixed-0")
+    # rows of buckets whose members are in several components, with the bucket's largest component and the number of
+    # blocks outside it and in all: one, unless the bucket is hot (more than HOT pairs a member lie across components)
+    sizes = rows.groupBy("key", "comp").agg(F.count("*").alias("c"))
+    keys = sizes.groupBy("key").agg(F.sum("c").alias("m"), F.sum(F.col("c") * F.col("c")).alias("sq"), F.count("*").alias("k"),
+                                    F.max(F.struct("c", "comp")).alias("top")).where("k > 1")
+    blocks = lambda n: F.when(F.expr("m * m - sq") > HOT * F.col("m"), F.ceil(n / BLOCK)).otherwise(F.lit(1)).cast("bigint")
+    keys = keys.select(F.struct("key").alias("k"), F.col("top.comp").alias("main"),
+                       blocks(F.col("m") - F.col("top.c")).alias("n_ba"), blocks(F.col("m")).alias("n_bb"))
+    # joined on a struct, so that both sides are shuffled anew and AQE can split a large bucket
+    part = rows.withColumn("k", F.struct("key")).join(keys, "k").drop("k")
+    part = stages.keep(part.join(sig.select("node", "n", *BITS, *ODD), "node")
+                       .select("key", "node", "comp", "n", *BITS, *ODD, "main", "n_ba", "n_bb"), "mixed")
     stages.drop("open")
-    parts = []
-    for depth in range(DEPTH + 1):
-        done = depth == DEPTH or part.where("hot").isEmpty()
-        parts.append(part if done else part.where("NOT hot"))
-        if done:
-            break
-        part = stages.keep(mixed(_sub_keys(part.where("hot"), depth)).select(*columns), f"mixed-{depth + 1}")
-    pairs = []
-    for part in parts:
-        x = _renamed(part.where("comp <> main"), "a_", "a", "key", F.col("comp").alias("ca"))
-        y = _renamed(part, "b_", "b", "key", F.col("comp").alias("cb"))
-        got = x.join(y, (x.key == y.key) & (F.col("ca") != F.col("cb")) & _near("a_", "b_"))
-        pairs.append(got.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")))
+    x = _renamed(_blocks(part.where("comp <> main"), "ba", "bb"), "a_", "a", "key", "ba", "bb", F.col("comp").alias("ca"))
+    y = _renamed(_blocks(part, "bb", "ba"), "b_", "b", "key", "ba", "bb", F.col("comp").alias("cb"))
+    got = x.join(y, (x.key == y.key) & (x.ba == y.ba) & (x.bb == y.bb) & (F.col("ca") != F.col("cb")) & _near("a_", "b_"))
+    pairs = [got.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b"))]
     # star pairs whose first choice was another pivot, if still apart
     la, lb = label.select(F.col("node").alias("a"), F.col("component").alias("ca")), label.select(F.col("node").alias("b"), F.col("component").alias("cb"))
     pairs.append(rated.select("a", "b").join(la, "a", "left").join(lb, "b", "left").where(

@@ -78,6 +78,21 @@ def test_links_beyond_the_pivot(spark, monkeypatch):
     assert {r.doc_id: r.component_id for r in got} == low
 
 
+def test_hot_buckets_are_searched_whole(spark, monkeypatch):
+    """Texts around one core share buckets of hundreds, at 0.6; each is linked (0.766) with one other, seldom a pivot."""
+    monkeypatch.setattr(near_dedup, "HOT", 16)
+    monkeypatch.setattr(near_dedup, "BLOCK", 64, raising=False)
+    rng = random.Random(4)
+    fresh = iter(f"w{i}" for i in rng.sample(range(1 << 20), 200_000))
+    some = lambda n: [next(fresh) for _ in range(n)]
+    core, texts = some(151), []
+    for _ in range(1000):
+        both = core + some(23)
+        texts += [" ".join(both + some(26)) for _ in range(2)]
+    got = near_dedup.near_duplicates(spark.createDataFrame(list(enumerate(texts)), "doc_id bigint, text string")).collect()
+    assert {r.doc_id: r.component_id for r in got} == {i: i - i % 2 for i in range(len(texts))}
+
+
 def test_near_duplicates_awkward(spark, awkward, nothing):
     rows = near_dedup.near_duplicates(awkward).collect()
     assert len(rows) == awkward.count()
