@@ -5,7 +5,7 @@
 2. A token with a letter and something odd in it (digit or symbol inside, a letter three times in a row) and
    a run of three or more single characters are lattices: each character may stand for itself, for the
    letters it imitates, or for nothing (separators, repetitions), at a channel cost. Viterbi decoding finds
-   the most probable letters under the trigram model. Tokens without such signs have one path, themselves.
+   the most probable letters under the trigram model; no state is left out. Tokens without such signs have one path, themselves.
 3. Features of the restored words, as hashed indicators: the whole word and
    its beginnings of 3 to 8 bytes. From a bounded sample of labelled documents (``PER_CLASS`` ids a class,
    none of the held-out fold) the features that occur clearly more often in one class are kept, and a
@@ -42,7 +42,6 @@ LEET = {"0": "o", "1": "il", "2": "z", "3": "e", "4": "a", "5": "s", "6": "g", "
 #: log costs of the channel: imitation, a blot ("*" for any letter), a separator dropped, any other sign dropped, one that could imitate dropped, the third and later of a run dropped
 IMITATE, BLOT, SEPARATOR, DROP, UNLIKELY, REPEAT = -1.0, -3.0, -0.3, -3.0, -7.0, -0.2
 SEPARATORS = frozenset(".-_*,~'`/\\:;+=^ ")
-BEAM = 24
 
 
 def _codes() -> np.ndarray:
@@ -107,8 +106,6 @@ class CharModel:
                 options.append((ch, 0.0))
             for x in LEET.get(ch, ""):
                 options.append((x, IMITATE))
-            if ch == "*":
-                options += [(chr(97 + k), BLOT) for k in range(26)]
             if again and often > 2:
                 drop = REPEAT
             elif ch in SEPARATORS:
@@ -124,7 +121,15 @@ class CharModel:
                     s = score + cost + float(log[a, b, k])
                     if (b, k) not in new or new[b, k][0] < s:
                         new[b, k] = (s, text + x)
-            states = dict(sorted(new.items(), key=lambda kv: -kv[1][0])[:BEAM]) if len(new) > BEAM else new
+            if ch == "*":  # any letter: for each pair of last letters the best one before it
+                a, b = np.array(list(states)).T
+                ways = np.full((LETTERS, LETTERS, 26), -np.inf)
+                ways[a, b] = np.array([s for s, _ in states.values()])[:, None] + BLOT + log[a, b, 1:27]
+                first, top = ways.argmax(axis=0), ways.max(axis=0)
+                for y, k in np.argwhere(top > -np.inf).tolist():
+                    if (y, k + 1) not in new or new[y, k + 1][0] < top[y, k]:
+                        new[y, k + 1] = (float(top[y, k]), states[int(first[y, k]), y][1] + chr(97 + k))
+            states = new  # at most 59 * 59, none is left out
         return max(((s + float(log[a, b, 0]), t) for (a, b), (s, t) in states.items()), default=(0.0, ""))[1]
 
 

@@ -95,6 +95,56 @@ def test_restoration():
         assert plain & set(restore.part(np.frombuffer(written, np.uint8), np.zeros(1, np.int64))[1].tolist()) >= plain
 
 
+def chars_of(text):
+    batch = next(toxicity._trigrams(iter([pa.RecordBatch.from_arrays([pa.array([text])], ["t"])])))
+    counts = np.zeros(toxicity.LETTERS ** 3, np.int64)
+    counts[batch.column(0).to_numpy()] = batch.column(1).to_numpy()
+    return toxicity.CharModel(counts)
+
+
+def test_masked_words_are_decoded_in_full():
+    """The decoder's path is as probable as the best of a search that keeps every state and text."""
+    rng = np.random.RandomState(5)
+    words = ["".join(rng.permutation(list("abcdefghijklmnopqrstuvwxyz"))[:rng.randint(3, 9)]) for _ in range(400)]
+    model = chars_of(" ".join(words))
+    log = model.log
+
+    def best(token):
+        states = {(0, 0): 0.0}
+        for ch in token:
+            new = {}
+            for (a, b), s in states.items():
+                moves = [(chr(97 + k), toxicity.BLOT) for k in range(26)] if ch == "*" else [(ch, 0.0)]
+                if ch == "*":
+                    new[a, b] = max(new.get((a, b), -1e9), s + toxicity.SEPARATOR)
+                for x, cost in moves:
+                    k = toxicity.code_of(x)
+                    new[b, k] = max(new.get((b, k), -1e9), s + cost + float(log[a, b, k]))
+            states = new
+        return max(s + float(log[a, b, 0]) for (a, b), s in states.items())
+
+    def fits(text, token):
+        """The best score of any way to read the token as the text."""
+        reach = {0: 0.0}
+        for ch in token:
+            new = {}
+            for i, s in reach.items():
+                if ch == "*":
+                    new[i] = max(new.get(i, -1e9), s + toxicity.SEPARATOR)
+                if i < len(text) and (ch == "*" or text[i] == ch):
+                    codes = [0, 0, *map(toxicity.code_of, text)]
+                    new[i + 1] = max(new.get(i + 1, -1e9), s + (toxicity.BLOT if ch == "*" else 0.0) + float(log[codes[i], codes[i + 1], codes[i + 2]]))
+            reach = new
+        codes = [0, 0, *map(toxicity.code_of, text)]
+        return reach[len(text)] + float(log[codes[-2], codes[-1], 0])
+
+    for word in words:
+        token = word[0] + "**" + word[3:]
+        assert abs(fits(model.decode(token), token) - best(token)) < 1e-3
+    common = " ".join(f"a{x}zz" for x in "acdefghijklmnoprstuvwxyz") + " "
+    assert chars_of(common * 50 + "aqb aqb").decode("a*b") == "aqb"  # after "a", q is the rarest letter but one
+
+
 def test_licences_found(spark):
     docs = spark.read.parquet(f"{SF}/documents.parquet")
     out = licenses.op1_license_scan(spark, SF).toPandas().merge(docs.toPandas(), on="doc_id")
