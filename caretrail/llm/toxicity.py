@@ -4,7 +4,8 @@
    else is a word border). Tasks add up dense counts; what is gathered is one row a trigram seen.
 2. A token with a letter and something odd in it (digit or symbol inside, a letter three times in a row) and
    a run of three or more single characters are lattices: each character may stand for itself, for the
-   letters it imitates, or for nothing (separators, repetitions), at a channel cost. Viterbi decoding finds
+   letters it imitates, or for nothing (separators, repetitions), at a channel cost. Between the characters
+   of such a run a word may end, at a cost: it counts as one word and as the most probable several. Viterbi decoding finds
    the most probable letters under the trigram model; no state is left out. Tokens without such signs have one path, themselves.
 3. Features of the restored words, as hashed indicators: the whole word and
    its beginnings of 3 to 8 bytes. From a bounded sample of labelled documents (``PER_CLASS`` ids a class,
@@ -39,8 +40,8 @@ LETTERS = 64
 #: fixed values: what a character may imitate
 LEET = {"0": "o", "1": "il", "2": "z", "3": "e", "4": "a", "5": "s", "6": "g", "7": "t", "8": "b", "9": "g",
         "@": "a", "$": "s", "!": "il", "|": "il", "+": "t", "(": "c", "€": "e", "£": "l"}
-#: log costs of the channel: imitation, a blot ("*" for any letter), a separator dropped, any other sign dropped, one that could imitate dropped, the third and later of a run dropped
-IMITATE, BLOT, SEPARATOR, DROP, UNLIKELY, REPEAT = -1.0, -3.0, -0.3, -3.0, -7.0, -0.2
+#: log costs of the channel: imitation, a blot ("*" for any letter), a separator dropped, any other sign dropped, one that could imitate dropped, the third and later of a run dropped, a word border in a run of single characters
+IMITATE, BLOT, SEPARATOR, DROP, UNLIKELY, REPEAT, BORDER = -1.0, -3.0, -0.3, -3.0, -7.0, -0.2, -1.0
 SEPARATORS = frozenset(".-_*,~'`/\\:;+=^ ")
 
 
@@ -96,8 +97,9 @@ class CharModel:
         p3 = (c3 + 5 * p2[None]) / (c3.sum(axis=2, keepdims=True) + 5)
         self.log = np.log(p3).astype(np.float32)
 
-    def decode(self, token: str) -> str:
-        """Viterbi over the token's lattice; the state is the last two letters."""
+    def decode(self, token: str, spaced: bool = False) -> str:
+        """Viterbi over the token's lattice; the state is the last two letters. A spaced token is a run of single
+        characters: any two may have a word border between them, a space of the result."""
         states = {(0, 0): (0.0, "")}
         log = self.log
         for ch, often, again in [(c, n, k > 0) for c, n in ((c, len(list(g))) for c, g in groupby(token.lower())) for k in range(n)]:
@@ -112,6 +114,11 @@ class CharModel:
                 drop = SEPARATOR
             else:
                 drop = None if code_of(ch) else UNLIKELY if ch in LEET else DROP
+            if spaced:
+                for (a, b), (score, text) in list(states.items()):
+                    s = score + BORDER + float(log[a, b, 0])
+                    if b and ((b, 0) not in states or states[b, 0][0] < s):
+                        states[b, 0] = (s, text + " ")
             new: dict = {}
             for (a, b), (score, text) in states.items():
                 if drop is not None and ((a, b) not in new or new[a, b][0] < score + drop):
@@ -197,6 +204,10 @@ def _odd_words(part: np.ndarray, low: np.ndarray, s: np.ndarray, e: np.ndarray)
         k = np.where(core, np.clip(edge, 0, n - 1), 0)
         inner |= core & (size >= 1) & (size <= 2) & _SIGN[low[k]] & (count[np.minimum(last, n)] - count[np.minimum(first, n)] > 0)
     single = (e - s == 1) & (letter[s] | _DIGIT[low[s]] | _SIGN[low[s]])
+    # characters of two and three bytes: Latin-1 letters, the pound and the euro sign
+    second, third = low[np.minimum(s + 1, n - 1)], low[np.minimum(s + 2, n - 1)]
+    single |= (e - s == 2) & ((low[s] == 0xC3) & (CODE_2[second] > 0) | (low[s] == 0xC2) & (second == 0xA3))
+    single |= (e - s == 3) & (low[s] == 0xE2) & (second == 0x82) & (third == 0xAC)
     edge = np.flatnonzero(np.diff(np.concatenate(([0], single.astype(np.int8), [0]))))
     spaced = np.zeros(len(s), bool)
     for a, b in zip(edge[::2], edge[1::2]):
@@ -205,6 +216,7 @@ def _odd_words(part: np.ndarray, low: np.ndarray, s: np.ndarray, e: np.ndarray)
     return (inner | repeats) & ~spaced, spaced
 
 
+CODE_2 = np.array([0] * 0xA0 + [code_of(chr(0x40 + x)) for x in range(0xA0, 0xC0)] + [0] * 0x40)
 _DIGIT = np.zeros(256, bool)
 _DIGIT[48:58] = True
 _SIGN = np.isin(np.arange(256), [ord(c) for c in "@$|+("])
@@ -216,12 +228,12 @@ class Restorer:
     def __init__(self, model: CharModel, remember: int = 200_000) -> None:
         self.model, self.known, self.remember = model, {}, remember
 
-    def decode(self, token: str) -> str:
-        got = self.known.get(token)
+    def decode(self, token: str, spaced: bool = False) -> str:
+        got = self.known.get((token, spaced))
         if got is None:
             if len(self.known) >= self.remember:
                 self.known.clear()
-            got = self.known[token] = self.model.decode(token)
+            got = self.known[token, spaced] = self.model.decode(token, spaced)
         return got
 
     def part(self, part: np.ndarray, starts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -243,8 +255,10 @@ class Restorer:
         group = np.flatnonzero(spaced)
         for run in np.split(group, np.flatnonzero((np.diff(group) > 1) | (np.diff(doc[group]) > 0)) + 1) if len(group) else []:
             if len(run) >= 3:
-                texts.append(self.decode("".join(data[s[i]:e[i]].decode("utf-8", "replace") for i in run.tolist())))
-                owner.append(doc[run[0]])
+                token = "".join(data[s[i]:e[i]].decode("utf-8", "replace") for i in run.tolist())
+                words = [self.decode(token), *self.decode(token, True).split()]
+                texts += words
+                owner += [doc[run[0]]] * len(words)
         if texts:
             line = np.frombuffer(" ".join(texts).encode() + b" ", np.uint8)
             lens = np.array([len(t.encode()) for t in texts])

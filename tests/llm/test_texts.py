@@ -102,6 +102,16 @@ def chars_of(text):
     return toxicity.CharModel(counts)
 
 
+def test_spaced_runs_of_several_words():
+    model = chars_of("you are a moron and you are an idiot such a loser this is so d\u00e9bile you know that a man can be " * 200)
+    restore = toxicity.Restorer(model)
+    features = lambda t: set(restore.part(np.frombuffer(t.encode(), np.uint8), np.zeros(1, np.int64))[1].tolist())
+    for written, meant in (("you are a m o r o n", "moron"), ("y o u i d i o t", "idiot"), ("an i d i o t", "idiot"), ("d \u00e9 b i l e", "d\u00e9bile"),
+                           ("D \u00c9 B I L E", "d\u00e9bile"), ("a l 0 $ e r", "loser")):
+        assert features(meant) <= features(written), written
+    assert model.decode("amoron", True) == "a moron" and model.decode("idiot", True) == "idiot"
+
+
 def test_masked_words_are_decoded_in_full():
     """The decoder's path is as probable as the best of a search that keeps every state and text."""
     rng = np.random.RandomState(5)
