@@ -28,7 +28,9 @@ from caretrail.llm.common import Stages, slices, table, text_arrays
 from caretrail.llm.hashing import COEF, KEEP, SPACE, U, mix, running, span_hash, word_spans
 
 LONG = 4 << 20
-COUNTS = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "n_lines", "n_distinct_words", "n_upper", "n_letters", "n_marks")
+#: words of a window; variety is that of consecutive windows over the whole text, so long texts are judged like short ones
+WINDOW = 1000
+COUNTS = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "n_lines", "n_distinct_words", "n_upper", "n_letters", "n_marks", "n_window_words")
 SYMBOLS = b"#*$%&|<>"
 SYMBOL = np.isin(np.arange(256), list(SYMBOLS))
 UPPER = np.isin(np.arange(256), list(range(65, 91)))
@@ -56,7 +58,7 @@ def plain_counts(text: str | None) -> tuple[int, ...]:
     lines = [x for x in data.split(b"\n") if x.split()]
     count = lambda lut: int(lut[np.frombuffer(data, np.uint8)].sum())
     return (len(words), sum(len(w.decode()) for w in words), count(SYMBOL), len(lines) - len(set(lines)), covered, len(lines), len(set(words)),
-            count(UPPER), count(LETTER), count(MARK))
+            count(UPPER), count(LETTER), count(MARK), sum(len(set(words[i:i + WINDOW])) for i in range(0, len(words), WINDOW)))
 
 
 def _repeats(key: np.ndarray) -> np.ndarray:
@@ -108,6 +110,8 @@ def counts(raw: np.ndarray, offsets: np.ndarray) -> Iterator[np.ndarray]:
             out[:, 5] = np.bincount(ldoc, minlength=n)
             out[:, 3] = out[:, 5] - _distinct_by(ldoc, span_hash(sums, ls, le, 7), n)
             out[:, 6] = _distinct_by(doc, words, n)
+            window = (np.arange(len(words)) - np.searchsorted(doc, np.arange(n))[doc]) // WINDOW
+            out[:, 10] = _distinct_by(doc, mix(words + window.astype(U) * COEF[0]), n)
             if len(words) > 2:
                 gram = mix(words[:-2] * COEF[0] + words[1:-1] * COEF[1] + words[2:] * COEF[2] + doc[:-2].astype(U) * COEF[3])
                 within = doc[:-2] == doc[2:]
@@ -142,7 +146,7 @@ def rules() -> dict[str, Column]:
     n = F.when(F.col("n_words") > 0, F.col("n_words"))
     per_word = lambda c: F.col(c) / n
     lines = F.when(F.col("n_lines") > 0, F.col("n_lines"))
-    symbols, repeat, marks, length, variety = (per_word(c) for c in ("n_symbols", "n_repeat_words", "n_marks", "word_chars", "n_distinct_words"))
+    symbols, repeat, marks, length, variety = (per_word(c) for c in ("n_symbols", "n_repeat_words", "n_marks", "word_chars", "n_window_words"))
     dup = F.col("n_dup_lines") / lines
     upper = F.col("n_upper") / F.when(F.col("n_letters") > 0, F.col("n_letters"))
     return {
@@ -152,7 +156,7 @@ def rules() -> dict[str, Column]:
         "capitals": _vote(upper, upper < 0.15, upper > 0.4),
         "marks": _vote(marks, marks < 0.05, marks > 0.25),
         "word_length": _vote(length, length.between(3, 10), (length < 2) | (length > 15)),
-        "variety": _vote(variety, (variety > 0.35) | (n > 2000), (n >= 50) & (variety < 0.15) & (n <= 2000)),
+        "variety": _vote(variety, variety > 0.35, (n >= 50) & (variety < 0.15)),
     }
 
 

@@ -31,6 +31,16 @@ def test_rules_find_bad_documents(spark):
     assert (out.kept == (out.quality == 1))[~out.base_failed].mean() > 0.98
 
 
+def test_variety_votes_at_every_length(spark):
+    """A salad of 100 words gets a bad vote at any length; a long text that goes on to new words a good one."""
+    rng = np.random.RandomState(6)
+    salad = [f"w{i}" for i in rng.randint(0, 100, 5000)]
+    fresh = [f"w{i}" for i in rng.randint(0, 3000, 40_000)]
+    texts = [" ".join(salad[:n]) for n in (2000, 2001, 5000)] + [" ".join(fresh)]
+    got = quality_rules.vote_quality(spark.createDataFrame(list(enumerate(texts)), "doc_id bigint, text string")).collect()
+    assert {r.doc_id: r.vote_variety for r in got} == {0: -1, 1: -1, 2: -1, 3: 1}
+
+
 def test_em_on_planted_votes():
     rng = np.random.RandomState(0)
     good = rng.rand(5000) < 0.85
