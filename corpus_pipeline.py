@@ -26,10 +26,16 @@ def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group (all rows of its doc_id); rows without a doc_id stay."""
+    """One document of each group, with one row for each different text of its doc_id; of repeated rows the one
+    whose hash comes first stays. Rows without a doc_id stay as they are."""
     ship(spark)
     gone = near_dedup.near_duplicates(docs).where(~F.col("kept")).select(F.col("doc_id").alias("gone")).distinct()
-    return docs.join(gone, F.col("doc_id") == F.col("gone"), "left_anti")
+    left = docs.where("doc_id IS NOT NULL").join(gone, F.col("doc_id") == F.col("gone"), "left_anti")
+    others = [c for c in docs.columns if c not in ("doc_id", "text")]
+    row = F.min_by(F.struct(F.lit(1).alias("one"), *others), F.xxhash64(F.lit(1), *others))
+    once = left.groupBy("doc_id", "text").agg(row.alias("row")).select(
+        *(F.col(f"row.{c}").alias(c) if c in others else c for c in docs.columns))
+    return once.unionByName(docs.where("doc_id IS NULL"))
 
 
 def decontaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

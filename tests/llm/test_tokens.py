@@ -153,3 +153,13 @@ def test_pipeline_awkward(spark, awkward, nothing):
     for name, stage in corpus_pipeline.STAGES:
         for frame in (awkward, nothing):
             assert stage(spark, frame, SF).count() >= 0, name
+
+
+def test_near_duplicate_stage_keeps_one_of_repeated_rows(spark):
+    text, other = " ".join(f"w{i}" for i in range(40)), " ".join(f"v{i}" for i in range(40))
+    rows = [(1, text, 7), (1, text, 7), (1, text, 8), (1, other, 9), (2, text, 7), (3, None, 1), (3, None, 1), (None, text, 7), (None, text, 7)]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string, extra int")
+    got = corpus_pipeline.near_duplicates(spark, docs, SF)
+    assert got.columns == docs.columns
+    left = sorted(((r.doc_id, r.text) for r in got.collect()), key=str)
+    assert left == sorted([(1, text), (1, other), (3, None), (None, text), (None, text)], key=str)
