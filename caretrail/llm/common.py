@@ -18,8 +18,25 @@ from pyspark.sql import functions as F
 SLICE_BYTES = 1 << 20
 
 
+#: bytes of an Arrow batch between the JVM and a Python worker (Spark counts rows only, unless told otherwise)
+BATCH_BYTES = 4 << 20
+
+
+def bound_batches(spark: SparkSession) -> None:
+    """Bound Arrow batches by size, so that a batch of long texts is no larger than one of short texts. A lower bound
+    that the submitter set stays."""
+    key = "spark.sql.execution.arrow.maxBytesPerBatch"
+    try:
+        now = int(spark.conf.get(key).rstrip("b"))
+    except ValueError:  # a size with a unit, set by the submitter
+        return
+    if not 0 < now <= BATCH_BYTES:
+        spark.conf.set(key, str(BATCH_BYTES))
+
+
 def ship(spark: SparkSession) -> None:
     """Send this package's sources to the executors, once a session, unless they come with the job."""
+    bound_batches(spark)
     sc = spark.sparkContext
     if getattr(sc, "_caretrail_shipped", False):
         return
@@ -60,6 +77,7 @@ class Stages:
     (a lost executor costs at most one stage) and are read back with column pruning."""
 
     def __init__(self, spark: SparkSession, label: str) -> None:
+        bound_batches(spark)
         self.spark = spark
         self.root = posixpath.join(shared_root(spark), f"caretrail-{label}-{uuid.uuid4().hex[:12]}")
 

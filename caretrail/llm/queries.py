@@ -6,7 +6,8 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from caretrail.llm import chat, decontamination, language_id, licenses, near_dedup, packing, quality_classifier, quality_rules, token_files, toxicity
+from caretrail.llm import (chat, decontamination, hard_negatives, language_id, licenses, mixing, near_dedup, packing, prefix_trie,
+                           quality_classifier, quality_rules, token_files, toxicity)
 from caretrail.llm.common import ship
 
 
@@ -28,10 +29,16 @@ QUERIES = {fn.__name__: _registered(fn) for fn in (
     token_files.op8_token_files,
     decontamination.op9_decontamination,
     language_id.op10_language_id,
+    prefix_trie.op11_prefix_trie,
+    hard_negatives.op12_hard_negatives,
+    mixing.op13_source_mixing,
 )}
 
 ORACLES = {
     "op3_near_dedup": near_dedup.ORACLE,
     "op6_chat_formatting": chat.ORACLE,
     "op9_decontamination": decontamination.ORACLE,
+    "op11_prefix_trie": prefix_trie.ORACLE,
+    "op12_hard_negatives": hard_negatives.ORACLE,
+    "op13_source_mixing": mixing.ORACLE,
 }
