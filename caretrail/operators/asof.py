@@ -3,84 +3,72 @@
 For every left row it finds, among right rows with the same key, the latest right time at or before
 the left time and the earliest right time at or after it. Equal times count on both sides.
 
-Plan shape. No pairs are formed. The two sides' (key, time) values are unioned and reduced to
-distinct (key, time, side) rows map-side, so copies and ties never travel, then shuffled by
-``(key, time chunk)``; a RANGE window inside each chunk gives the nearest right time within the chunk. A
-per-chunk table (latest / earliest right time of each key and chunk, one row per key and chunk)
-carries the answer across chunk borders with a running max / min over chunks. The answers, one
-per distinct left (key, time), are joined back to the left rows. A key that holds a third of all
-rows is spread over as many tasks as it has chunks; the chunk table grows with time span, not
-with row count.
+Plan shape. No pairs are formed. Left rows (with all their columns) and the distinct right times are unioned and
+shuffled once, by ``(key, piece)``: keys are whole, except for the hot ones, which are cut at quantiles of their own
+times (:mod:`caretrail.operators.pieces`), so a key stays spread even if all its rows fall within one hour or one
+instant (rows of an instant are cut by a hash of the row). Two windows, one forwards and one backwards in time, run
+inside a piece. For hot keys a small table with the first and last right time of each piece, made by one more job over
+their right rows, carries the nearest time over the borders. Each side is read once, and no answer is joined back.
+
+Left rows that are equal altogether share a piece; rows with an id never are.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
-_TIME_TYPES = (T.TimestampType, T.TimestampNTZType, T.DateType)
-# One hour of distinct times per (key, chunk) group at most; see caretrail.operators.sessions.
-DEFAULT_CHUNK_SECONDS = 3600
+from caretrail.operators.pieces import find_pieces, local
 
 
 def _keys(key) -> list[str]:
     return [key] if isinstance(key, str) else list(key)
 
 
-def _chunk(t: Column, dtype: T.DataType, length: int) -> Column:
-    secs = F.unix_timestamp(t) if isinstance(dtype, _TIME_TYPES) else t
-    return F.floor(secs / F.lit(length)).cast("bigint")
-
-
 def nearest_times(left: DataFrame, right: DataFrame, left_key, right_key, left_ts: str, right_ts: str, *,
-                  prev_name: str = "prev_time", next_name: str = "next_time",
-                  chunk_seconds: int = DEFAULT_CHUNK_SECONDS) -> DataFrame:
+                  prev_name: str = "prev_time", next_name: str = "next_time", piece_rows: int | None = None) -> DataFrame:
     """Left rows with a non-NULL key and time, plus ``prev_name`` / ``next_name``.
 
     ``prev_name``: max right time <= left time; ``next_name``: min right time >= left time; NULL when
     there is none. Left rows with a NULL key or time can match nothing and are not returned.
-    Times are timestamps or epoch numbers (both sides alike).
+    Times are timestamps or epoch numbers (both sides alike). ``piece_rows`` as in :func:`find_pieces`, which reads
+    both sides' keys and times while the plan is built.
     """
     lk, rk = _keys(left_key), _keys(right_key)
-    ltype = left.schema[left_ts].dataType
-    key_types = [left.schema[c].dataType for c in lk]
+    ts_type = left.schema[left_ts].dataType
+    names = [f"_k{i}" for i in range(len(lk))]
 
-    def not_null(cols):
+    def known(cols):
         cond = F.lit(True)
         for c in cols:
             cond = cond & F.col(c).isNotNull()
         return cond
 
-    def key_time(keys, ts, cast):
-        k = F.struct(*[(F.col(c).cast(key_types[i]) if cast else F.col(c)).alias(f"k{i}") for i, c in enumerate(keys)])
-        return F.struct(k.alias("k"), (F.col(ts).cast(ltype) if cast else F.col(ts)).alias("t")).alias("_kt")
-
-    # Distinct (key, time, side), combined map-side: copies and ties of a hot key or a hot instant
-    # shrink to one row each before anything is shuffled.
-    L = left.where(not_null(lk + [left_ts])).withColumn("_kt", key_time(lk, left_ts, False))
-    both = L.select("_kt", F.lit(True).alias("_left")).unionByName(
-        right.where(not_null(rk + [right_ts])).select(key_time(rk, right_ts, True), F.lit(False).alias("_left")))
-    both = both.select("_kt", F.col("_kt.k").alias("_k"), F.col("_kt.t").alias("_t"), "_left")
-    both = both.withColumn("_c", _chunk(F.col("_t"), ltype, chunk_seconds))
-    u = both.distinct()
-
-    w = Window.partitionBy("_k", "_c").orderBy("_t")
-    right_t = F.when(~F.col("_left"), F.col("_t"))
-    u = (u.withColumn("_pin", F.max(right_t).over(w.rangeBetween(Window.unboundedPreceding, Window.currentRow)))
-          .withColumn("_nin", F.min(right_t).over(w.rangeBetween(Window.currentRow, Window.unboundedFollowing))))
-
-    # per (key, chunk) latest / earliest right time, straight from the raw union (map-side partial)
-    chunks = both.groupBy("_k", "_c").agg(F.max(right_t).alias("_rmax"), F.min(right_t).alias("_rmin"))
-    wk = Window.partitionBy("_k").orderBy("_c")
-    chunks = (chunks.withColumn("_pch", F.max("_rmax").over(wk.rowsBetween(Window.unboundedPreceding, -1)))
-                    .withColumn("_nch", F.min("_rmin").over(wk.rowsBetween(1, Window.unboundedFollowing)))
-                    .select("_k", "_c", "_pch", "_nch"))
-
-    answers = u.where(F.col("_left")).join(chunks, ["_k", "_c"], "inner").select(
-        "_kt",
-        F.coalesce(F.col("_pin"), F.col("_pch")).alias(prev_name),
-        F.coalesce(F.col("_nin"), F.col("_nch")).alias(next_name))
-    # One answer row per (key, time): a hot group of left copies is a skewed join against a single
-    # row, which AQE splits.
-    return L.join(answers, "_kt", "inner").drop("_kt")
+    rows = left.where(known([*lk, left_ts])).select(
+        *[F.col(c).alias(n) for c, n in zip(lk, names)], F.col(left_ts).alias("_t"), F.lit(True).alias("_left"),
+        F.xxhash64(*[F.col(c) for c in left.columns]).alias("_x"), F.struct(*[F.col(c) for c in left.columns]).alias("_row"))
+    times = right.where(known([*rk, right_ts])).select(
+        *[F.col(c).cast(left.schema[k].dataType).alias(n) for c, k, n in zip(rk, lk, names)], F.col(right_ts).cast(ts_type).alias("_t")).distinct()
+    times = times.select("*", F.lit(False).alias("_left"), F.lit(0).cast("bigint").alias("_x"), F.lit(None).cast(rows.schema["_row"].dataType).alias("_row"))
+    both = rows.unionByName(times)
+    pieces = find_pieces(both.select(*names, "_t", "_x"), names, [F.col("_t"), F.col("_x")], piece_rows)
+    placed = pieces.assign(both)
+
+    theirs = F.when(~F.col("_left"), F.col("_t"))
+    w = Window.partitionBy(*names, "_p")
+    range_to_here = Window.unboundedPreceding, Window.currentRow
+    placed = (placed.withColumn("_next", F.min(theirs).over(w.orderBy(F.col("_t").desc()).rangeBetween(*range_to_here)))
+                    .withColumn("_prev", F.max(theirs).over(w.orderBy("_t").rangeBetween(*range_to_here))).where("_left"))
+    if pieces.cuts is not None:
+        k = Window.partitionBy(*names).orderBy("_p")
+        # every piece of a hot key has a row here, whether or not it holds a right time
+        ends = pieces.of_hot_keys(both.select(*names, "_t", "_x", "_left")).groupBy(*names, "_p").agg(F.min(theirs).alias("_lo"), F.max(theirs).alias("_hi"))
+        border = local(ends.select(F.struct(*names).alias("_bk"), F.col("_p").alias("_bp"),
+                                   F.max("_hi").over(k.rowsBetween(Window.unboundedPreceding, -1)).alias("_before"),
+                                   F.min("_lo").over(k.rowsBetween(1, Window.unboundedFollowing)).alias("_after")))
+        placed = placed.join(F.broadcast(border), (F.struct(*names) == F.col("_bk")) & (F.col("_p") == F.col("_bp")), "left")
+        placed = placed.withColumns({"_prev": F.coalesce("_prev", "_before"), "_next": F.coalesce("_next", "_after")})
+        # an instant may lie on a border: a right row at the very time counts on both sides
+        placed = placed.withColumns({"_prev": F.when(F.col("_next") == F.col("_t"), F.col("_t")).otherwise(F.col("_prev")),
+                                     "_next": F.when(F.col("_prev") == F.col("_t"), F.col("_t")).otherwise(F.col("_next"))})
+    return placed.select("_row.*", F.col("_prev").alias(prev_name), F.col("_next").alias(next_name))

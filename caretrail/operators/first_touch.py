@@ -3,23 +3,23 @@
 ``first_value(value) over (partition by keys order by order)`` with the default frame is the value
 of the group's first row for every row; NULL values are kept, ties are broken by ``tiebreak``.
 
-Plan shape. Instead of sorting each group in one task, the first row is found with
-``min(struct(order, tiebreak, value))``, which Spark combines map-side (partial aggregation), so a
-group holding a third of the rows never lands in one task. The one-row-per-group result is joined
-back on a struct of the keys; struct equality treats NULL fields as equal, so a NULL key group
-(e.g. all unconverted tickets) behaves like the window's NULL partition. The join back of a hot
-group is a skewed join against a single row, which AQE's skew-join splitting handles; the join key
-is shaped so that both join inputs are plain shuffles, the only shape that AQE splits
-(``tools/skew_report.py`` shows the hot group spread over many tasks).
+Plan shape. Most groups are small: they are shuffled by their key and a window gives each row its group's first value, in
+one pass over rows and with one exchange. Groups that hold very many rows (a NULL key: all unconverted tickets) are
+found in a bounded sample (:mod:`caretrail.operators.pieces`). Their first rows come from ``min(struct(order, tiebreak,
+value))``, which Spark combines map-side, as a table with a row a hot group that the plan itself holds; their rows are never
+shuffled at all, but look their value up map-side. Struct equality treats NULL fields as equal, so a NULL key group
+behaves like the window's NULL partition. None of this rests on AQE's splitting of skewed joins.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from caretrail.operators.pieces import Pieces, find_pieces, key_hash, local
+
 
 def _keys(key) -> list[str]:
     return [key] if isinstance(key, str) else list(key)
@@ -37,21 +37,32 @@ def first_values(df: DataFrame, keys, order: Sequence[str], values: dict[str, st
     return agg.select("_k", *[F.col("_m")[f"v{cols.index(c)}"].alias(out) for out, c in values.items()])
 
 
+def _split(df: DataFrame, pieces: Pieces) -> tuple[DataFrame, DataFrame]:
+    """Rows of hot keys and rows of all others."""
+    hashed, hot = df.withColumn("_h", key_hash(pieces.keys)), F.broadcast(pieces.cuts.select("_h"))
+    return hashed.join(hot, "_h", "left_semi").drop("_h"), hashed.join(hot, "_h", "left_anti").drop("_h")
+
+
 def first_touch(df: DataFrame, keys, order: Sequence[str], values: dict[str, str], *,
-                tiebreak: Sequence[str] = ()) -> DataFrame:
-    """Append ``{out: value}`` columns holding the first row's value of each row's key group."""
+                tiebreak: Sequence[str] = (), group_rows: int | None = None) -> DataFrame:
+    """Append ``{out: value}`` columns holding the first row's value of each row's key group. Groups of more than
+    ``group_rows`` rows are answered map-side (see :func:`caretrail.operators.pieces.find_pieces`, which samples the
+    keys while this plan is built)."""
     ks = _keys(keys)
-    # Join on a key that differs in form (not in value) from the aggregate's grouping key, so the
-    # one-row-per-group side gets its own plain exchange: with both inputs plain shuffles, AQE can
-    # split the partition of a hot group across several tasks.
-    firsts = first_values(df, ks, order, values, tiebreak=tiebreak)
-    firsts = firsts.withColumn("_j", F.struct(F.col("_k").alias("g"))).drop("_k")
-    rows = df.withColumn("_j", F.struct(F.struct(*[F.col(k) for k in ks]).alias("g")))
-    return rows.join(firsts, "_j", "left").drop("_j")
+    pieces = find_pieces(df, ks, [F.lit(0)], group_rows)
+    hot, others = (None, df) if pieces.cuts is None else _split(df, pieces)
+    w = Window.partitionBy(*ks).orderBy(*[F.col(c) for c in [*order, *tiebreak]])
+    first = F.first(F.struct(*[F.col(c).alias(f"v{i}") for i, c in enumerate(values.values())])).over(w)
+    out = others.withColumn("_f", first).select(*[F.col(c) for c in df.columns], *[F.col(f"_f.v{i}").alias(n) for i, n in enumerate(values)])
+    if hot is None:
+        return out
+    firsts = F.broadcast(local(first_values(hot, ks, order, values, tiebreak=tiebreak)))
+    looked_up = hot.withColumn("_k", F.struct(*[F.col(k) for k in ks])).join(firsts, "_k", "left").drop("_k")
+    return out.unionByName(looked_up)
 
 
 def first_touch_nested(df: DataFrame, groups: Sequence[str], order: Sequence[str], value: str,
-                       outs: Sequence[str], *, tiebreak: Sequence[str] = ()) -> DataFrame:
+                       outs: Sequence[str], *, tiebreak: Sequence[str] = (), group_rows: int | None = None) -> DataFrame:
     """First-row ``value`` for several nested groupings at once, e.g. session labels at 15/30/60 days.
 
     ``groups`` go from finest to coarsest, and every finest group must lie inside one group of each
@@ -68,5 +79,14 @@ def first_touch_nested(df: DataFrame, groups: Sequence[str], order: Sequence[str
         per = per.withColumn("_u", F.struct(F.col(g))).join(up, "_u", "left").drop("_u")
     per = per.select(F.struct(F.struct(F.col(finest)).alias("g")).alias("_j"),
                      *[F.col(f"_m{i}.v").alias(out) for i, out in enumerate(outs)])
-    rows = df.withColumn("_j", F.struct(F.struct(F.col(finest)).alias("g")))
-    return rows.join(per, "_j", "left").drop("_j")
+    pieces = find_pieces(df, [finest], [F.lit(0)], group_rows)
+    hot, others = (None, df) if pieces.cuts is None else _split(df, pieces)
+
+    def answered(rows: DataFrame, firsts: DataFrame) -> DataFrame:
+        return rows.withColumn("_j", F.struct(F.struct(F.col(finest)).alias("g"))).join(firsts, "_j", "left").drop("_j")
+
+    out = answered(others, per)
+    if hot is None:
+        return out
+    of_hot = per.withColumn("_h", F.xxhash64("_j.g." + finest)).join(F.broadcast(pieces.cuts.select("_h")), "_h", "left_semi").drop("_h")
+    return out.unionByName(answered(hot, F.broadcast(local(of_hot))))

@@ -28,20 +28,19 @@ DEFAULT_TOLERANCE = 10000
 
 def best_call_per_ticket_time(calls: DataFrame, tickets: DataFrame, *, call_id: str, call_key: str,
                               call_time: str, ticket_key: str, ticket_time: str,
-                              tolerance: int = DEFAULT_TOLERANCE, chunk_seconds: int | None = None) -> DataFrame:
+                              tolerance: int = DEFAULT_TOLERANCE, piece_rows: int | None = None) -> DataFrame:
     """One row per (phone, ticket time) that is some call's nearest ticket time within tolerance:
     ``_key, _target, _call, _diff`` where ``_call`` is the closest such call (smallest call id on ties)."""
     near = nearest_times(calls.select(call_id, call_key, call_time),
                          tickets.select(ticket_key, ticket_time),
                          call_key, ticket_key, call_time, ticket_time,
-                         prev_name="_prev", next_name="_next",
-                         chunk_seconds=chunk_seconds or tolerance)
-    d_prev = F.col(call_time) - F.col("_prev")
-    d_next = F.col("_next") - F.col(call_time)
+                         prev_name="_before", next_name="_after", piece_rows=piece_rows)
+    d_prev = F.col(call_time) - F.col("_before")
+    d_next = F.col("_after") - F.col(call_time)
     near = near.withColumn("_best", F.least(d_prev, d_next)).where(F.col("_best") < F.lit(tolerance))
     targets = F.array_distinct(F.filter(
-        F.array(F.when(d_prev == F.col("_best"), F.col("_prev")),
-                F.when(d_next == F.col("_best"), F.col("_next"))),
+        F.array(F.when(d_prev == F.col("_best"), F.col("_before")),
+                F.when(d_next == F.col("_best"), F.col("_after"))),
         lambda x: x.isNotNull()))
     cand = near.select(F.col(call_key).alias("_key"), F.explode(targets).alias("_target"),
                        F.col("_best").alias("_diff"), F.col(call_id).alias("_call"))
@@ -53,7 +52,7 @@ def match_calls_to_tickets(calls: DataFrame, tickets: DataFrame, *, call_id: str
                            call_time: str, ticket_key: str, ticket_time: str,
                            tolerance: int = DEFAULT_TOLERANCE, out_call: str = "aircall_id",
                            out_diff: str = "dif_between_call_and_ticket",
-                           chunk_seconds: int | None = None) -> DataFrame:
+                           piece_rows: int | None = None) -> DataFrame:
     """Ticket rows that won a call, with ``out_call`` and ``out_diff`` appended.
 
     Every ticket row at a winning (phone, time) is returned, so copies of one ticket id all come
@@ -61,7 +60,7 @@ def match_calls_to_tickets(calls: DataFrame, tickets: DataFrame, *, call_id: str
     """
     best = best_call_per_ticket_time(calls, tickets, call_id=call_id, call_key=call_key,
                                      call_time=call_time, ticket_key=ticket_key, ticket_time=ticket_time,
-                                     tolerance=tolerance, chunk_seconds=chunk_seconds)
+                                     tolerance=tolerance, piece_rows=piece_rows)
     key_type = tickets.schema[ticket_key].dataType
     # Joined on a struct of (phone, time) rather than the aggregate's own grouping columns, so both
     # inputs are plain shuffles and AQE can split the partition of a hot (phone, time) group.

@@ -12,21 +12,19 @@ Semantics (per key, rows ordered by time, ties broken by ``tiebreak``):
                      NULL key form one rollup group, exactly as a window partitioned by the label;
 * ``count``          rows per key.
 
-Plan shape. A plain ``Window.partitionBy(key)`` sends a key's whole history to one task, so one key
-holding a third of the rows becomes a single third-of-the-data task. Here:
-
-1. rows are combined map-side into tie groups, one per (key, time): copies and rows sharing an
-   instant never travel or sort together (only a group's first row, by tiebreak, can start a
-   session or see an earlier time; the others get lag = their own time). Without a unique
-   tiebreak, identical rows first collapse into units with a multiplicity and are re-expanded at
-   the end, in blocks spread over tasks when a unit is very large;
-2. tie groups are shuffled by ``(key, time chunk)``; a chunk is shorter than the smallest gap, so a
-   session boundary can only fall on a chunk's first row and every chunk lies inside one session.
-   The previous time inside a chunk is a window over that chunk's distinct times;
-3. session numbers, per-key counts and rollups are windows over the chunk table (one row per key
-   and chunk, partitioned once by key), whose size grows with a key's time span, not its rows;
-4. answers go back to tie groups on ``(key, chunk)`` (co-partitioned) and to rows on (key, time),
-   one answer row per instant, so a hot instant is a skewed join that AQE splits.
+Plan shape: a segmented scan. ``Window.partitionBy(key)`` would send a key's whole history to one task. Here the rows
+are read and shuffled once, by ``(key, piece)``: keys are whole, except for the hot ones, which are cut into pieces at
+quantiles of their order (:mod:`caretrail.operators.pieces`), also inside an instant that very many rows share.
+
+1. Inside a piece, windows give the previous time, the session starts and their running count, and the rollups.
+2. If there are hot keys, one more job over their rows alone makes the border table, a row a piece: first and last
+   time, rows, session starts inside, and the rollups of the piece's first and last session. Windows over this small
+   table carry the last time, the number of sessions and the sums of sessions that cross borders from piece to piece.
+3. The border row is joined map-side: a piece's first row sees the time before the piece, session numbers start at
+   what the pieces before hold, and the rollups of a piece's first and last session are replaced by the whole ones.
+
+Rows that are equal altogether are told apart by nothing. Without a unique tiebreak they first collapse into units with
+a multiplicity, combined map-side, and are dealt out again at the end, in blocks when a unit is very large.
 """
 
 from __future__ import annotations
@@ -36,29 +34,8 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from caretrail.functions.timeutil import SECONDS_PER_DAY, whole_days
-
-# One hour: a hot key's busiest chunk holds at most an hour of its distinct times, while a key
-# adds at most ~8,760 chunk rows per year to the chunk table.
-DEFAULT_CHUNK_SECONDS = 3600
-# Chunk index of rows with a NULL time: sorts before every real chunk, as NULLs sort first.
-NULL_CHUNK = -(2**63)
-_DST_MARGIN = 3600
-
-
-def chunk_length(min_gap_days: int, requested: int = SECONDS_PER_DAY) -> int:
-    """Chunk length in seconds that can never contain a session boundary.
-
-    A boundary needs more than ``min_gap_days`` whole days between two rows; a chunk spans less
-    than its length plus one second. One hour of margin keeps this true on a 23-hour DST day.
-    """
-    limit = (min_gap_days + 1) * SECONDS_PER_DAY - _DST_MARGIN
-    return max(1, min(int(requested), limit))
-
-
-def _chunk_of(ts: str, length: int) -> Column:
-    return F.coalesce(F.floor(F.unix_timestamp(F.col(ts)) / F.lit(length)).cast("bigint"),
-                      F.lit(NULL_CHUNK).cast("bigint"))
+from caretrail.functions.timeutil import whole_days
+from caretrail.operators.pieces import find_pieces, local
 
 
 def _keys(key) -> list[str]:
@@ -74,23 +51,20 @@ def _label(keys: list[str], n: Column) -> Column:
 EXPAND_BLOCK = 1 << 16
 
 
-def _expand_units(out: DataFrame, first_of_tie: Column, ts: str) -> DataFrame:
-    """Back from units (identical rows with a multiplicity) to rows: the group's first unit yields
-    one row with the previous time and ``_mult - 1`` with its own time, other units ``_mult`` rows
-    with their own time."""
-    out = out.withColumn("_first", first_of_tie)
+def _expand_units(out: DataFrame, ts: str) -> DataFrame:
+    """Back from units (equal rows with a multiplicity) to rows: the first copy has the previous time, the others
+    follow a row of their own time."""
+    def lags(n: Column, first: Column) -> Column:
+        own = F.array_repeat(F.col(ts), (n - F.when(first, 1).otherwise(0)).cast("int"))
+        return F.when(first, F.concat(F.array(F.col("_prev")), own)).otherwise(own)
 
-    def lags(n: Column, with_prev: Column) -> Column:
-        own = F.array_repeat(F.col(ts), (n - F.when(with_prev, 1).otherwise(0)).cast("int"))
-        return F.when(with_prev, F.concat(F.array(F.col("_prev")), own)).otherwise(own)
-
-    small = out.where(F.col("_mult") <= EXPAND_BLOCK).withColumn("_lag", F.explode(lags(F.col("_mult"), F.col("_first"))))
+    small = out.where(F.col("_mult") <= EXPAND_BLOCK).withColumn("_prev", F.explode(lags(F.col("_mult"), F.lit(True))))
     big = out.where(F.col("_mult") > EXPAND_BLOCK)
-    nblocks = ((F.col("_mult") + EXPAND_BLOCK - 1) / EXPAND_BLOCK).cast("bigint")
+    nblocks = F.ceil(F.col("_mult") / EXPAND_BLOCK).cast("bigint")
     big = (big.withColumn("_blk", F.explode(F.sequence(F.lit(0).cast("bigint"), nblocks - 1)))
-              .repartition("_kt", "_blk")
+              .repartition(F.xxhash64(*[F.col(c) for c in out.columns]), "_blk")
               .withColumn("_n", F.least(F.lit(EXPAND_BLOCK).cast("bigint"), F.col("_mult") - F.col("_blk") * EXPAND_BLOCK))
-              .withColumn("_lag", F.explode(lags(F.col("_n"), F.col("_first") & (F.col("_blk") == 0))))
+              .withColumn("_prev", F.explode(lags(F.col("_n"), F.col("_blk") == 0)))
               .drop("_blk", "_n"))
     return small.unionByName(big)
 
@@ -106,128 +80,179 @@ def sessionize(df: DataFrame, key, ts: str, gaps: Sequence[int] = (15,), *,
                first_ts_fmt: str | None = None,
                group_count_fmt: str | None = None,
                firsts: Mapping[str, str] | None = None,
-               chunk_seconds: int = DEFAULT_CHUNK_SECONDS) -> DataFrame:
+               piece_rows: int | None = None) -> DataFrame:
     """Append session columns to every row of ``df`` (no row is added or dropped).
 
     ``first_ts_fmt`` / ``group_count_fmt`` / ``firsts`` add the U14 rollups per session group:
     earliest time, row count, and for each ``{out_fmt: column}`` in ``firsts`` the value of that
     column on the session's first row (time, then ``tiebreak``; NULL values are kept). Format
     strings take ``{gap}``. ``tiebreak_unique=True`` declares that no two rows of a key share time
-    and tiebreak values, which saves ranking such copies.
+    and tiebreak values, which saves looking for equal rows. ``piece_rows`` is the number of rows beyond which a
+    key is cut (see :func:`caretrail.operators.pieces.find_pieces`, which reads key, time and tiebreak while this
+    plan is built; write an expensive ``df`` to a stage first).
     """
-    keys = _keys(key)
-    gaps = list(gaps)
-    firsts = dict(firsts or {})
-    length = chunk_length(min(gaps), chunk_seconds)
-    value_cols = list(dict.fromkeys(firsts.values()))
-
-    tb = F.struct(*[F.col(c).alias(f"b{i}") for i, c in enumerate(tiebreak)]) if tiebreak else F.struct(F.lit(0).alias("b0"))
-    rows = (df.withColumn("_k", F.struct(*[F.col(k) for k in keys]))
-              .withColumn("_kt", F.struct(F.col("_k").alias("k"), F.col(ts).alias("t")))
-              .withColumn("_tb", tb))
-
-    # 1. Tie groups: one row per (key, time), combined map-side, so copies and rows sharing an
-    #    instant never travel or sort together. Only the first row of a group (by tiebreak) can start
-    #    a session or see the previous time; the others have lag = own time. Without a unique
-    #    tiebreak, identical rows first collapse into units with a multiplicity, and the first unit
-    #    is the smallest by (tiebreak, whole row): no window ever ranks a pile of copies.
+    keys, gaps, firsts = _keys(key), list(gaps), dict(firsts or {})
+    values = list(dict.fromkeys(firsts.values()))
+    rolled = bool(first_ts_fmt or group_count_fmt or firsts)
+
+    # the order of rows inside a key: time, tiebreak and, if rows may share both, the rest of the row
+    order = [F.col(ts), *[F.col(c) for c in tiebreak]]
+    cut_by = list(order)
     if tiebreak_unique:
-        units = rows.withColumn("_mult", F.lit(1).cast("bigint"))
-        rank_key = F.struct(F.col("_tb").alias("b"))
+        units = df.withColumn("_mult", F.lit(1).cast("bigint"))
     else:
-        units = (df.groupBy(*[F.col(c) for c in df.columns]).agg(F.count(F.lit(1)).alias("_mult"))
-                   .withColumn("_k", F.struct(*[F.col(k) for k in keys]))
-                   .withColumn("_kt", F.struct(F.col("_k").alias("k"), F.col(ts).alias("t")))
-                   .withColumn("_tb", tb))
-        rank_key = F.struct(F.col("_tb").alias("b"), F.struct(*[F.col(c) for c in df.columns]).alias("r"))
-    units = units.withColumn("_rank", rank_key)
-    ties = (units.groupBy("_kt").agg(F.min("_rank").alias("_tb1"))
-                 .select("*", F.col("_kt.k").alias("_k"), F.col("_kt.t").alias("_t")))
-    ties = ties.withColumn("_c", _chunk_of("_t", length))
-    w_in = Window.partitionBy("_k", "_c").orderBy("_t")
-    ties = ties.withColumn("_prev_in", F.lag("_t").over(w_in)).withColumn("_rn", F.row_number().over(w_in))
-
-    # 2. Chunk table: one row per (key, chunk), aggregated straight from the rows (map-side
-    #    partial aggregation, one narrow shuffle).
-    caggs = [F.count(F.lit(1)).alias("_cnt"), F.min(ts).alias("_tmin"), F.max(ts).alias("_tmax")]
-    if value_cols:
-        first_row = F.struct(F.col(ts).alias("t"), F.struct(
-            F.col("_tb").alias("b"), *[F.col(c).alias(f"v{i}") for i, c in enumerate(value_cols)]).alias("g"))
-        caggs.append(F.min(first_row).alias("_first"))
-    chunks = rows.withColumn("_c", _chunk_of(ts, length)).groupBy("_k", "_c").agg(*caggs)
-
-    # Everything below runs on the chunk table, partitioned once by key: a hot key adds one row per
-    # chunk here, not one per event, so windows over whole keys or sessions stay small.
-    wk = Window.partitionBy("_k").orderBy("_c")
-    running = wk.rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    chunks = chunks.withColumn("_prev_max", F.lag("_tmax").over(wk))
-    starts = {g: (F.when(F.col("_c") == F.lit(NULL_CHUNK), F.col("_cnt"))
-                  .when(F.col("_prev_max").isNull() | (whole_days("_prev_max", "_tmin") > F.lit(g)), F.lit(1))
-                  .otherwise(F.lit(0))) for g in gaps}
-    chunks = chunks.select("*", *[F.sum(starts[g]).over(running).alias(f"_n{g}") for g in gaps],
-                           F.sum("_cnt").over(Window.partitionBy("_k")).alias("_num"))
-
-    key_is_null = F.lit(False)
+        cut_by.append(F.xxhash64(*[F.col(c) for c in df.columns]))
+        order = [*cut_by, *[F.col(c) for c in df.columns]]
+        units = df.groupBy(*[F.col(c) for c in df.columns]).agg(F.count(F.lit(1)).alias("_mult"))
+    pieces = find_pieces(df, keys, cut_by, piece_rows)
+    unkeyed = F.lit(False)
     for k in keys:
-        key_is_null = key_is_null | F.col("_k")[k].isNull()
-    rollup_names: list[str] = []
-    if first_ts_fmt or group_count_fmt or firsts:
-        rolled = []
-        for g in gaps:
-            # Group of a session label: a NULL key collapses all its sessions into one group (-1).
-            grp = F.when(key_is_null, F.lit(-1)).otherwise(F.col(f"_n{g}"))
-            chunks = chunks.withColumn(f"_g{g}", grp)
-            ws = Window.partitionBy("_k", f"_g{g}")
-            if first_ts_fmt:
-                rolled.append(F.min("_tmin").over(ws).alias(first_ts_fmt.format(gap=g)))
-                rollup_names.append(first_ts_fmt.format(gap=g))
-            if group_count_fmt:
-                rolled.append(F.sum("_cnt").over(ws).alias(group_count_fmt.format(gap=g)))
-                rollup_names.append(group_count_fmt.format(gap=g))
-            if firsts:
-                first = F.min("_first").over(ws)
-                for out_fmt, col in firsts.items():
-                    rolled.append(first["g"][f"v{value_cols.index(col)}"].alias(out_fmt.format(gap=g)))
-                    rollup_names.append(out_fmt.format(gap=g))
-        chunks = chunks.select("*", *rolled)
-
-    # 3. Back to tie groups (co-partitioned on (key, chunk)), then to rows on (key, time): one answer
-    #    row per (key, time), so a hot instant is a skewed join against one row, which AQE splits.
-    chunk_cols = ["_k", "_c", "_prev_max", "_num"] + [f"_n{g}" for g in gaps] + rollup_names
-    ties = ties.join(chunks.select(*chunk_cols), ["_k", "_c"], "inner")
-    ties = ties.withColumn("_prev", F.when(F.col("_rn") == 1, F.col("_prev_max")).otherwise(F.col("_prev_in")))
-    answer_cols = ["_kt", "_tb1", "_prev", "_num"] + [f"_n{g}" for g in gaps] + rollup_names
-    out = units.join(ties.select(*answer_cols), "_kt", "inner")
-    first_of_tie = F.col("_rank") == F.col("_tb1")
-    if tiebreak_unique:
-        out = out.withColumn("_lag", F.when(first_of_tie, F.col("_prev")).otherwise(F.col(ts)))
-    else:
-        out = _expand_units(out, first_of_tie, ts)
-    lag = F.col("_lag")
+        unkeyed = unkeyed | F.col(k).isNull()
+    scan = _Scan(keys, ts, gaps, order, unkeyed, firsts, values, rolled)
+
+    rows = scan.lagged(pieces.assign(units))
+    border = scan.border(scan.lagged(pieces.of_hot_keys(units))) if pieces.cuts is not None else None
+    out = scan.answered(rows, border)
+    if not tiebreak_unique:
+        out = _expand_units(out, ts)
+
     new_cols: dict[str, Column] = {count_name: F.col("_num")}
     for g in gaps:
         new_cols[number_fmt.format(gap=g)] = F.col(f"_n{g}")
     if diff_name:
-        new_cols[diff_name] = whole_days(lag, F.col(ts))
+        new_cols[diff_name] = whole_days(F.col("_prev"), F.col(ts))
     if lag_name:
-        new_cols[lag_name] = lag
+        new_cols[lag_name] = F.col("_prev")
     if label_fmt:
         for g in gaps:
             new_cols[label_fmt.format(gap=g)] = _label(keys, F.col(f"_n{g}"))
-    for name in rollup_names:
-        new_cols[name] = F.col(name)
+    for g in gaps if rolled else ():
+        if first_ts_fmt:
+            new_cols[first_ts_fmt.format(gap=g)] = F.col(f"_r{g}.low")
+        if group_count_fmt:
+            new_cols[group_count_fmt.format(gap=g)] = F.col(f"_r{g}.rows")
+        for out_fmt, col in firsts.items():
+            new_cols[out_fmt.format(gap=g)] = F.col(f"_r{g}.first.v{values.index(col)}")
     base_cols = [c for c in df.columns if c not in new_cols]
     return out.select(*[F.col(c) for c in base_cols], *[v.alias(k) for k, v in new_cols.items()])
 
 
+class _Scan:
+    """The windows inside pieces and the border table between them, for one call of :func:`sessionize`.
+
+    Rows have ``_mult`` (copies) and ``_p`` (piece, NULL for keys in one piece). Session numbers are counted as
+    NULL-time rows of the key (each starts a session, and all share the last number) plus starts among the others."""
+
+    def __init__(self, keys, ts, gaps, order, unkeyed, firsts, values, rolled) -> None:
+        self.keys, self.ts, self.gaps, self.unkeyed, self.rolled = keys, ts, gaps, unkeyed, rolled
+        self.whole = Window.partitionBy(*keys, "_p")
+        self.along = self.whole.orderBy(*order)
+        self.upto = self.along.rowsBetween(Window.unboundedPreceding, Window.currentRow)
+        self.timeless = F.col(ts).isNull()
+        # a session's first row: the smallest by order; its values come last in the struct
+        self.first = F.struct(*[c.alias(f"o{i}") for i, c in enumerate(order)], *[F.col(c).alias(f"v{i}") for i, c in enumerate(values)])
+
+    def lagged(self, units: DataFrame) -> DataFrame:
+        return units.withColumns({"_prev": F.lag(self.ts).over(self.along), "_rn": F.row_number().over(self.along)})
+
+    def starts(self, g: int) -> Column:
+        """1 where a row with a time starts a session."""
+        opens = F.col("_prev").isNull() | (whole_days("_prev", self.ts) > F.lit(g))
+        return F.when(self.timeless, F.lit(0)).when(opens, F.lit(1)).otherwise(F.lit(0)).cast("bigint")
+
+    def sums(self, mine: Column | None = None) -> Column:
+        """Rollup of the rows for which ``mine`` holds: rows, earliest time, first row."""
+        def of(x):
+            return x if mine is None else F.when(mine, x)
+        return F.struct(F.coalesce(F.sum(of(F.col("_mult"))), F.lit(0).cast("bigint")).alias("rows"),
+                        F.min(of(F.col(self.ts))).alias("low"), F.min(of(self.first)).alias("first"))
+
+    def border(self, rows: DataFrame) -> DataFrame:
+        """One row a piece of the hot keys: what the pieces before it leave, and the whole rollups of its first and
+        last session (``_head``, ``_tail``; their numbers ``_hn``, ``_tn``)."""
+        inner = {f"_s{g}": F.when(F.col("_rn") == 1, F.lit(0).cast("bigint")).otherwise(self.starts(g)) for g in self.gaps}
+        rows = rows.withColumns(inner)
+        rows = rows.withColumns({f"_c{g}": F.when(self.unkeyed, F.lit(0).cast("bigint")).otherwise(F.sum(f"_s{g}").over(self.upto)) for g in self.gaps})
+        rows = rows.withColumns({f"_m{g}": F.max(f"_c{g}").over(self.whole) for g in self.gaps})
+        aggs = [F.max(F.when(F.col("_rn") == 1, F.col(self.ts))).alias("_t0"), F.max(self.ts).alias("_t1"), F.sum("_mult").alias("_rows"),
+                F.sum(F.when(self.timeless, F.col("_mult")).otherwise(F.lit(0).cast("bigint"))).alias("_nulls")]
+        for g in self.gaps:
+            aggs.append(F.sum(f"_s{g}").alias(f"_in{g}"))
+            if self.rolled:
+                aggs += [self.sums(F.col(f"_c{g}") == 0).alias(f"_head{g}"), self.sums(F.col(f"_c{g}") == F.col(f"_m{g}")).alias(f"_tail{g}"),
+                         F.max(f"_m{g}").alias(f"_m{g}")]
+        b = rows.groupBy(*self.keys, "_p").agg(*aggs)
+        key = Window.partitionBy(*self.keys)
+        along = key.orderBy("_p")
+        before = along.rowsBetween(Window.unboundedPreceding, -1)
+        b = b.withColumns({"_carry": F.lag("_t1").over(along), "_null": F.sum("_nulls").over(key), "_all": F.sum("_rows").over(key)})
+        for g in self.gaps:
+            opens = F.col("_carry").isNull() | (whole_days("_carry", "_t0") > F.lit(g))
+            b = b.withColumn(f"_f{g}", F.when(F.col("_t0").isNull(), F.lit(0)).when(opens, F.lit(1)).otherwise(F.lit(0)).cast("bigint"))
+            b = b.withColumn(f"_b{g}", F.coalesce(F.sum(F.col(f"_f{g}") + F.col(f"_in{g}")).over(before), F.lit(0).cast("bigint")))
+            if self.rolled:
+                b = self._crossing(b, g)
+        keep = [*self.keys, "_p", "_carry", "_null", "_all"]
+        for g in self.gaps:
+            keep += [f"_b{g}", *([f"_hn{g}", f"_tn{g}", f"_head{g}", f"_tail{g}"] if self.rolled else [])]
+        return local(b.select(F.struct(*[F.col(k) for k in self.keys]).alias("_bk"), F.col("_p").alias("_bp"), *keep[len(self.keys) + 1:]))
+
+    def _crossing(self, b: DataFrame, g: int) -> DataFrame:
+        """Numbers of a piece's first and last session, and their rollups over all pieces that hold a part."""
+        at = F.col("_null") + F.col(f"_b{g}") + F.col(f"_f{g}")
+        none = F.lit(-1).cast("bigint")
+        head = F.when(self.unkeyed, none).when(F.col("_t0").isNull(), F.col("_null")).otherwise(at)
+        tail = F.when(self.unkeyed, none).when(F.col("_t1").isNull(), F.col("_null")).otherwise(at + F.col(f"_in{g}"))
+        b = b.withColumns({f"_hn{g}": head, f"_tn{g}": tail})
+        ends = F.when(F.col(f"_hn{g}") == F.col(f"_tn{g}"), F.array(F.struct(F.lit(0).alias("end"), F.col(f"_hn{g}").alias("n"), F.col(f"_head{g}").alias("r")))).otherwise(
+            F.array(F.struct(F.lit(0).alias("end"), F.col(f"_hn{g}").alias("n"), F.col(f"_head{g}").alias("r")),
+                    F.struct(F.lit(1).alias("end"), F.col(f"_tn{g}").alias("n"), F.col(f"_tail{g}").alias("r"))))
+        parts = b.withColumn("_e", F.explode(ends))
+        same = Window.partitionBy(*self.keys, "_e.n")
+        total = F.struct(F.sum("_e.r.rows").over(same).alias("rows"), F.min("_e.r.low").over(same).alias("low"), F.min("_e.r.first").over(same).alias("first"))
+        parts = parts.withColumn("_whole", total)
+        rest = [c for c in b.columns if c not in (*self.keys, "_p", f"_head{g}", f"_tail{g}")]
+        out = parts.groupBy(*self.keys, "_p").agg(
+            *[F.first(c).alias(c) for c in rest], F.max(F.when(F.col("_e.end") == 0, F.col("_whole"))).alias(f"_head{g}"),
+            F.max(F.when(F.col("_e.end") == 1, F.col("_whole"))).alias(f"_tail{g}"))
+        return out.withColumn(f"_tail{g}", F.coalesce(f"_tail{g}", f"_head{g}"))
+
+    def answered(self, rows: DataFrame, border: DataFrame | None) -> DataFrame:
+        """Rows with previous time, key count ``_num``, session numbers ``_n<gap>`` and rollups ``_r<gap>``."""
+        nulls = F.sum(F.when(self.timeless, F.col("_mult")).otherwise(F.lit(0).cast("bigint"))).over(self.whole)
+        count = F.sum("_mult").over(self.whole)
+        if border is not None:
+            mine = F.struct(*[F.col(k) for k in self.keys])
+            rows = rows.join(F.broadcast(border), (mine == F.col("_bk")) & (F.col("_p") == F.col("_bp")), "left")
+            rows = rows.withColumn("_prev", F.when((F.col("_rn") == 1) & F.col("_bp").isNotNull(), F.col("_carry")).otherwise(F.col("_prev")))
+            nulls, count = F.coalesce("_null", nulls), F.coalesce("_all", count)
+        rows = rows.withColumns({"_nt": nulls, "_num": count, **{f"_s{g}": self.starts(g) for g in self.gaps}})
+        numbers = {}
+        for g in self.gaps:
+            base = F.lit(0).cast("bigint") if border is None else F.coalesce(f"_b{g}", F.lit(0).cast("bigint"))
+            numbers[f"_n{g}"] = F.when(self.timeless, F.col("_nt")).otherwise(F.col("_nt") + base + F.sum(f"_s{g}").over(self.upto))
+        rows = rows.withColumns(numbers)
+        if not self.rolled:
+            return rows
+        rows = rows.withColumns({f"_g{g}": F.when(self.unkeyed, F.lit(-1).cast("bigint")).otherwise(F.col(f"_n{g}")) for g in self.gaps})
+        for g in self.gaps:
+            w = Window.partitionBy(*self.keys, "_p", f"_g{g}")
+            own = F.struct(F.sum("_mult").over(w).alias("rows"), F.min(self.ts).over(w).alias("low"), F.min(self.first).over(w).alias("first"))
+            if border is not None:
+                own = (F.when(F.col("_bp").isNull(), own).when(F.col(f"_g{g}") == F.col(f"_hn{g}"), F.col(f"_head{g}"))
+                       .when(F.col(f"_g{g}") == F.col(f"_tn{g}"), F.col(f"_tail{g}")).otherwise(own))
+            rows = rows.withColumn(f"_r{g}", own)
+        return rows
+
+
 def session_table(df: DataFrame, key, ts: str, gap: int, *, tiebreak: Sequence[str] = (), tiebreak_unique: bool = False,
                   firsts: Mapping[str, str] | None = None, first_ts_name: str = "first_contact_date",
                   count_name: str = "num_contacts") -> DataFrame:
     """One row per (key, session): session_start, session_end (last contact plus the gap), earliest time, row
     count and first-row values. Rows of a NULL key are one session, as in :func:`sessionize`'s rollups.
 
-    The sessions of a key are numbered on its time chunks and their rows are combined map-side, so a
-    key with any share of the rows stays spread over the tasks that read it."""
+    Sessions are numbered by :func:`sessionize` and their rows combined map-side, so a key with any share of the
+    rows stays spread over tasks."""
     keys = _keys(key)
     cols = list(dict.fromkeys((firsts or {}).values()))
     rows = df.select(*dict.fromkeys([*keys, ts, *tiebreak, *cols]))

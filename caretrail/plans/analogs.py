@@ -113,6 +113,20 @@ def attribution_events(spark: SparkSession, root: str) -> DataFrame:
     return conversion_flags(att)
 
 
+def attribution_all_events(spark: SparkSession, root: str) -> DataFrame:
+    """U4 + U10 on events: every purchase of the same user within 14 days after an error."""
+    from caretrail.operators.attribution import conversion_flags, purchases_within
+    ev = read_table(spark, root, "events")
+    tickets = ev.where(F.col("event_type") == "error").select(
+        F.struct(F.col("event_id").alias("id"), F.col("ts").alias("created_at")).alias("ticket"), F.col("user_id").alias("dni_nie"), F.col("ts").alias("created_at"))
+    pairs = purchases_within(tickets, _event_policies(ev), ticket_id="ticket")
+    return conversion_flags(pairs.withColumns({
+        "id": F.col("ticket.id"),
+        "dif_purchase_seconds": F.abs(_epoch("purchased_at") - _epoch("ticket.created_at")),
+        "dif_interrupted_seconds": F.abs(_epoch("interrupted_at") - _epoch("ticket.created_at")),
+    }).drop("ticket", "dif_between_ticket_and_purchase", "dif_between_ticket_and_interrupted"))
+
+
 # ---- operators on domain-shaped tables derived from the driver's tables -------------------------
 
 def categorize_tickets(spark: SparkSession, root: str) -> DataFrame:

@@ -15,6 +15,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "first_touch_orders": analogs.first_touch_orders,
     "nearest_match_events": analogs.nearest_match_events,
     "attribution_events": analogs.attribution_events,
+    "attribution_all_events": analogs.attribution_all_events,
     "categorize_tickets": analogs.categorize_tickets,
     "users_customer": analogs.users_customer,
     "caller_phones_tickets": analogs.caller_phones_tickets,
@@ -33,6 +34,7 @@ ORACLES: dict[str, Callable[[], str]] = {
     "first_touch_orders": oracle_sql.first_touch_orders,
     "nearest_match_events": oracle_sql.nearest_match_events,
     "attribution_events": oracle_sql.attribution_events,
+    "attribution_all_events": oracle_sql.attribution_all_events,
     "categorize_tickets": oracle_sql.categorize_tickets,
     "users_customer": oracle_sql.users_customer,
     "caller_phones_tickets": oracle_sql.caller_phones_tickets,

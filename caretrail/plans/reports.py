@@ -5,14 +5,14 @@
 * :func:`call_report`   (U19) one row per answered inbound call with recall sessions and its ticket.
 
 Bag semantics are kept as in the source: a ticket tied to two equally near policies appears twice
-in the base, and joins by ticket id multiply such copies. ``materialize`` cuts the lineage of the
-base, which every report reads several times, into the session's reliable checkpoint folder.
+in the base, and joins by ticket id multiply such copies.
+
+Both reports start from one core (:func:`ticket_core`): tickets with phones, purchases and the columns of either
+variant. It is read several times, so it is a stage table (:mod:`caretrail.plans.stages`), written once for both.
 """
 
 from __future__ import annotations
 
-import os
-import uuid
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame
@@ -29,6 +29,7 @@ from caretrail.operators.first_touch import first_touch, first_touch_nested
 from caretrail.operators.matching import match_calls_to_tickets, one_row_per
 from caretrail.operators.sessions import sessionize
 from caretrail.operators.users import normalize_users
+from caretrail.plans.stages import StageManager, fingerprint, of_application
 
 # The claims form left out of every report, and the claim subjects.
 CLAIMS_FORM_ID = 19015738424477
@@ -48,64 +49,72 @@ class Sources:
     policy_facts: DataFrame
     ticket_metrics: DataFrame | None = None
     calls: DataFrame | None = None
+    #: the stored tables that users, tickets and policy_facts come from, if they are known: they name the stages
+    inputs: dict[str, DataFrame] | None = None
 
 
-def materialize(df: DataFrame, enabled: bool = True) -> DataFrame:
-    """Cut lineage with a stage table: Parquet below the reliable checkpoint folder, so a lost executor
-    costs one stage at most, and each later read takes only the columns it needs."""
-    if not enabled:
-        return df
-    from caretrail.session import ensure_checkpoint_dir
-    spark = df.sparkSession
-    path = os.path.join(ensure_checkpoint_dir(spark), f"stage-{uuid.uuid4().hex[:12]}")
-    df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+def materialize(df: DataFrame, stages: StageManager | None, name: str, of: str | None = None) -> DataFrame:
+    """``df`` as a stage table, or as it is without a manager."""
+    return df if stages is None else stages.keep(df, name, of)
 
 
-def ticket_base(src: Sources, *, ticket_report: bool = True, dedupe: str = "reference") -> DataFrame:
-    """U11: tickets with caller phone, category, nearest purchase and conversion flags.
+FLAGS = ("purchased_policy_7days", "purchased_policy_14days", "purchased_policy_3days", "purchased_policy_1days")
+#: columns of the core that only one variant shows, under other names
+VARIANTS = ("_rewritten_channel", "_ticket_incident", "_call_incident", "_mail_seen")
 
-    ``ticket_report=True`` is the ticket report's variant (channel rewrite, its ruleset, mail flag);
-    False is the call report's (raw channel, the call ruleset). ``dedupe='reference'`` keeps one row
-    per tied nearest policy row, as the source does; ``'strict'`` keeps one row per ticket (the tied
-    row with the smallest policy number, then purchase time, then the other columns).
-    """
-    if dedupe not in ("reference", "strict"):
-        raise ValueError("dedupe must be 'reference' or 'strict'")
-    users = normalize_users(src.users, ticket_report=ticket_report).select("requester_id", "dni_nie", "phone")
-    tickets = src.tickets.join(users, "requester_id", "left")
 
+def ticket_core(src: Sources) -> DataFrame:
+    """U11 for both reports: tickets with phones, nearest purchase and flags, and either variant's own columns."""
+    users = normalize_users(src.users, ticket_report=False).select("requester_id", "dni_nie", "phone")
+    tickets = src.tickets.where(F.col("ticket_form_id") != F.lit(CLAIMS_FORM_ID)).join(users, "requester_id", "left")
     att = conversion_flags(attribute_purchases(
         tickets.select("id", "dni_nie", "created_at"), src.policy_facts,
         ticket_id="id", ticket_key="dni_nie", created="created_at",
         policy_key="dni_nie", purchased="purchased_at", policy_number="policy_number",
         interrupted="interrupted_at"))
-    flags = ["purchased_policy_7days", "purchased_policy_14days", "purchased_policy_3days", "purchased_policy_1days"]
-    att_cols = [c for c in att.columns if c != "id" and c not in flags]
-
     caller = caller_phone("description")
     uphone = user_phone("phone")
-    ticket_cols = [c for c in src.tickets.columns if not (ticket_report and c == "channel")]
-    base = tickets.select(
+    core = tickets.select(
         caller.alias("CallerPhoneNumber"), uphone.alias("user_phone"),
         phone_to_join(caller, uphone).alias("zdk_phone_to_join"),
-        epoch_seconds("created_at").alias("ticket_created_at_unix"),
-        *[F.col(c) for c in ticket_cols],
-        *([rewrite_channel("channel", "description").alias("channel")] if ticket_report else []))
-    rs = TICKET_INCIDENTS if ticket_report else CALL_INCIDENTS
-    base = categorize(base, "tipo_de_incidencia", rs, "incidencia_grouped")
-    if ticket_report:
-        base = base.withColumn("mail_seen", mail_seen("tags"))
-    base = base.join(att, "id", "left")
-    base = base.withColumns({f: F.coalesce(F.col(f), F.lit(0)) for f in flags})
-    keep = [c for c in base.columns if c not in att_cols and c not in flags]
-    base = base.select(*keep, *att_cols, *flags)
-    base = base.where(F.col("ticket_form_id") != F.lit(CLAIMS_FORM_ID))
+        epoch_seconds("created_at").alias("ticket_created_at_unix"), *[F.col(c) for c in src.tickets.columns],
+        rewrite_channel("channel", "description").alias("_rewritten_channel"), mail_seen("tags").alias("_mail_seen"))
+    core = categorize(core, "tipo_de_incidencia", TICKET_INCIDENTS, "_ticket_incident")
+    core = categorize(core, "tipo_de_incidencia", CALL_INCIDENTS, "_call_incident")
+    core = core.join(att, "id", "left")
+    return core.withColumns({f: F.coalesce(F.col(f), F.lit(0)) for f in FLAGS})
+
+
+def ticket_base(src: Sources, *, ticket_report: bool = True, dedupe: str = "reference", core: DataFrame | None = None) -> DataFrame:
+    """U11: tickets with caller phone, category, nearest purchase and conversion flags.
+
+    ``ticket_report=True`` is the ticket report's variant (channel rewrite, its ruleset, mail flag);
+    False is the call report's (raw channel, the call ruleset). ``dedupe='reference'`` keeps one row
+    per tied nearest policy row, as the source does; ``'strict'`` keeps one row per ticket (the tied
+    row with the smallest policy number, then purchase time, then the other columns). ``core`` is
+    :func:`ticket_core` of the same sources, if it is there already.
+    """
+    if dedupe not in ("reference", "strict"):
+        raise ValueError("dedupe must be 'reference' or 'strict'")
+    core = ticket_core(src) if core is None else core
+    first = ["CallerPhoneNumber", "user_phone", "zdk_phone_to_join", "ticket_created_at_unix"]
+    own = [c for c in src.tickets.columns if not (ticket_report and c == "channel")]
+    bought = [c for c in core.columns if c not in (*first, *src.tickets.columns, *VARIANTS, *FLAGS)]
+    shown = ([F.col("_rewritten_channel").alias("channel"), F.col("_ticket_incident").alias("incidencia_grouped"), F.col("_mail_seen").alias("mail_seen")]
+             if ticket_report else [F.col("_call_incident").alias("incidencia_grouped")])
+    base = core.select(*first, *own, *shown, *bought, *FLAGS)
     if dedupe == "strict":
         base = one_row_per(base, "id", ["policy_number", "purchased_at"])
     return base
 
 
+def _core_stage(src: Sources, stages: StageManager | None) -> tuple[DataFrame, str | None]:
+    if stages is None:
+        return ticket_core(src), None
+    of = fingerprint(src.inputs or {"users": src.users, "tickets": src.tickets, "policy_facts": src.policy_facts})
+    return materialize(ticket_core(src), stages, "core", of), of
+
+
 def _not_claim(df: DataFrame) -> F.Column:
     return ~F.col("subject").isin(*CLAIM_SUBJECTS)
 
@@ -141,9 +150,11 @@ def recontact_sessions(base: DataFrame) -> DataFrame:
                     f"first_incidencia_grouped_client_{g}")
 
 
-def ticket_report(src: Sources, *, checkpoint: bool = True, dedupe: str = "reference") -> DataFrame:
-    """U18: the ticket report (``dedupe`` as in :func:`ticket_base`)."""
-    base = materialize(ticket_base(src, ticket_report=True, dedupe=dedupe), checkpoint)
+def ticket_report(src: Sources, *, checkpoint: bool = True, dedupe: str = "reference", stages: StageManager | None = None) -> DataFrame:
+    """U18: the ticket report (``dedupe`` as in :func:`ticket_base`). ``checkpoint=False`` writes no stages."""
+    stages = (stages or of_application(src.tickets.sparkSession)) if checkpoint else None
+    core, _ = _core_stage(src, stages)
+    base = ticket_base(src, ticket_report=True, dedupe=dedupe, core=core)
     rec = recontact_sessions(base)
     crit = first_touch_criteria(base)
     m = src.ticket_metrics
@@ -184,18 +195,20 @@ def matched_tickets(calls: DataFrame, base: DataFrame) -> DataFrame:
         *[c for c in base.columns])
 
 
-def call_report(src: Sources, *, checkpoint: bool = True, dedupe: str = "reference") -> DataFrame:
-    """U19: the call report (``dedupe`` as in :func:`ticket_base`)."""
-    base = materialize(ticket_base(src, ticket_report=False, dedupe=dedupe), checkpoint)
-    calls = recall_sessions(filter_calls(normalize_calls(src.calls)))
-    calls = materialize(calls, checkpoint)
+def call_report(src: Sources, *, checkpoint: bool = True, dedupe: str = "reference", stages: StageManager | None = None) -> DataFrame:
+    """U19: the call report (``dedupe`` as in :func:`ticket_base`). ``checkpoint=False`` writes no stages."""
+    stages = (stages or of_application(src.tickets.sparkSession)) if checkpoint else None
+    core, of = _core_stage(src, stages)
+    base = ticket_base(src, ticket_report=False, dedupe=dedupe, core=core)
+    heard = fingerprint({"calls": src.calls}) if stages else None
+    calls = materialize(recall_sessions(filter_calls(normalize_calls(src.calls))), stages, "calls", heard)
     matched = matched_tickets(calls, base)
     # First touch joins the few matched tickets, not the calls: unmatched calls have no ticket id, and as one
     # NULL key they would all meet in one partition.
     matched = matched.join(first_touch_criteria(base), "id", "left")
     out = calls.join(matched, calls["call_id"] == matched["aircall_id"], "left")
     # Read twice below (the group aggregate and the join back): cut it once.
-    out = materialize(report_calls(out), checkpoint)
+    out = materialize(report_calls(out), stages, "joined", f"{of}{heard}-{dedupe}" if stages else None)
     # Sessions nest (a 60-day session is a union of 30-day ones, of 15-day ones): one aggregate over
     # the 15-day labels, rolled up to 30 and 60 days on that small table, one join back.
     return first_touch_nested(out, ["client_15", "client_30", "client_60"], ["created_time_utc"],

@@ -5,7 +5,8 @@
 
 ``--tables`` holds one folder per domain table, ``--database`` is a catalog database with these tables; the
 names are those of :mod:`caretrail.sources.domain` (users, tickets, ticket_metrics, customer_data, policy, policy_interruption, offer, quote, payments,
-transaction, calls). Each report is written to ``<out>/<report>``.
+transaction, calls). Each report is written to ``<out>/<report>``. Stage tables are deleted once all reports are written; a
+run that failed and is started again with the same ``--out`` and inputs takes up the stages it had finished.
 """
 
 from __future__ import annotations
@@ -14,9 +15,11 @@ import argparse
 import os
 
 from caretrail.operators.policies import policy_facts
+from caretrail.operators.users import normalize_users
 from caretrail.plans.reports import Sources, call_report, ticket_report
+from caretrail.plans.stages import StageManager
 from caretrail.session import build_session
-from caretrail.sources.domain import read_domain
+from caretrail.sources.domain import SCHEMAS, read_domain
 
 REPORTS = {"ticket_report": ticket_report, "call_report": call_report}
 
@@ -26,10 +29,14 @@ def load_sources(spark, root: str, fmt: str | None = "parquet") -> Sources:
     def t(name: str):
         return read_domain(spark, name, f"{root}.{name}" if fmt is None else os.path.join(root, name), fmt)
 
-    facts = policy_facts(t("customer_data"), t("policy"), t("policy_interruption"), t("offer"), t("quote"),
-                         t("payments"), t("transaction"))
-    return Sources(users=t("users"), tickets=t("tickets"), policy_facts=facts,
-                   ticket_metrics=t("ticket_metrics"), calls=t("calls"))
+    tables = {name: t(name) for name in SCHEMAS}
+    # only persons who may have written are followed to their payments
+    persons = normalize_users(tables["users"], ticket_report=False).select("dni_nie")
+    facts = policy_facts(*(tables[n] for n in ("customer_data", "policy", "policy_interruption", "offer", "quote", "payments", "transaction")),
+                         wanted=persons)
+    inputs = {name: df for name, df in tables.items() if name not in ("calls", "ticket_metrics")}
+    return Sources(users=tables["users"], tickets=tables["tickets"], policy_facts=facts, ticket_metrics=tables["ticket_metrics"],
+                   calls=tables["calls"], inputs=inputs)
 
 
 def main(argv: list[str] | None = None) -> None:
@@ -43,8 +50,9 @@ def main(argv: list[str] | None = None) -> None:
     args = ap.parse_args(argv)
     spark = build_session(app_name="caretrail-reports")
     src = load_sources(spark, args.tables, args.format) if args.tables else load_sources(spark, args.database, None)
-    for name in args.reports:
-        REPORTS[name](src).write.mode("overwrite").parquet(os.path.join(args.out, name))
+    with StageManager(spark, run=args.out) as stages:
+        for name in args.reports:
+            REPORTS[name](src, stages=stages).write.mode("overwrite").parquet(os.path.join(args.out, name))
 
 
 if __name__ == "__main__":

@@ -17,7 +17,7 @@ def test_nearest_times_brute_force(spark):
     L = spark.createDataFrame(left, "lid long, k int, t long")
     R = spark.createDataFrame(right, "k int, rt long")
     got = {r["lid"]: (r["p"], r["n"]) for r in
-           nearest_times(L, R, "k", "k", "t", "rt", prev_name="p", next_name="n", chunk_seconds=997).collect()}
+           nearest_times(L, R, "k", "k", "t", "rt", prev_name="p", next_name="n", piece_rows=9).collect()}
     for lid, k, t in left:
         before = [x for kk, x in right if kk == k and x <= t]
         after = [x for kk, x in right if kk == k and x >= t]

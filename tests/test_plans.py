@@ -16,7 +16,7 @@ def test_no_python_no_cartesian_and_pushdown(spark, monkeypatch):
         plans.append((name, df._jdf.queryExecution().executedPlan().toString()))
 
     for name, fn in entry.queries().items():
-        monkeypatch.setattr(reports, "materialize", lambda df, enabled=True, name=name: (note(f"{name} (stage)", df), write(df, enabled))[1])
+        monkeypatch.setattr(reports, "materialize", lambda df, *rest, name=name: (note(f"{name} (stage)", df), write(df, *rest))[1])
         note(name, fn(spark, SMOKE))
     stages = [name for name, _ in plans if name.endswith("(stage)")]
     assert stages.count("ticket_report_events (stage)") == 1 and stages.count("call_report_events (stage)") == 3

@@ -6,14 +6,15 @@ import tempfile
 import pytest
 from pyspark.sql import functions as F
 
-from caretrail.plans import run
+from caretrail.plans import reports, run
+from caretrail.plans.stages import StageManager, fingerprint
 from caretrail.sources import domain
+from caretrail.sources.bucketing import save_bucketed
 from tests import domain_fixtures as fx
+from tests.helpers import assert_same
 
 
-def test_run_reports_from_folders(spark):
-    root = tempfile.mkdtemp(prefix="caretrail-domain-")
-    out = tempfile.mkdtemp(prefix="caretrail-out-")
+def domain_tables(spark):
     ts = fx.ts
     tables = {
         "users": fx.users(spark), "tickets": fx.tickets(spark), "ticket_metrics": fx.metrics(spark),
@@ -29,11 +30,10 @@ def test_run_reports_from_folders(spark):
     }
     tables["ticket_metrics"] = tables["ticket_metrics"].withColumn("group_name", F.lit("north"))
     tables["calls"] = tables["calls"].withColumn("queue_name", F.lit("q1"))
-    for name, df in tables.items():
-        df.write.parquet(os.path.join(root, name))
-    run.main(["--tables", root, "--out", out])
-    tr = spark.read.parquet(os.path.join(out, "ticket_report"))
-    cr = spark.read.parquet(os.path.join(out, "call_report"))
+    return tables
+
+
+def check_reports(tr, cr):
     rows = {r.id: r for r in tr.collect()}
     # ticket 101: policy bought at creation, paid twice -> two tied copies
     assert tr.where("id = 101").count() == 2 and rows[101].policy_number == "POL000001"
@@ -43,6 +43,77 @@ def test_run_reports_from_folders(spark):
     assert tr.where("group_name = 'north'").count() > 0 and cr.where("queue_name = 'q1'").count() == 3
 
 
+def stage_folders():
+    """Stage folders of runs below this session's shared folder."""
+    from pyspark.sql import SparkSession
+    top = StageManager(SparkSession.getActiveSession(), "any").top.removeprefix("file://").removeprefix("file:")
+    return set(os.listdir(top)) if os.path.isdir(top) else set()
+
+
+def test_run_reports_from_folders(spark):
+    root = tempfile.mkdtemp(prefix="caretrail-domain-")
+    out = tempfile.mkdtemp(prefix="caretrail-out-")
+    for name, df in domain_tables(spark).items():
+        df.write.parquet(os.path.join(root, name))
+    before = stage_folders()
+    run.main(["--tables", root, "--out", out])
+    check_reports(spark.read.parquet(os.path.join(out, "ticket_report")), spark.read.parquet(os.path.join(out, "call_report")))
+    assert stage_folders() <= before  # nothing of the run is left
+
+
+def test_run_reports_from_catalog_tables(spark):
+    """The reports on tables by name, saved bucketed by this session; equal to the reports from folders."""
+    root, out, place = (tempfile.mkdtemp(prefix=f"caretrail-{x}-") for x in ("folders", "out", "database"))
+    tables = domain_tables(spark)
+    spark.sql(f"CREATE DATABASE care LOCATION '{place}'")
+    try:
+        save_bucketed(tables, "care", 4)
+        run.main(["--database", "care", "--out", f"{out}/named"])
+        for name, df in tables.items():
+            df.write.parquet(os.path.join(root, name))
+        run.main(["--tables", root, "--out", f"{out}/folders"])
+        named, folders = ({r: spark.read.parquet(f"{out}/{kind}/{r}") for r in run.REPORTS} for kind in ("named", "folders"))
+        check_reports(named["ticket_report"], named["call_report"])
+        for r in run.REPORTS:
+            assert_same(named[r], folders[r])
+        # bucketed sides are joined as they lie
+        customers, policies = (domain.read_domain(spark, t, f"care.{t}", None) for t in ("customer_data", "policy"))
+        plan = customers.join(policies, "application_id", "left")._jdf.queryExecution().executedPlan().toString()
+        assert "Exchange" not in plan and plan.count("Bucketed: true") == 2
+        moved = [src.policy_facts._jdf.queryExecution().executedPlan().toString().count("Exchange hashpartitioning")
+                 for src in (run.load_sources(spark, "care", None), run.load_sources(spark, root))]
+        assert moved[0] < moved[1], moved
+    finally:
+        spark.sql("DROP DATABASE care CASCADE")
+
+
+def test_stages_are_shared_and_taken_up_again(spark):
+    """Two reports write their common stage once; a run that failed leaves its stages, and the next one uses them."""
+    root = tempfile.mkdtemp(prefix="caretrail-stages-")
+    for name, df in domain_tables(spark).items():
+        df.write.parquet(os.path.join(root, name))
+    src, before, name = run.load_sources(spark, root), stage_folders(), root  # a run is named by its folder
+    with pytest.raises(RuntimeError), StageManager(spark, name) as first:
+        reports.ticket_report(src, stages=first).count()
+        assert first.written == 1
+        reports.call_report(src, stages=first).count()
+        assert first.written == 3
+        raise RuntimeError("the driver is lost")
+    assert stage_folders() - before
+    src = run.load_sources(spark, root)
+    with StageManager(spark, name) as again:
+        rows = reports.call_report(src, stages=again).count()
+        assert again.written == 0 and rows == 3
+        # other inputs, other stages
+        src.tickets.where("id <> 101").write.parquet(f"{root}/fewer")
+        src.tickets = src.inputs["tickets"] = domain.read_domain(spark, "tickets", f"{root}/fewer")
+        reports.ticket_report(src, stages=again).count()
+        assert again.written == 1
+    assert stage_folders() <= before
+    in_memory = fingerprint({"users": fx.users(spark)}), fingerprint({"users": fx.users(spark)})
+    assert in_memory[0] != in_memory[1]
+
+
 def test_conform_casts_to_declared_schema(spark):
     df = spark.createDataFrame([("7", "1", "2024-01-01 10:00:00", "extra")],
                                "id string, requester_id string, created_at string, other string")

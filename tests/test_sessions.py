@@ -3,7 +3,8 @@ import datetime as dt
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from caretrail.operators.sessions import chunk_length, sessionize
+from caretrail.operators.pieces import find_pieces
+from caretrail.operators.sessions import sessionize
 from tools.naive import rollups_naive, sessions_naive
 from tests.conftest import SF
 from tests.helpers import assert_same
@@ -34,11 +35,6 @@ def copy_rows():
                           (12, "b", d("2024-01-01 00:00:00"), "t"), (13, "b", d("2024-01-01 00:00:00"), None)]
 
 
-def test_chunk_never_holds_a_boundary():
-    for g in (0, 1, 15, 60):
-        assert chunk_length(g) <= (g + 1) * 86400 - 3600
-
-
 def test_edges_match_window_form(spark):
     df = spark.createDataFrame(edge_rows(), SCHEMA)
     got = sessionize(df, "k", "t", (15, 30, 60), tiebreak=["id"])
@@ -91,15 +87,15 @@ def test_orders_match_window_form(spark):
 
 
 def test_hot_key_is_spread(spark):
-    """A key holding a third of the rows: same answer, and more than one chunk group for it."""
+    """A key holding a third of the rows: same answer, and the key is cut into pieces."""
     orders = spark.read.parquet(f"{SF}/orders.parquet")
     hot = orders.select("o_orderkey", "o_orderdate",
                         F.when(F.col("o_orderstatus") == "P", F.lit(-1)).otherwise(F.col("o_custkey")).alias("k"))
     got = sessionize(hot, "k", "o_orderdate", (15,), tiebreak=["o_orderkey"])
     want = sessions_naive(hot, "k", "o_orderdate", (15,), tiebreak=["o_orderkey"])
     assert_same(got, want)
-    n_chunks = hot.where("k = -1").select(F.floor(F.unix_timestamp("o_orderdate") / chunk_length(15))).distinct().count()
-    assert n_chunks > 100
+    pieces = find_pieces(hot, ["k"], [F.col("o_orderdate"), F.col("o_orderkey")])
+    assert pieces.assign(hot).where("k = -1").select("_p").distinct().count() > 1
 
 
 def test_copies_expand_in_blocks(spark, monkeypatch):
