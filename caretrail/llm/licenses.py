@@ -190,8 +190,10 @@ def scan_paragraphs(docs: DataFrame, model: Model, id_col: str = "doc_id", text_
     grams = paragraphs(docs, id_col, text_col).select("doc_id", "pos", "line", F.explode(F.array_distinct(_grams(_words(F.col("line"))))).alias("gram"))
     hits = grams.join(F.broadcast(model.vocabulary), "gram")  # as many rows as the notices have n-grams
     k = len(model.families)
-    sums = hits.groupBy("doc_id", "pos", "line").agg(*(F.sum(F.col("w")[i]).alias(f"z{i}") for i in range(k)))
-    z = F.array(*(F.col(f"z{i}") + F.lit(b) for i, b in enumerate(model.bias)))
+    # a line's n-grams are distinct, so equal rows show as a multiple of them: each line is scored once
+    sums = hits.groupBy("doc_id", "pos", "line").agg(*(F.sum(F.col("w")[i]).alias(f"z{i}") for i in range(k)),
+                                                     (F.count("*") / F.size(F.collect_set("gram"))).alias("copies"))
+    z = F.array(*(F.col(f"z{i}") / F.col("copies") + F.lit(b) for i, b in enumerate(model.bias)))
     none = model.families.index("unknown")
     scored = sums.select("doc_id", "pos", "line", z.alias("z")).withColumn("best", F.array_max(F.transform("z", lambda x, i: F.when(i != none, x))))
     names = F.array(*map(F.lit, model.families))

@@ -319,6 +319,21 @@ def _across(shared: DataFrame, rated: DataFrame, comp: DataFrame, sig: DataFrame
     return _verified(stages.keep(reduce(DataFrame.union, pairs).distinct(), "rest"), docs, stages, "rest")
 
 
+def one_of_each(docs: DataFrame) -> DataFrame:
+    """The rows of ``docs`` (all columns, of any type and name) that stay when one document of each group stays: for each
+    kept doc_id one row for each different text; of such repeated rows the one whose other columns, as JSON, hash
+    first (equal hashes: any of them). Rows without a doc_id stay as they are. An empty table gives no rows."""
+    gone = near_duplicates(docs).where(~F.col("kept")).select(F.col("doc_id").alias("gone_id")).distinct()
+    others = [F.col(f"`{c}`") for c in docs.columns if c.lower() not in ("doc_id", "text")]
+    place = F.xxhash64(F.to_json(F.struct(*others))) if others else F.lit(0)
+    # a row travels as one struct, so that no name of its columns meets a name used here
+    rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"), F.col("doc_id").cast("bigint").alias("id"),
+                       F.sha2(F.col("text").cast("string").cast("binary"), 256).alias("digest"), place.alias("place"))
+    left = rows.where("id IS NOT NULL").join(gone, F.col("id") == F.col("gone_id"), "left_anti")
+    once = left.groupBy("id", "digest").agg(F.min_by("row", "place").alias("row"))
+    return once.select("row.*").unionByName(rows.where("id IS NULL").select("row.*"))
+
+
 def op3_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(table(spark, sf_dir, "documents"))
 

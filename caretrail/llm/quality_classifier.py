@@ -150,7 +150,9 @@ def fit(sample: list[tuple[bytes, int]], share: float | None) -> Model:
     if share is None or len(set(labels.tolist())) < 2:
         return Model(None, None, 0.0, 1.0, 0.0 if share is None else float(np.log((share + 1e-6) / (1 - share + 1e-6))))
     rows = [np.frombuffer(i, "<u4") for i, _ in unique]
-    back = np.arange(len(rows)) % 5 == 0
+    back = np.zeros(len(rows), bool)
+    for v in (0, 1):  # every fifth row of each label, so that the calibration sees both
+        back[np.flatnonzero(labels == v)[::5]] = True
     if len(set(labels[~back].tolist())) < 2 or len(rows) < 20:
         back[:] = False
     counts = np.full((2, SIZE), SMOOTH)

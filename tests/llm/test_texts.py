@@ -6,7 +6,7 @@ import pyarrow as pa
 
 from caretrail.llm import language_id, licenses, quality_classifier, quality_rules, toxicity
 from caretrail.llm.common import text_arrays
-from tests.llm.conftest import AWKWARD, SF
+from tests.llm.conftest import AWKWARD, SF, SMOKE
 
 
 def auc(y, s):
@@ -57,6 +57,13 @@ def test_quality_held_out(spark):
     assert auc(held.quality.to_numpy(), held.score.to_numpy()) > 0.97 and (held.predicted == held.quality).mean() > 0.95
 
 
+def test_quality_on_few_labels_of_one_class(spark):
+    """sf0.001 has 87 labels, 11 of them of quality 0: the calibration still tells the classes apart."""
+    out = quality_classifier.op5_quality_classifier(spark, SMOKE).toPandas().merge(spark.read.parquet(f"{SMOKE}/labels.parquet").toPandas(), on="doc_id")
+    assert (out.predicted == out.quality).mean() > 0.9 and auc(out.quality.to_numpy(), out.score.to_numpy()) > 0.95
+    assert (out[out.held_out].predicted == out[out.held_out].quality).mean() > 0.8
+
+
 def test_dual_coordinate_descent_meets_optimality():
     rng = np.random.RandomState(1)
     rows = [np.sort(rng.choice(30, 8, replace=False)) for _ in range(80)]
@@ -173,6 +180,18 @@ def test_licences_found(spark):
     assert [list(f) for f in out.families] == [sorted(k for k, v in marks.items() if v.lower() in t.lower()) for t in out.text]
 
 
+def test_repeated_rows_have_equal_licences(spark):
+    """A row given one, two or three times is scored alike each time."""
+    model = licenses.train(spark.read.parquet(f"{SMOKE}/documents.parquet"))
+    lines = ["Released under the MIT License.", "It was released under license terms.", "Licensed under the Apache License, Version 2.0\nand more"]
+    got = []
+    for n in (1, 2, 3):
+        rows = spark.createDataFrame([(i, t) for i, t in enumerate(lines)] * n, "doc_id bigint, text string")
+        seen = {(r.doc_id, r.n_paragraphs, r.n_predicted, r.n_confirmed, tuple(r.families), round(r.score, 9)) for r in licenses.scan(rows, model).collect()}
+        got.append(seen)
+    assert len(got[0]) == 3 and got[0] == got[1] == got[2]
+
+
 def test_licence_paragraphs(spark):
     docs = spark.read.parquet(f"{SF}/documents.parquet")
     model = licenses.train(docs)

@@ -8,6 +8,7 @@ import numpy as np
 import public_tokenizers
 import pyarrow as pa
 import pytest
+from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 import corpus_pipeline
@@ -161,5 +162,11 @@ def test_near_duplicate_stage_keeps_one_of_repeated_rows(spark):
     docs = spark.createDataFrame(rows, "doc_id bigint, text string, extra int")
     got = corpus_pipeline.near_duplicates(spark, docs, SF)
     assert got.columns == docs.columns
-    left = sorted(((r.doc_id, r.text) for r in got.collect()), key=str)
-    assert left == sorted([(1, text), (1, other), (3, None), (None, text), (None, text)], key=str)
+    want = sorted([(1, text), (1, other), (3, None), (None, text), (None, text)], key=str)
+    assert sorted(((r.doc_id, r.text) for r in got.collect()), key=str) == want
+    # columns of any name and type: names that the operators use inside, and maps, which neither compare nor hash
+    clashing = docs.withColumns({"gone": F.col("extra"), "one": F.lit(1), "row": F.lit("r"), "id": F.lit(5), "place": F.lit(0), "node": F.lit("n"),
+                                 "a b": F.create_map(F.lit("k"), F.col("extra")), "nothing": F.lit(None).cast("string")})
+    got = corpus_pipeline.near_duplicates(spark, clashing, SF)
+    assert got.columns == clashing.columns and sorted(((r.doc_id, r.text) for r in got.collect()), key=str) == want
+    assert {r.extra for r in got.where("text = '" + text + "' AND doc_id = 1").collect()} <= {7, 8}
