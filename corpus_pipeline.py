@@ -9,41 +9,40 @@ from __future__ import annotations
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from caretrail.llm import decontamination, language_id, near_dedup, packing, quality_classifier
 from caretrail.llm.common import Stages, ship, table
 
 
 def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents with a decided language. Rows with a null text, or one without a letter, go; the model learns from
+    the labelled rows of ``docs``; repeated rows are judged alike; all columns stay."""
     ship(spark)
     return language_id.known_language(docs, language_id.train(docs))
 
 
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents with a score of 0.3 or more. A null or empty text has the score of a text without n-grams; repeated
+    rows are judged alike; all columns stay."""
     ship(spark)
     return quality_classifier.good_quality(docs, quality_classifier.train(docs, table(spark, sf_dir, "labels")))
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group, with one row for each different text of its doc_id; of repeated rows the one
-    whose hash comes first stays. Rows without a doc_id stay as they are."""
+    """One document of each group (:func:`caretrail.llm.near_dedup.one_of_each`)."""
     ship(spark)
-    gone = near_dedup.near_duplicates(docs).where(~F.col("kept")).select(F.col("doc_id").alias("gone")).distinct()
-    left = docs.where("doc_id IS NOT NULL").join(gone, F.col("doc_id") == F.col("gone"), "left_anti")
-    others = [c for c in docs.columns if c not in ("doc_id", "text")]
-    row = F.min_by(F.struct(F.lit(1).alias("one"), *others), F.xxhash64(F.lit(1), *others))
-    once = left.groupBy("doc_id", "text").agg(row.alias("row")).select(
-        *(F.col(f"row.{c}").alias(c) if c in others else c for c in docs.columns))
-    return once.unionByName(docs.where("doc_id IS NULL"))
+    return near_dedup.one_of_each(docs)
 
 
 def decontaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that hold no benchmark item. Rows without a text hold none and stay; all columns stay."""
     ship(spark)
     return decontamination.without_leaks(docs, table(spark, sf_dir, "benchmark"))
 
 
 def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Pieces of sequences, one row a piece. A null text is packed as its end token; rows with a null or repeated
+    doc_id are documents of their own; other columns are not read."""
     ship(spark)
     return packing.pack(docs, public_tokenizers.path("word_bpe_49k.json"))
 
