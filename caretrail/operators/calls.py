@@ -44,16 +44,21 @@ def normalize_calls(calls: DataFrame, *, source_zone: str = "Europe/Madrid") ->
     )
 
 
-def filter_calls(calls: DataFrame) -> DataFrame:
+#: what the telephone system writes for a caller without a number
+ANONYMOUS = "anonymous"
+
+
+def filter_calls(calls: DataFrame, *, drop_anonymous: bool = False) -> DataFrame:
     """Answered calls outside test/operations lines, web->NPS transfers and blocked numbers.
 
     Written as the source's negations: a NULL line name or number makes the test NULL and drops the row.
+    ``drop_anonymous`` leaves out calls without a number on either side, which otherwise share one client.
     """
     frm, to = F.col("from"), F.col("to")
     cond = F.lower(F.col("was_answered_yes__no")).ilike("%yes%")
     cond = cond & ~F.col("number_name").isin(*EXCLUDED_LINES)
     cond = cond & ~((frm == WEB_LINE) & (to == NPS_LINE))
-    for n in BLOCKED_NUMBERS:
+    for n in (*BLOCKED_NUMBERS, *((ANONYMOUS,) if drop_anonymous else ())):
         cond = cond & ~((frm == n) | (to == n))
     return calls.where(cond)
 

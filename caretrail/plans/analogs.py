@@ -87,6 +87,20 @@ def nearest_match_events(spark: SparkSession, root: str) -> DataFrame:
     return m.withColumn("ranking_ticket_id", F.lit(1).cast("bigint"))
 
 
+def nearest_match_copies_events(spark: SparkSession, root: str) -> DataFrame:
+    """U17 with both of its argmin steps: tickets tied to several policies come in copies, and each ticket that won
+    a call keeps one row. Errors are tickets; every third has two copies, every seventh three."""
+    from caretrail.operators.matching import match_calls_to_tickets, one_row_per
+    ev = read_table(spark, root, "events")
+    copies = F.when(F.col("id") % 7 == 0, 3).when(F.col("id") % 3 == 0, 2).otherwise(1)
+    tickets = (_event_tickets(ev).withColumn("copy", F.explode(F.sequence(F.lit(1), copies)))
+               .withColumn("policy_number", F.concat(F.lit("P"), (F.col("id") % 10 * 7 % 10 + F.lit(4) - F.col("copy")).cast("string"))).drop("copy"))
+    m = match_calls_to_tickets(_event_calls(ev), tickets, call_id="call_id", call_key="from_to_join",
+                               call_time="answered_at_utc_unix", ticket_key="zdk_phone_to_join",
+                               ticket_time="ticket_created_at_unix")
+    return one_row_per(m, "id", ["dif_between_call_and_ticket", "aircall_id"])
+
+
 def _event_policies(ev: DataFrame) -> DataFrame:
     """Purchases as policies; an interruption follows ``floor(value)`` hours later when value >= 40."""
     return ev.where(F.col("event_type") == "purchase").select(

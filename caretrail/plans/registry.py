@@ -14,6 +14,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "session_rollups_orders": analogs.session_rollups_orders,
     "first_touch_orders": analogs.first_touch_orders,
     "nearest_match_events": analogs.nearest_match_events,
+    "nearest_match_copies_events": analogs.nearest_match_copies_events,
     "attribution_events": analogs.attribution_events,
     "attribution_all_events": analogs.attribution_all_events,
     "categorize_tickets": analogs.categorize_tickets,
@@ -33,6 +34,7 @@ ORACLES: dict[str, Callable[[], str]] = {
     "session_rollups_orders": oracle_sql.session_rollups_orders,
     "first_touch_orders": oracle_sql.first_touch_orders,
     "nearest_match_events": oracle_sql.nearest_match_events,
+    "nearest_match_copies_events": oracle_sql.nearest_match_copies_events,
     "attribution_events": oracle_sql.attribution_events,
     "attribution_all_events": oracle_sql.attribution_all_events,
     "categorize_tickets": oracle_sql.categorize_tickets,

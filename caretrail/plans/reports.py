@@ -195,13 +195,15 @@ def matched_tickets(calls: DataFrame, base: DataFrame) -> DataFrame:
         *[c for c in base.columns])
 
 
-def call_report(src: Sources, *, checkpoint: bool = True, dedupe: str = "reference", stages: StageManager | None = None) -> DataFrame:
-    """U19: the call report (``dedupe`` as in :func:`ticket_base`). ``checkpoint=False`` writes no stages."""
+def call_report(src: Sources, *, checkpoint: bool = True, dedupe: str = "reference", stages: StageManager | None = None,
+                drop_anonymous: bool = False) -> DataFrame:
+    """U19: the call report (``dedupe`` as in :func:`ticket_base`, ``drop_anonymous`` as in
+    :func:`caretrail.operators.calls.filter_calls`). ``checkpoint=False`` writes no stages."""
     stages = (stages or of_application(src.tickets.sparkSession)) if checkpoint else None
     core, of = _core_stage(src, stages)
     base = ticket_base(src, ticket_report=False, dedupe=dedupe, core=core)
-    heard = fingerprint({"calls": src.calls}) if stages else None
-    calls = materialize(recall_sessions(filter_calls(normalize_calls(src.calls))), stages, "calls", heard)
+    heard = fingerprint({"calls": src.calls}, f"{drop_anonymous}") if stages else None
+    calls = materialize(recall_sessions(filter_calls(normalize_calls(src.calls), drop_anonymous=drop_anonymous)), stages, "calls", heard)
     matched = matched_tickets(calls, base)
     # First touch joins the few matched tickets, not the calls: unmatched calls have no ticket id, and as one
     # NULL key they would all meet in one partition.

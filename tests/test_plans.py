@@ -1,9 +1,8 @@
-"""Plan properties of every registered query, and of each stage that a report writes on its way."""
+"""Plan properties of every reporting query, and of each stage that a report writes on its way."""
 
 import re
 
-import __spark_entry__ as entry
-from caretrail.plans import reports
+from caretrail.plans import registry, reports
 from tests.conftest import SMOKE
 from tools.plan_report import summary
 
@@ -15,7 +14,7 @@ def test_no_python_no_cartesian_and_pushdown(spark, monkeypatch):
     def note(name, df):
         plans.append((name, df._jdf.queryExecution().executedPlan().toString()))
 
-    for name, fn in entry.queries().items():
+    for name, fn in registry.QUERIES.items():
         monkeypatch.setattr(reports, "materialize", lambda df, *rest, name=name: (note(f"{name} (stage)", df), write(df, *rest))[1])
         note(name, fn(spark, SMOKE))
     stages = [name for name, _ in plans if name.endswith("(stage)")]

@@ -68,3 +68,11 @@ def test_strict_dedupe_one_row_per_ticket(spark):
     assert base.count() == base.select("id").distinct().count() == 6
     rep = reports.ticket_report(src, checkpoint=False, dedupe="strict")
     assert rep.count() == rep.select("id").distinct().count() == 4
+
+
+def test_anonymous_callers_may_be_left_out(spark):
+    from caretrail.operators.calls import filter_calls, normalize_calls
+    calls = normalize_calls(fx.calls(spark))
+    kept, without = ({r.call_id for r in filter_calls(calls, drop_anonymous=d).collect()} for d in (False, True))
+    assert 3 in kept and kept - without == {3}
+    assert reports.call_report(fx.sources(spark), checkpoint=False, drop_anonymous=True).where("`from` = 'anonymous'").count() == 0
