@@ -150,7 +150,7 @@ def call_report_naive(src, tolerance: int = 10000) -> DataFrame:
     from caretrail.operators.calls import filter_calls, normalize_calls, report_calls
     base = _base_naive(src, False)
     calls = sessions_naive(filter_calls(normalize_calls(src.calls)), "client_number_calculated", "created_time_utc", (15, 30, 60), tiebreak=["call_id"],
-                           count_name="num_calls", number_fmt="n_call_{gap}").drop("lag", "date_diff_lag")
+                           count_name="num_calls", number_fmt="n_call_{gap}")
     for g in (15, 30, 60):
         calls = rollups_naive(calls, f"client_{g}", "created_time_utc", {f"first_user_client_{g}": "full_name", f"first_number_name_client_{g}": "number_name"},
                               tiebreak=["call_id"], first_ts_name=f"first_call_date_{g}", count_name=f"Num_calls_{g}")
