@@ -63,6 +63,7 @@ def nearest_times(left: DataFrame, right: DataFrame, left_key, right_key, left_t
         k = Window.partitionBy(*names).orderBy("_p")
         # every piece of a hot key has a row here, whether or not it holds a right time
         ends = pieces.of_hot_keys(both.select(*names, "_t", "_x", "_left")).groupBy(*names, "_p").agg(F.min(theirs).alias("_lo"), F.max(theirs).alias("_hi"))
+        ends = local(ends).coalesce(1)
         border = local(ends.select(F.struct(*names).alias("_bk"), F.col("_p").alias("_bp"),
                                    F.max("_hi").over(k.rowsBetween(Window.unboundedPreceding, -1)).alias("_before"),
                                    F.min("_lo").over(k.rowsBetween(1, Window.unboundedFollowing)).alias("_after")))

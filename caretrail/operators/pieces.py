@@ -78,6 +78,8 @@ def find_pieces(df: DataFrame, keys: Sequence[str], order: Sequence[Column], row
     # gathered per key, but only of the sample, whose size is bounded
     held = seen.groupBy("_h").agg(F.sort_array(F.collect_list("_at")).alias("_all")).where(F.size("_all") > step)
     points = F.transform(F.sequence(F.lit(step), F.size("_all") - 1, F.lit(step)), lambda i: F.get(F.col("_all"), i))
-    cuts = local(held.select("_h", F.array_distinct(points).alias("_cuts")))
-    most = cuts.agg(F.max(F.size("_cuts"))).first()[0]
-    return Pieces(keys, list(order), cuts, most) if most else none
+    held = held.select("_h", F.array_distinct(points).alias("_cuts"))
+    got = held.toArrow()
+    if not got.num_rows:
+        return none
+    return Pieces(keys, list(order), spark.createDataFrame(got, held.schema), max(len(x) for x in got.column("_cuts")))

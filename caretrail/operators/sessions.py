@@ -181,7 +181,8 @@ class _Scan:
             if self.rolled:
                 aggs += [self.sums(F.col(f"_c{g}") == 0).alias(f"_head{g}"), self.sums(F.col(f"_c{g}") == F.col(f"_m{g}")).alias(f"_tail{g}"),
                          F.max(f"_m{g}").alias(f"_m{g}")]
-        b = rows.groupBy(*self.keys, "_p").agg(*aggs)
+        # a row a piece from here on: held locally, in one partition, so what follows needs no exchange
+        b = local(rows.groupBy(*self.keys, "_p").agg(*aggs)).coalesce(1)
         key = Window.partitionBy(*self.keys)
         along = key.orderBy("_p")
         before = along.rowsBetween(Window.unboundedPreceding, -1)
