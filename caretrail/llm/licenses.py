@@ -4,31 +4,36 @@ A paragraph is a line of a text that has a word ([a-z0-9]+ after lower-casing).
 unigrams and bigrams.
 
 1. Training rows: every template notice (``NOTICES``), whole and in ``VARIANTS`` versions with words left out
-   or cut to a window; and as class `unknown` the sentences of ``DECOYS`` plus a bounded sample of corpus
-   paragraphs (``UNKNOWN_ROWS``, by hash) that resemble no template.
+   or cut to a window; and as class `unknown` the sentences of ``DECOYS`` plus a bounded sample of distinct corpus
+   paragraphs (``UNKNOWN_ROWS``, by hash; a hash threshold comes first, so no task sends more than its share) that
+   resemble no template.
 2. The vocabulary is n-grams of two or more notice rows that are rare among the unknown ones; on their
    presence a multinomial logistic regression is fitted with an L1 penalty, so few weights are not 0.
-3. Calibration: on rows kept back, the margin that all but 0.1 % of unknown paragraphs stay below becomes
-   the threshold of the unknown class.
-4. Scoring explodes every paragraph's n-grams against the vocabulary (a table whose size the templates
+3. Scoring explodes every paragraph's n-grams against the vocabulary (a table whose size the templates
    bound, broadcast), so only paragraphs with a weighted n-gram reach a shuffle; all others are unknown.
-5. A predicted family is confirmed if 60 % of the bigrams of one of its notices are in the paragraph, or 70 %
-   of the paragraph's bigrams (six or more) are in the notice.
-
-Result, one row per input row: doc_id, n_paragraphs, n_predicted, n_confirmed, families (confirmed, sorted),
-score (highest probability of a confirmed family, else 0). Defined results: null, empty or blank texts have
-no paragraph and no family. Repeated paragraphs count each. Rows that share a doc_id share the union of
+   A family's margin is its log odds against `unknown`.
+4. Calibration over all paragraphs of the corpus: the margin that all but ``FALSE_ALARM`` of those that resemble no
+   template stay below, 0 at least, becomes the threshold of the unknown class. Repeated rows count each.
+5. Every family whose margin is above the threshold is predicted, so a line may hold several. A predicted family is
+   confirmed if 60 % of the bigrams of one of its notices are in the paragraph, or 70 % of the paragraph's bigrams
+   (six or more) are in the notice. Families are taken by margin: once one is confirmed, the next must be confirmed by
+   bigrams that no notice of the families before it holds (two at least, 60 % of them), so that a notice doesn't count
+   again for its relatives (GPL and AGPL, CC BY and CC BY-SA).
+
+Result, one row per input row: doc_id, n_paragraphs, n_predicted and n_confirmed (paragraphs with such a family),
+families (confirmed, sorted), score (highest probability of a confirmed family, else 0). Defined results: null, empty
+or blank texts have no paragraph and no family. Repeated paragraphs count each. Rows that share a doc_id share the union of
 their findings; a null doc_id is matched like any other value. Extra columns are not read. Empty tables give
 no rows; very long texts are exploded whole.
 """
 
 from __future__ import annotations
 
+from dataclasses import dataclass, replace
 from functools import reduce
 
 from pyspark.ml.classification import LogisticRegression
 from pyspark.ml.feature import CountVectorizerModel, StringIndexer
-from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -38,7 +43,10 @@ VARIANTS = 24
 UNKNOWN_ROWS = 3000
 RARE = 0.01
 PENALTY = 0.002
-COVER_NOTICE, COVER_PARAGRAPH, LEAST_BIGRAMS = 0.6, 0.7, 6
+FALSE_ALARM = 0.001
+COVER_NOTICE, COVER_PARAGRAPH, LEAST_BIGRAMS, LEAST_OWN = 0.6, 0.7, 6, 2
+#: range of the hash that a sample is drawn by, and how many more rows than wanted the hash lets through
+HASHES, SURPLUS = 1 << 30, 3
 
 #: fixed values: customary notices of each family
 NOTICES = {
@@ -133,8 +141,15 @@ def notices(spark: SparkSession) -> DataFrame:
     return spark.createDataFrame(rows, "family string, notice int, line string").withColumn("words", _words(F.col("line")))
 
 
-def training_rows(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """(family, words, back): notices with their variants, decoys, and the unknown sample."""
+def _resembles(words: Column, spark: SparkSession) -> Column:
+    """Whether half of a notice's bigrams are among those of the words."""
+    own = _bigrams(words)
+    return reduce(lambda a, b: a | b, [F.size(F.array_intersect(own, F.array(*map(F.lit, grams)))) >= max(1, len(grams) // 2)
+                                       for _, grams in _notice_grams(spark)])
+
+
+def training_rows(docs: DataFrame, total: int, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """(family, words, grams): notices with their variants, decoys, and the unknown sample of the corpus's ``total`` paragraphs."""
     spark = docs.sparkSession
     base = notices(spark)
     variants = base.select("family", "words", F.explode(F.sequence(F.lit(0), F.lit(VARIANTS))).alias("v"))
@@ -142,29 +157,33 @@ def training_rows(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
     half = F.slice(F.col("words"), (F.pmod(F.xxhash64("v"), F.lit(3)) + 1).cast("int"), F.greatest(F.lit(4), (F.size("words") * 0.8).cast("int")))
     known = variants.select("family", F.when(F.col("v") == 0, F.col("words")).when(F.col("v") % 3 == 0, half).otherwise(thinned).alias("words"))
     decoys = spark.createDataFrame([(x,) for x in DECOYS], "line string").select(_words(F.col("line")).alias("words"))
-    sample = paragraphs(docs, id_col, text_col).orderBy(F.xxhash64("doc_id", "pos"), "doc_id", "pos", "line").limit(UNKNOWN_ROWS)
+    drawn = F.pmod(F.xxhash64("line", F.lit(5)), F.lit(HASHES))
+    sample = paragraphs(docs, id_col, text_col).where(drawn < int(HASHES * min(1.0, SURPLUS * UNKNOWN_ROWS / max(1, total))))
+    sample = sample.select("line").distinct().orderBy(F.xxhash64("line", F.lit(5)), "line").limit(UNKNOWN_ROWS)
     sample = sample.select(_words(F.col("line")).alias("words")).distinct()
-    alike = reduce(lambda a, b: a | b, [F.size(F.array_intersect(_bigrams(F.col("words")), F.array(*map(F.lit, grams)))) >= max(1, len(grams) // 2)
-                                        for grams in _notice_bigrams(base)])
-    unknown = decoys.union(sample.where(~alike)).select(F.lit("unknown").alias("family"), "words")
-    rows = known.union(unknown).withColumn("grams", F.array_distinct(_grams(F.col("words"))))
-    return rows.withColumn("back", F.pmod(F.xxhash64("grams", F.lit(3)), F.lit(4)) == 0)
+    unknown = decoys.union(sample.where(~_resembles(F.col("words"), spark))).select(F.lit("unknown").alias("family"), "words")
+    return known.union(unknown).withColumn("grams", F.array_distinct(_grams(F.col("words"))))
 
 
-def _notice_bigrams(base: DataFrame) -> list[list[str]]:
-    return [sorted(set(r[0])) for r in base.select(_bigrams(F.col("words"))).collect()]
+def _notice_grams(spark: SparkSession) -> list[tuple[str, list[str]]]:
+    """(family, distinct bigrams) of each notice."""
+    return [(r[0], sorted(set(r[1]))) for r in notices(spark).select("family", _bigrams(F.col("words"))).collect()]
 
 
+@dataclass(frozen=True)
 class Model:
-    """families (position = class), vocabulary rows (gram, w: weights by class), bias, threshold."""
+    """families (position = class), vocabulary rows (gram, w: weights by class), bias, threshold of a margin."""
+    families: list[str]
+    vocabulary: DataFrame
+    bias: list[float]
+    threshold: float = 0.0
 
-    def __init__(self, families: list[str], vocabulary: DataFrame, bias: list[float], threshold: float) -> None:
-        self.families, self.vocabulary, self.bias, self.threshold = families, vocabulary, bias, threshold
 
-
-def train(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Model:
+def fit(docs: DataFrame, total: int, id_col: str = "doc_id", text_col: str = "text") -> Model:
+    """The regression, not yet calibrated; ``total`` is the number of paragraphs of ``docs``."""
     spark = docs.sparkSession
-    rows = Stages(spark, "licences").keep(training_rows(docs, id_col, text_col).select("family", "grams", "back").coalesce(2), "training")
+    stages = Stages(spark, "licences")
+    rows = stages.keep(training_rows(docs, total, id_col, text_col).select("family", "grams").coalesce(2), "training")
     unknown = rows.where("family = 'unknown'").count()
     seen = rows.select("family", F.explode("grams").alias("gram")).groupBy("gram").agg(
         F.sum((F.col("family") != "unknown").cast("long")).alias("known"), F.sum((F.col("family") == "unknown").cast("long")).alias("other"))
@@ -173,38 +192,96 @@ def train(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Mo
     counter = CountVectorizerModel.from_vocabulary(vocabulary, inputCol="grams", outputCol="features", minTF=1.0)
     counter.setBinary(True)
     ready = counter.transform(indexer.transform(rows))
-    lr = LogisticRegression(family="multinomial", regParam=PENALTY, elasticNetParam=1.0, maxIter=60, standardization=False, aggregationDepth=2).fit(ready.where("NOT back"))
-    families = list(indexer.labels)
-    none = families.index("unknown")
-    raw = vector_to_array("rawPrediction")
-    margin = F.array_max(F.transform(raw, lambda x, i: F.when(i != none, x))) - raw[none]
-    cut = lr.transform(ready.where("back AND family = 'unknown'")).agg(F.percentile_approx(margin, 0.999, 10000)).first()[0]
+    lr = LogisticRegression(family="multinomial", regParam=PENALTY, elasticNetParam=1.0, maxIter=60, standardization=False, aggregationDepth=2).fit(ready)
+    stages.drop("training")
     weights = lr.coefficientMatrix.toArray()
     kept = [(g, [float(x) for x in weights[:, j]]) for j, g in enumerate(vocabulary) if abs(weights[:, j]).max() > 1e-6]
-    return Model(families, spark.createDataFrame(kept, "gram string, w array<double>"), [float(x) for x in lr.interceptVector], max(0.0, float(cut or 0.0)))
+    return Model(list(indexer.labels), spark.createDataFrame(kept, "gram string, w array<double>"), [float(x) for x in lr.interceptVector])
 
 
-def scan_paragraphs(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """Paragraphs predicted to hold a licence: doc_id, pos, line, family, probability, confirmed."""
-    spark = docs.sparkSession
+def margins(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """Paragraphs with a family more likely than `unknown`: doc_id, pos, line, copies (equal rows), z (by class), margin
+    (the highest). Equal rows are one row, scored once."""
     grams = paragraphs(docs, id_col, text_col).select("doc_id", "pos", "line", F.explode(F.array_distinct(_grams(_words(F.col("line"))))).alias("gram"))
     hits = grams.join(F.broadcast(model.vocabulary), "gram")  # as many rows as the notices have n-grams
-    k = len(model.families)
-    # a line's n-grams are distinct, so equal rows show as a multiple of them: each line is scored once
-    sums = hits.groupBy("doc_id", "pos", "line").agg(*(F.sum(F.col("w")[i]).alias(f"z{i}") for i in range(k)),
-                                                     (F.count("*") / F.size(F.collect_set("gram"))).alias("copies"))
+    # a line's n-grams are distinct, so equal rows show as a multiple of them
+    sums = hits.groupBy("doc_id", "pos", "line").agg(*(F.sum(F.col("w")[i]).alias(f"z{i}") for i in range(len(model.families))),
+                                                     (F.count("*") / F.size(F.collect_set("gram"))).cast("bigint").alias("copies"))
     z = F.array(*(F.col(f"z{i}") / F.col("copies") + F.lit(b) for i, b in enumerate(model.bias)))
     none = model.families.index("unknown")
-    scored = sums.select("doc_id", "pos", "line", z.alias("z")).withColumn("best", F.array_max(F.transform("z", lambda x, i: F.when(i != none, x))))
+    scored = sums.select("doc_id", "pos", "line", "copies", z.alias("z"))
+    best = F.array_max(F.transform("z", lambda x, i: F.when(i != none, x)))
+    return scored.withColumn("margin", best - F.col("z")[none]).where("margin > 0")
+
+
+def calibrated(model: Model, scored: DataFrame, total: int) -> Model:
+    """The model with its threshold, from the margins of all paragraphs above 0 and the number of all paragraphs.
+
+    Those at 0 or below need no rows: of ``total`` paragraphs, ``FALSE_ALARM`` may lie above the threshold, and these
+    are the first of the margins sorted downwards."""
+    alike = _resembles(_words(F.col("line")), scored.sparkSession)
+    unlike = scored.withColumn("alike", alike).select("alike", "margin", F.explode(F.array_repeat(F.lit(1), F.col("copies").cast("int"))))
+    above = unlike.agg(F.count(F.when(~F.col("alike"), 1)).alias("n"), F.count(F.when(F.col("alike"), 1)).alias("known")).first()
+    allowed = int(FALSE_ALARM * (total - above["known"]))
+    if above["n"] <= allowed:
+        return replace(model, threshold=0.0)
+    share = 1 - allowed / above["n"]
+    cut = unlike.where(~F.col("alike")).agg(F.percentile_approx("margin", share, 10000)).first()[0]
+    return replace(model, threshold=max(0.0, float(cut)))
+
+
+def paragraph_counts(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """One row per input row: doc_id, n_paragraphs."""
+    lines = F.split(F.coalesce(F.col(text_col).cast("string"), F.lit("")), "\n")
+    return docs.select(F.col(id_col).cast("bigint").alias("doc_id"),
+                       F.size(F.filter(lines, lambda x: F.lower(x).rlike("[a-z0-9]"))).cast("bigint").alias("n_paragraphs"))
+
+
+def _total(counts: DataFrame) -> int:
+    return counts.agg(F.coalesce(F.sum("n_paragraphs"), F.lit(0))).first()[0]
+
+
+def train(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Model:
+    """A model fitted to and calibrated on ``docs``."""
+    stages = Stages(docs.sparkSession, "licence-margins")
+    total = _total(paragraph_counts(docs, id_col, text_col))
+    model = fit(docs, total, id_col, text_col)
+    out = calibrated(model, stages.keep(margins(docs, model, id_col, text_col), "margins"), total)
+    stages.drop("margins")
+    return out
+
+
+def confirmed_families(scored: DataFrame, model: Model) -> DataFrame:
+    """Paragraphs of :func:`margins` above the threshold: doc_id, pos, line, families (predicted), confirmed (those
+    whose notices are there, by margin), probability (highest of a confirmed one, NULL without any)."""
+    none = model.families.index("unknown")
+    theirs: dict[str, list[list[str]]] = {}
+    for family, grams in _notice_grams(scored.sparkSession):
+        theirs.setdefault(family, []).append(grams)
+    notice_of = F.array(*(F.array(*(F.array(*map(F.lit, g)) for g in theirs.get(f, []))) if f in theirs else F.array(F.array(F.lit("")))
+                          for f in model.families))  # the fixed notices, by class
+    ranked = F.filter(F.transform("z", lambda x, i: F.struct((x - F.col("z")[none]).alias("margin"), i.alias("k"))),
+                      lambda c: (c["k"] != none) & (c["margin"] > model.threshold))
+    rows = scored.where(F.col("margin") > model.threshold).withColumns(
+        {"ranked": F.sort_array(ranked, asc=False), "own": F.array_distinct(_bigrams(_words(F.col("line"))))})
+
+    def step(acc: Column, c: Column) -> Column:
+        def fits(t: Column) -> Column:
+            free = F.array_except(t, acc["seen"])
+            rest = (F.size(free) >= LEAST_OWN) & (F.size(F.array_intersect(F.col("own"), free)) >= COVER_NOTICE * F.size(free))
+            return _close(F.col("own"), t) & ((F.size(acc["found"]) == 0) | rest)
+        notices_ = F.get(notice_of, c["k"])
+        more = F.struct(F.concat(acc["found"], F.array(c["k"])).alias("found"), F.array_union(acc["seen"], F.flatten(notices_)).alias("seen"))
+        return F.when(F.exists(notices_, fits), more).otherwise(acc)
+
+    empty = F.struct(F.array().cast("array<int>").alias("found"), F.array().cast("array<string>").alias("seen"))
     names = F.array(*map(F.lit, model.families))
-    total = F.aggregate("z", F.lit(0.0), lambda acc, x: acc + F.exp(x - F.col("best")))
-    found = scored.where(F.col("best") - F.col("z")[none] > model.threshold).select(
-        "doc_id", "pos", "line", F.element_at(names, F.array_position("z", F.col("best")).cast("int")).alias("family"), (1 / total).alias("probability"))
-    own = found.withColumn("own", F.array_distinct(_bigrams(_words(F.col("line")))))
-    against = notices(spark).select("family", F.array_distinct(_bigrams(F.col("words"))).alias("theirs"))
-    sure = against.groupBy("family").agg(F.collect_list("theirs").alias("all"))  # the fixed notices
-    out = own.join(F.broadcast(sure), "family").withColumn("confirmed", F.exists("all", lambda t: _close(F.col("own"), t)))
-    return out.select("doc_id", "pos", "line", "family", "probability", "confirmed")
+    top = F.array_max("z")
+    total = F.aggregate("z", F.lit(0.0), lambda acc, x: acc + F.exp(x - top))
+    rows = rows.withColumn("found", F.aggregate("ranked", empty, step, lambda acc: acc["found"]))
+    return rows.select("doc_id", "pos", "line", F.transform("ranked", lambda c: F.get(names, c["k"])).alias("families"),
+                       F.transform("found", lambda k: F.get(names, k)).alias("confirmed"),
+                       F.array_max(F.transform("found", lambda k: F.exp(F.get(F.col("z"), k) - top) / total)).alias("probability"))
 
 
 def _close(own: Column, theirs: Column) -> Column:
@@ -212,20 +289,26 @@ def _close(own: Column, theirs: Column) -> Column:
     return (both >= COVER_NOTICE * F.size(theirs)) | ((F.size(own) >= LEAST_BIGRAMS) & (both >= COVER_PARAGRAPH * F.size(own)))
 
 
-def scan(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """One row per input row; see the module docstring."""
-    found = scan_paragraphs(docs, model, id_col, text_col).groupBy(F.col("doc_id").alias("found_id")).agg(
-        F.count("*").alias("n_predicted"), F.sum(F.col("confirmed").cast("long")).alias("n_confirmed"),
-        F.array_sort(F.collect_set(F.when(F.col("confirmed"), F.col("family")))).alias("families"),
-        F.max(F.when(F.col("confirmed"), F.col("probability"))).alias("score"))
-    lines = F.split(F.coalesce(F.col(text_col).cast("string"), F.lit("")), "\n")
-    base = docs.select(F.col(id_col).cast("bigint").alias("doc_id"),
-                       F.size(F.filter(lines, lambda x: F.lower(x).rlike("[a-z0-9]"))).cast("bigint").alias("n_paragraphs"))
-    return base.join(found, base.doc_id.eqNullSafe(found.found_id), "left").select(
+def scan(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str = "text", *, scored: DataFrame | None = None,
+         counts: DataFrame | None = None) -> DataFrame:
+    """One row per input row; see the module docstring. ``scored`` and ``counts`` are the :func:`margins` and
+    :func:`paragraph_counts` of ``docs``, where they are at hand."""
+    if scored is None:
+        scored = margins(docs, model, id_col, text_col)
+    if counts is None:
+        counts = paragraph_counts(docs, id_col, text_col)
+    found = confirmed_families(scored, model).groupBy(F.col("doc_id").alias("found_id")).agg(
+        F.count("*").alias("n_predicted"), F.count(F.when(F.size("confirmed") > 0, 1)).alias("n_confirmed"),
+        F.array_sort(F.array_distinct(F.flatten(F.collect_set("confirmed")))).alias("families"), F.max("probability").alias("score"))
+    return counts.join(found, counts.doc_id.eqNullSafe(found.found_id), "left").select(
         "doc_id", "n_paragraphs", F.coalesce("n_predicted", F.lit(0)).alias("n_predicted"), F.coalesce("n_confirmed", F.lit(0)).alias("n_confirmed"),
         F.coalesce("families", F.array().cast("array<string>")).alias("families"), F.coalesce("score", F.lit(0.0)).alias("score"))
 
 
 def op1_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = table(spark, sf_dir, "documents")
-    return scan(docs, train(docs))
+    docs, stages = table(spark, sf_dir, "documents"), Stages(spark, "licence-scan")
+    counts = stages.keep(paragraph_counts(docs), "counts")
+    total = _total(counts)
+    model = fit(docs, total)
+    scored = stages.keep(margins(docs, model), "margins")
+    return scan(docs, calibrated(model, scored, total), scored=scored, counts=counts)

@@ -201,6 +201,34 @@ def test_licence_paragraphs(spark):
     assert rows[1, 3].families == ["agpl", "mit"] == rows[1, 1].families and rows[2, 0].families == [] and rows[None, 1].families == ["mit"]
 
 
+def test_several_licences_on_a_line(spark):
+    """Every family of a line is found, and a notice doesn't count again for its relatives."""
+    model = licenses.train(spark.read.parquet(f"{SF}/documents.parquet"))
+    lines = {"Released under the MIT License. Licensed under the Apache License, Version 2.0.": ["apache", "mit"],
+             "Released under the MIT License.": ["mit"], "Licensed under CC BY-SA 4.0.": ["cc-by-sa"], "Licensed under CC BY-NC 4.0.": ["cc-by-nc"],
+             "Licensed under the GNU Affero General Public License, version 3.": ["agpl"],
+             "This work is licensed under the GNU General Public License, version 3.": ["gpl"],
+             "Her license was renewed at the public office.": []}
+    rows = spark.createDataFrame(list(enumerate(lines)), "doc_id bigint, text string")
+    got = {r.doc_id: r for r in licenses.scan(rows, model).collect()}
+    assert [got[i].families for i in range(len(lines))] == list(lines.values())
+    assert (got[0].n_predicted, got[0].n_confirmed) == (1, 1)
+
+
+def test_licence_threshold_covers_all_paragraphs(spark):
+    """The threshold is the margin that all but 0.1 % of the paragraphs unlike a notice stay below, counted plainly."""
+    rows = [(i, 0, f"the public office {i}", 2 if i < 3 else 1, [0.0, 0.0], float(i + 1)) for i in range(10)]
+    rows.append((99, 0, "Released under the MIT License.", 5, [0.0, 0.0], 50.0))  # resembles a notice: says nothing
+    scored = spark.createDataFrame(rows, "doc_id bigint, pos int, line string, copies bigint, z array<double>, margin double")
+    empty = licenses.Model(["mit", "unknown"], None, [0.0, 0.0])
+    plain = sorted((r[5] for r in rows[:-1] for _ in range(r[3])), reverse=True)
+    for total in (1000, 4005, 12_505, 13_005, 10**6):
+        allowed = int(0.001 * (total - 5))
+        want = plain[allowed] if allowed < len(plain) else 0.0
+        assert licenses.calibrated(empty, scored, total).threshold == want
+    assert licenses.calibrated(empty, scored.limit(0), 0).threshold == 0.0
+
+
 def test_awkward_rows(spark, awkward, nothing):
     labels = spark.createDataFrame([(3, 1, 0), (7, 1, 0), (10, 0, 1), (11, 0, 1), (11, None, None), (None, 1, 1)], "doc_id bigint, quality int, toxic int")
     n = awkward.count()
