@@ -16,10 +16,13 @@ Plan shape: a segmented scan. ``Window.partitionBy(key)`` would send a key's who
 are read and shuffled once, by ``(key, piece)``: keys are whole, except for the hot ones, which are cut into pieces at
 quantiles of their order (:mod:`caretrail.operators.pieces`), also inside an instant that very many rows share.
 
-1. Inside a piece, windows give the previous time, the session starts and their running count, and the rollups.
+1. Inside a piece, windows give the previous time, the session starts and their running count. Sessions follow one another
+   in the order, so the rollups of all gaps take one window forwards (what the last session start saw) and one backwards
+   (where the next session starts) instead of a sorted window for each gap's labels.
 2. If there are hot keys, one more job over their rows alone makes the border table, a row a piece: first and last
-   time, rows, session starts inside, and the rollups of the piece's first and last session. Windows over this small
-   table carry the last time, the number of sessions and the sums of sessions that cross borders from piece to piece.
+   time, rows, session starts inside, and the rollups of the piece's first and last session. These few rows are gone
+   through once on the driver, which carries the last time, the number of sessions and the sums of sessions that
+   cross borders from piece to piece. The number of pieces is bounded by the number of shuffle partitions, not by the data.
 3. The border row is joined map-side: a piece's first row sees the time before the piece, session numbers start at
    what the pieces before hold, and the rollups of a piece's first and last session are replaced by the whole ones.
 
@@ -31,11 +34,14 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import LongType, StructType
 
 from caretrail.functions.timeutil import whole_days
-from caretrail.operators.pieces import find_pieces, local
+from caretrail.operators.pieces import find_pieces
 
 
 def _keys(key) -> list[str]:
@@ -132,7 +138,7 @@ def sessionize(df: DataFrame, key, ts: str, gaps: Sequence[int] = (15,), *,
         if group_count_fmt:
             new_cols[group_count_fmt.format(gap=g)] = F.col(f"_r{g}.rows")
         for out_fmt, col in firsts.items():
-            new_cols[out_fmt.format(gap=g)] = F.col(f"_r{g}.first.v{values.index(col)}")
+            new_cols[out_fmt.format(gap=g)] = F.col(f"_r{g}.v{values.index(col)}")
     base_cols = [c for c in df.columns if c not in new_cols]
     return out.select(*[F.col(c) for c in base_cols], *[v.alias(k) for k, v in new_cols.items()])
 
@@ -144,10 +150,11 @@ class _Scan:
     NULL-time rows of the key (each starts a session, and all share the last number) plus starts among the others."""
 
     def __init__(self, keys, ts, gaps, order, unkeyed, firsts, values, rolled) -> None:
-        self.keys, self.ts, self.gaps, self.unkeyed, self.rolled = keys, ts, gaps, unkeyed, rolled
+        self.keys, self.ts, self.gaps, self.unkeyed, self.values, self.rolled = keys, ts, gaps, unkeyed, values, rolled
         self.whole = Window.partitionBy(*keys, "_p")
         self.along = self.whole.orderBy(*order)
         self.upto = self.along.rowsBetween(Window.unboundedPreceding, Window.currentRow)
+        self.beyond = self.whole.orderBy(*[c.desc() for c in order]).rowsBetween(Window.unboundedPreceding, -1)
         self.timeless = F.col(ts).isNull()
         # a session's first row: the smallest by order; its values come last in the struct
         self.first = F.struct(*[c.alias(f"o{i}") for i, c in enumerate(order)], *[F.col(c).alias(f"v{i}") for i, c in enumerate(values)])
@@ -164,8 +171,9 @@ class _Scan:
         """Rollup of the rows for which ``mine`` holds: rows, earliest time, first row."""
         def of(x):
             return x if mine is None else F.when(mine, x)
+        first = F.min(of(self.first))
         return F.struct(F.coalesce(F.sum(of(F.col("_mult"))), F.lit(0).cast("bigint")).alias("rows"),
-                        F.min(of(F.col(self.ts))).alias("low"), F.min(of(self.first)).alias("first"))
+                        F.min(of(F.col(self.ts))).alias("low"), *[first[f"v{i}"].alias(f"v{i}") for i in range(len(self.values))])
 
     def border(self, rows: DataFrame) -> DataFrame:
         """One row a piece of the hot keys: what the pieces before it leave, and the whole rollups of its first and
@@ -179,44 +187,14 @@ class _Scan:
         for g in self.gaps:
             aggs.append(F.sum(f"_s{g}").alias(f"_in{g}"))
             if self.rolled:
-                aggs += [self.sums(F.col(f"_c{g}") == 0).alias(f"_head{g}"), self.sums(F.col(f"_c{g}") == F.col(f"_m{g}")).alias(f"_tail{g}"),
-                         F.max(f"_m{g}").alias(f"_m{g}")]
-        # a row a piece from here on: held locally, in one partition, so what follows needs no exchange
-        b = local(rows.groupBy(*self.keys, "_p").agg(*aggs)).coalesce(1)
-        key = Window.partitionBy(*self.keys)
-        along = key.orderBy("_p")
-        before = along.rowsBetween(Window.unboundedPreceding, -1)
-        b = b.withColumns({"_carry": F.lag("_t1").over(along), "_null": F.sum("_nulls").over(key), "_all": F.sum("_rows").over(key)})
-        for g in self.gaps:
-            opens = F.col("_carry").isNull() | (whole_days("_carry", "_t0") > F.lit(g))
-            b = b.withColumn(f"_f{g}", F.when(F.col("_t0").isNull(), F.lit(0)).when(opens, F.lit(1)).otherwise(F.lit(0)).cast("bigint"))
-            b = b.withColumn(f"_b{g}", F.coalesce(F.sum(F.col(f"_f{g}") + F.col(f"_in{g}")).over(before), F.lit(0).cast("bigint")))
-            if self.rolled:
-                b = self._crossing(b, g)
-        keep = [*self.keys, "_p", "_carry", "_null", "_all"]
-        for g in self.gaps:
-            keep += [f"_b{g}", *([f"_hn{g}", f"_tn{g}", f"_head{g}", f"_tail{g}"] if self.rolled else [])]
-        return local(b.select(F.struct(*[F.col(k) for k in self.keys]).alias("_bk"), F.col("_p").alias("_bp"), *keep[len(self.keys) + 1:]))
-
-    def _crossing(self, b: DataFrame, g: int) -> DataFrame:
-        """Numbers of a piece's first and last session, and their rollups over all pieces that hold a part."""
-        at = F.col("_null") + F.col(f"_b{g}") + F.col(f"_f{g}")
-        none = F.lit(-1).cast("bigint")
-        head = F.when(self.unkeyed, none).when(F.col("_t0").isNull(), F.col("_null")).otherwise(at)
-        tail = F.when(self.unkeyed, none).when(F.col("_t1").isNull(), F.col("_null")).otherwise(at + F.col(f"_in{g}"))
-        b = b.withColumns({f"_hn{g}": head, f"_tn{g}": tail})
-        ends = F.when(F.col(f"_hn{g}") == F.col(f"_tn{g}"), F.array(F.struct(F.lit(0).alias("end"), F.col(f"_hn{g}").alias("n"), F.col(f"_head{g}").alias("r")))).otherwise(
-            F.array(F.struct(F.lit(0).alias("end"), F.col(f"_hn{g}").alias("n"), F.col(f"_head{g}").alias("r")),
-                    F.struct(F.lit(1).alias("end"), F.col(f"_tn{g}").alias("n"), F.col(f"_tail{g}").alias("r"))))
-        parts = b.withColumn("_e", F.explode(ends))
-        same = Window.partitionBy(*self.keys, "_e.n")
-        total = F.struct(F.sum("_e.r.rows").over(same).alias("rows"), F.min("_e.r.low").over(same).alias("low"), F.min("_e.r.first").over(same).alias("first"))
-        parts = parts.withColumn("_whole", total)
-        rest = [c for c in b.columns if c not in (*self.keys, "_p", f"_head{g}", f"_tail{g}")]
-        out = parts.groupBy(*self.keys, "_p").agg(
-            *[F.first(c).alias(c) for c in rest], F.max(F.when(F.col("_e.end") == 0, F.col("_whole"))).alias(f"_head{g}"),
-            F.max(F.when(F.col("_e.end") == 1, F.col("_whole"))).alias(f"_tail{g}"))
-        return out.withColumn(f"_tail{g}", F.coalesce(f"_tail{g}", f"_head{g}"))
+                aggs += [self.sums(F.col(f"_c{g}") == 0).alias(f"_head{g}"), self.sums(F.col(f"_c{g}") == F.col(f"_m{g}")).alias(f"_tail{g}")]
+        # a row a piece from here on, key after key and piece after piece
+        b = rows.groupBy(*self.keys, "_p").agg(*aggs).repartition(1)
+        along = Window.partitionBy(*self.keys).orderBy("_p")
+        b = b.withColumns({"_at": F.row_number().over(along), "_carry": F.lag("_t1").over(along)})
+        b = b.withColumns({"_days": whole_days("_carry", "_t0"), "_unkeyed": self.unkeyed, "_bp": F.col("_p"),
+                           "_bk": F.struct(*[F.col(k) for k in self.keys])}).drop(*self.keys, "_p")
+        return _carried(b, self.gaps, self.rolled)
 
     def answered(self, rows: DataFrame, border: DataFrame | None) -> DataFrame:
         """Rows with previous time, key count ``_num``, session numbers ``_n<gap>`` and rollups ``_r<gap>``."""
@@ -236,14 +214,91 @@ class _Scan:
         if not self.rolled:
             return rows
         rows = rows.withColumns({f"_g{g}": F.when(self.unkeyed, F.lit(-1).cast("bigint")).otherwise(F.col(f"_n{g}")) for g in self.gaps})
+        rows = rows.withColumns({"_before": F.sum("_mult").over(self.upto) - F.col("_mult"), "_here": F.sum("_mult").over(self.whole),
+                                 "_low": F.min(self.ts).over(self.whole)})
+        fields = [f"v{i}" for i in range(len(self.values))]
+        mine = F.struct("_before", F.col(self.ts).alias("low"), *[F.col(c).alias(v) for c, v in zip(self.values, fields)])
+        ends = {}
         for g in self.gaps:
-            w = Window.partitionBy(*self.keys, "_p", f"_g{g}")
-            own = F.struct(F.sum("_mult").over(w).alias("rows"), F.min(self.ts).over(w).alias("low"), F.min(self.first).over(w).alias("first"))
+            opens = (F.col("_rn") == 1) | (~self.unkeyed & (F.col(f"_s{g}") == 1))
+            ends[f"_o{g}"] = F.last(F.when(opens, mine), ignorenulls=True).over(self.upto)
+            ends[f"_e{g}"] = F.last(F.when(opens, F.col("_before")), ignorenulls=True).over(self.beyond)
+        rows = rows.withColumns(ends)
+        for g in self.gaps:
+            # a NULL key's rows are one session, whose first rows may have no time
+            own = F.struct((F.coalesce(f"_e{g}", "_here") - F.col(f"_o{g}._before")).alias("rows"),
+                           F.when(self.unkeyed, F.col("_low")).otherwise(F.col(f"_o{g}.low")).alias("low"), *[F.col(f"_o{g}.{v}").alias(v) for v in fields])
             if border is not None:
                 own = (F.when(F.col("_bp").isNull(), own).when(F.col(f"_g{g}") == F.col(f"_hn{g}"), F.col(f"_head{g}"))
                        .when(F.col(f"_g{g}") == F.col(f"_tn{g}"), F.col(f"_tail{g}")).otherwise(own))
             rows = rows.withColumn(f"_r{g}", own)
-        return rows
+        return rows.drop(*ends, "_before", "_here", "_low")
+
+
+def _carried(b: DataFrame, gaps: Sequence[int], rolled: bool) -> DataFrame:
+    """The border table from the facts of each piece (a row a piece, in order): the time before the piece, the key's
+    NULL-time rows and rows, the sessions before the piece ``_b``, and the numbers of its first and last session
+    (``_hn``, ``_tn``) with their rollups over all pieces that hold a part of them (``_head``, ``_tail``)."""
+    got = b.toArrow()
+    n = got.num_rows
+
+    def column(name: str) -> pa.Array:
+        return pa.concat_arrays(got.column(name).chunks) if n else pa.array([], got.column(name).type)
+
+    def values(name: str) -> list:
+        return column(name).to_pylist()
+
+    at, days, unkeyed, nulls, rows = (values(c) for c in ("_at", "_days", "_unkeyed", "_nulls", "_rows"))
+    timeless = [(x, y) for x, y in zip(column("_t0").is_null().to_pylist(), column("_t1").is_null().to_pylist())]
+    first = [i for i in range(n) if at[i] == 1] + [n]
+    out = {name: column(name) for name in ("_bk", "_bp", "_carry")}
+    whole_key = [(sum(nulls[i:j]), sum(rows[i:j]), j - i) for i, j in zip(first, first[1:])]
+    out["_null"] = pa.array([x for x, _, k in whole_key for _ in range(k)], pa.int64())
+    out["_all"] = pa.array([x for _, x, k in whole_key for _ in range(k)], pa.int64())
+    for g in gaps:
+        inside, base, head, tail = values(f"_in{g}"), [], [], []
+        for i in range(n):
+            sessions = 0 if at[i] == 1 else sessions
+            opens = int(not timeless[i][0] and (days[i] is None or days[i] > g))
+            none = out["_null"][i].as_py()
+            base.append(sessions)
+            head.append(-1 if unkeyed[i] else none if timeless[i][0] else none + sessions + opens)
+            tail.append(-1 if unkeyed[i] else none if timeless[i][1] else none + sessions + opens + inside[i])
+            sessions += opens + inside[i]
+        out[f"_b{g}"] = pa.array(base, pa.int64())
+        if rolled:
+            out |= {f"_hn{g}": pa.array(head, pa.int64()), f"_tn{g}": pa.array(tail, pa.int64())}
+            out |= _joined(at, head, tail, column(f"_head{g}"), column(f"_tail{g}"), g)
+    schema = StructType()
+    for name in out:
+        schema.add(name, b.schema[name].dataType if name in b.columns else LongType())
+    return b.sparkSession.createDataFrame(pa.table(out), schema)
+
+
+def _joined(at: list, head: list, tail: list, heads: pa.Array, tails: pa.Array, g: int) -> dict[str, pa.Array]:
+    """Rollups of sessions over all pieces that hold a part of them: rows are added up, the other values are those of the
+    first part, the earliest time that of the first part with a time."""
+    parts, n = pa.concat_arrays([heads, tails]), len(at)
+    sizes, lows = pc.struct_field(parts, "rows").to_pylist(), pc.struct_field(parts, "low")
+    no_time = lows.is_null().to_pylist()
+    session: dict = {}
+    key, of = 0, []
+    for i in range(n):
+        key += at[i] == 1
+        of.append(((key, head[i]), (key, tail[i])))
+        for name, part in zip(of[i], (i, n + i) if head[i] != tail[i] else (i,)):
+            total = session.setdefault(name, [0, part, part])
+            total[0] += sizes[part]
+            if no_time[total[2]]:
+                total[2] = part
+    out = {}
+    for end, name in enumerate((f"_head{g}", f"_tail{g}")):
+        total = [session[x[end]] for x in of]
+        start = pa.array([t[1] for t in total], pa.int64())
+        fields = [pa.array([t[0] for t in total], pa.int64()), lows.take(pa.array([t[2] for t in total], pa.int64()))]
+        fields += [pc.struct_field(parts, i).take(start) for i in range(2, parts.type.num_fields)]
+        out[name] = pa.StructArray.from_arrays(fields, names=[f.name for f in parts.type])
+    return out
 
 
 def session_table(df: DataFrame, key, ts: str, gap: int, *, tiebreak: Sequence[str] = (), tiebreak_unique: bool = False,
