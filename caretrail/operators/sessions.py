@@ -198,24 +198,28 @@ class _Scan:
 
     def answered(self, rows: DataFrame, border: DataFrame | None) -> DataFrame:
         """Rows with previous time, key count ``_num``, session numbers ``_n<gap>`` and rollups ``_r<gap>``."""
-        nulls = F.sum(F.when(self.timeless, F.col("_mult")).otherwise(F.lit(0).cast("bigint"))).over(self.whole)
-        count = F.sum("_mult").over(self.whole)
+        # every window over whole pieces in one step, every running sum in the next
+        here = {"_nt": F.sum(F.when(self.timeless, F.col("_mult")).otherwise(F.lit(0).cast("bigint"))).over(self.whole), "_here": F.sum("_mult").over(self.whole)}
+        if self.rolled:
+            here["_low"] = F.min(self.ts).over(self.whole)
+        rows = rows.withColumns(here)
+        count = F.col("_here")
         if border is not None:
             mine = F.struct(*[F.col(k) for k in self.keys])
             rows = rows.join(F.broadcast(border), (mine == F.col("_bk")) & (F.col("_p") == F.col("_bp")), "left")
             rows = rows.withColumn("_prev", F.when((F.col("_rn") == 1) & F.col("_bp").isNotNull(), F.col("_carry")).otherwise(F.col("_prev")))
-            nulls, count = F.coalesce("_null", nulls), F.coalesce("_all", count)
-        rows = rows.withColumns({"_nt": nulls, "_num": count, **{f"_s{g}": self.starts(g) for g in self.gaps}})
+            rows, count = rows.withColumn("_nt", F.coalesce("_null", "_nt")), F.coalesce("_all", "_here")
+        rows = rows.withColumns({"_num": count, **{f"_s{g}": self.starts(g) for g in self.gaps}})
         numbers = {}
         for g in self.gaps:
             base = F.lit(0).cast("bigint") if border is None else F.coalesce(f"_b{g}", F.lit(0).cast("bigint"))
             numbers[f"_n{g}"] = F.when(self.timeless, F.col("_nt")).otherwise(F.col("_nt") + base + F.sum(f"_s{g}").over(self.upto))
+        if self.rolled:
+            numbers["_before"] = F.sum("_mult").over(self.upto) - F.col("_mult")
         rows = rows.withColumns(numbers)
         if not self.rolled:
-            return rows
+            return rows.drop("_here")
         rows = rows.withColumns({f"_g{g}": F.when(self.unkeyed, F.lit(-1).cast("bigint")).otherwise(F.col(f"_n{g}")) for g in self.gaps})
-        rows = rows.withColumns({"_before": F.sum("_mult").over(self.upto) - F.col("_mult"), "_here": F.sum("_mult").over(self.whole),
-                                 "_low": F.min(self.ts).over(self.whole)})
         fields = [f"v{i}" for i in range(len(self.values))]
         mine = F.struct("_before", F.col(self.ts).alias("low"), *[F.col(c).alias(v) for c, v in zip(self.values, fields)])
         ends = {}
