@@ -10,8 +10,9 @@ Codes: with up to 7 languages all 2^(L-1) - 1 distinct splits; beyond, 10 log2(L
 with the largest smallest distance among 50 draws.
 
 Training reads a bounded sample: at most ``PER_LANGUAGE`` documents a language, those whose id hashes
-lowest, out of rows whose fold is not the held-out one; identical feature vectors count once. Prediction
-uses the whole text of every document and nothing but the text.
+lowest, out of rows whose fold is not the held-out one; identical feature vectors count once. The sample
+comes to the driver as Arrow, in the narrowest integers that hold it, and stays so. Prediction uses the
+whole text of every document and nothing but the text.
 
 Defined results: a null text, or one without a letter (Unicode), is `und` with score 0 and ambiguous. A
 single known language always wins; with no labelled row at all every text is `und`. Ties go to the
@@ -33,6 +34,7 @@ from caretrail.llm.common import fold, table, text_arrays
 from caretrail.llm.hashing import LOWER
 
 BITS = 16
+BUCKET = "<u2"
 GRAMS = (2, 3, 4)
 PER_LANGUAGE = 600
 EPOCHS, RATE = 12, 0.5
@@ -119,14 +121,15 @@ def _features(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         ids, counts = [], []
         for i in range(batch.num_rows):
             u, c = np.unique(grams(raw[offsets[i]:offsets[i + 1]]), return_counts=True)
-            ids.append(u.astype("<u4").tobytes())
-            counts.append(c.astype("<u4").tobytes())
+            ids.append(u.astype(BUCKET).tobytes())
+            counts.append(c.astype(np.min_scalar_type(c.max(initial=0))).tobytes())  # its length tells the type
         yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(2).cast(pa.int64()), pa.array(ids, pa.binary()), pa.array(counts, pa.binary())],
                                          ["lang", "rank", "ids", "counts"])
 
 
 def fit(rows: list[tuple[str, bytes, bytes]]) -> Model:
-    """Train the bits on (language, n-gram buckets, counts); every fifth document is kept back to weigh bits."""
+    """Train the bits on (language, n-gram buckets, counts); every fifth document is kept back to weigh bits.
+    A document's weights are made from its counts each time, so that the sample stays as small as it came."""
     languages = sorted({r[0] for r in rows})
     code = codewords(len(languages))
     n_bits = code.shape[1]
@@ -135,22 +138,23 @@ def fit(rows: list[tuple[str, bytes, bytes]]) -> Model:
     for lang, ids, counts in rows:
         if (ids, counts) not in seen and ids:
             seen.add((ids, counts))
-            c = np.frombuffer(counts, "<u4").astype(float)
-            data.append((languages.index(lang), np.frombuffer(ids, "<u4"), c * (SCALE / c.sum())))
+            buckets = np.frombuffer(ids, BUCKET)
+            c = np.frombuffer(counts, f"<u{len(counts) // len(buckets)}")
+            data.append((languages.index(lang), buckets, c, SCALE / c.sum(dtype=float)))
     train, back = [d for i, d in enumerate(data) if i % 5], data[::5]
     rng = np.random.RandomState(0)
     for _ in range(EPOCHS if len(languages) > 1 else 0):
         for i in rng.permutation(len(train)):
-            k, ids, x = train[i]
-            y = code[k]
+            k, ids, c, scale = train[i]
+            x, y = c * scale, code[k]
             g = -y / (1 + np.exp(np.clip(y * (x @ weights[ids] + bias), -30, 30)))
             step = x[:, None] * g + 1e-5 * weights[ids]
             grad[ids] += step * step
             weights[ids] -= RATE * step / np.sqrt(grad[ids])
             bias -= 0.01 * g
     right = np.ones(n_bits)
-    for k, ids, x in back:
-        right += np.sign(x @ weights[ids] + bias) == code[k]
+    for k, ids, c, scale in back:
+        right += np.sign((c * scale) @ weights[ids] + bias) == code[k]
     accuracy = np.clip(right / (len(back) + 1.5), 0.51, 0.999)
     trust = np.log(accuracy / (1 - accuracy))
     return Model(languages, code, weights.astype(np.float32), bias, trust / trust.mean())
@@ -166,12 +170,14 @@ def train(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_
     rank = F.pmod(F.xxhash64("doc_id", F.lit(29)), F.lit(1 << 30))
     limit = F.create_map(*(x for k, n in sizes.items() for x in (F.lit(k), F.lit(int(min(1.0, 1.3 * PER_LANGUAGE / n + 20 / n) * (1 << 30))))))
     picked = known.withColumn("rank", rank).where(F.col("rank") < limit[F.col("lang")])
-    rows = picked.select("lang", "text", "rank").mapInArrow(_features, "lang string, rank bigint, ids binary, counts binary").collect()
+    rows = picked.select("lang", "text", "rank").mapInArrow(_features, "lang string, rank bigint, ids binary, counts binary").toArrow()
+    rows = sorted(zip(*(rows.column(c).to_pylist() for c in ("lang", "rank", "ids", "counts"))), key=lambda r: r[:3])
     taken, used = [], dict.fromkeys(sizes, 0)
-    for r in sorted(rows, key=lambda r: (r["lang"], r["rank"], bytes(r["ids"]))):
-        if used[r["lang"]] < PER_LANGUAGE:
-            used[r["lang"]] += 1
-            taken.append((r["lang"], bytes(r["ids"]), bytes(r["counts"])))
+    for lang, _, ids, counts in rows:
+        if used[lang] < PER_LANGUAGE:
+            used[lang] += 1
+            taken.append((lang, ids, counts))
+    del rows
     return fit(taken)
 
 

@@ -8,7 +8,8 @@ weighed equally). A logistic curve fitted on documents kept back turns margins i
 from the sample's class shares to those of all labels.
 
 Training reads a bounded sample: at most ``PER_CLASS`` labelled ids a class (hash order), none of the
-held-out fold; identical feature sets count once. The class shares are counted over all training labels.
+held-out fold; identical feature sets count once. The sample comes to the driver as Arrow and is held
+once, as integers; a row's scaled values are made when they are used. The class shares are counted over all training labels.
 Scoring uses the whole text of every document and nothing but the text.
 
 Defined results: null and empty texts have no n-gram; their score is the calibrated intercept, or 0 where
@@ -19,7 +20,7 @@ are ignored by scoring and kept by the filter. Empty tables give no rows.
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterator
+from collections.abc import Callable, Iterator, Sequence
 
 import numpy as np
 import pyarrow as pa
@@ -108,7 +109,22 @@ def _collect(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays([pa.array(ids, pa.binary()), batch.column(1).cast(pa.int64())], ["ids", "label"])
 
 
-def dual_coordinate_descent(rows: list[np.ndarray], values: list[np.ndarray], y: np.ndarray, cost: np.ndarray, size: int,
+class Scaled(Sequence):
+    """Rows' log-count ratios at unit length, made when asked for."""
+
+    def __init__(self, rows: list[np.ndarray], ratio: np.ndarray) -> None:
+        self.rows, self.ratio = rows, ratio
+        self.norm = [np.sqrt((v * v).sum()) for v in (ratio[r] for r in rows)]
+
+    def __len__(self) -> int:
+        return len(self.rows)
+
+    def __getitem__(self, i: int) -> np.ndarray:
+        v = self.ratio[self.rows[i]]
+        return v / self.norm[i] if self.norm[i] > 0 else v
+
+
+def dual_coordinate_descent(rows: list[np.ndarray], values: Sequence[np.ndarray], y: np.ndarray, cost: np.ndarray, size: int,
                             epochs: int = EPOCHS) -> tuple[np.ndarray, float]:
     """min 1/2 |w|^2 + sum_i cost_i max(0, 1 - y_i w.x_i)^2, one dual variable at a time; the bias is a constant feature."""
     w, bias, alpha = np.zeros(size), 0.0, np.zeros(len(rows))
@@ -144,7 +160,7 @@ def calibrate(margin: np.ndarray, y: np.ndarray) -> tuple[float, float]:
 
 def fit(sample: list[tuple[bytes, int]], share: float | None) -> Model:
     """The model from (feature ids, label) pairs; share: of label 1 among all training labels."""
-    unique = sorted({(bytes(i), int(v)) for i, v in sample})
+    unique = sorted({(bytes(i), int(v)) for i, v in sample})  # bytes of bytes are no copy
     np.random.RandomState(7).shuffle(unique)
     labels = np.array([v for _, v in unique])
     if share is None or len(set(labels.tolist())) < 2:
@@ -160,16 +176,11 @@ def fit(sample: list[tuple[bytes, int]], share: float | None) -> Model:
         if not back[i]:
             counts[labels[i], r] += 1
     ratio = np.log(counts[1] / (labels[~back].sum() + 2 * SMOOTH)) - np.log(counts[0] / ((1 - labels[~back]).sum() + 2 * SMOOTH))
-
-    def scaled(r: np.ndarray) -> np.ndarray:
-        v = ratio[r]
-        norm = np.sqrt((v * v).sum())
-        return v / norm if norm > 0 else v
-
     use = [i for i in range(len(rows)) if not back[i]]
     y = np.where(labels > 0, 1.0, -1.0)
     per = {v: len(use) / (2 * max(1, (y[use] == v).sum())) for v in (1.0, -1.0)}
-    w, bias = dual_coordinate_descent([rows[i] for i in use], [scaled(rows[i]) for i in use], y[use], COST * np.array([per[v] for v in y[use]]), SIZE)
+    used = [rows[i] for i in use]
+    w, bias = dual_coordinate_descent(used, Scaled(used, ratio), y[use], COST * np.array([per[v] for v in y[use]]), SIZE)
     model = Model(w, ratio, bias, 1.0, 0.0)
     held = np.flatnonzero(back) if back.any() else np.arange(len(rows))
     model.slope, model.shift = calibrate(np.array([model.margin(rows[i]) for i in held]), y[held])
@@ -184,8 +195,9 @@ def train(docs: DataFrame, labels: DataFrame, label_col: str = "quality", id_col
     usable = labels.where(F.col(id_col).isNotNull() & F.col(label_col).isNotNull() & (fold(id_col, FOLDS) != HELD))
     share = usable.agg(F.avg((F.col(label_col) > 0).cast("double"))).first()[0]
     texts = docs.select(F.col(id_col).cast("bigint").alias("doc_id"), F.col(text_col).cast("string").alias("text")).where(F.col("text").isNotNull())
-    rows = texts.join(F.broadcast(sample), "doc_id").select("text", "label").mapInArrow(_collect, "ids binary, label bigint").collect()
-    return fit([(r["ids"], r["label"]) for r in rows], share)
+    rows = texts.join(F.broadcast(sample), "doc_id").select("text", "label").mapInArrow(_collect, "ids binary, label bigint").toArrow()
+    rows = list(zip(rows.column("ids").to_pylist(), rows.column("label").to_pylist()))
+    return fit(rows, share)
 
 
 def _scorer(model: Model, keep: bool, at: int) -> Callable:
